@@ -1,12 +1,15 @@
 """As-of join: the reset in force at the time of a reading.
 
-Two exact plans, chosen by counting the ledger first:
-
-* a small ledger, with few resets per device, is broadcast as validity
-  intervals, so the log is not shuffled;
-* otherwise readings and resets meet per device and time slice. Each slice also
-  gets the last reset before it, so a reading is compared with the resets of
-  its own slice only, never with all resets of the device.
+Resets become validity intervals, and a reading is joined to the interval of its
+device that holds its time. Two things are counted on the ledger first:
+
+* Each reading is compared with all intervals that share its join key. For a
+  device with many resets the key is cut into time slices; every slice that has
+  readings also gets the last reset before it. So a reading meets the resets of
+  its own slice only, however many its device has.
+* Intervals are broadcast only if they are few, and the log is then not
+  shuffled. Otherwise both sides are shuffled, and adaptive execution splits
+  the partitions of very active devices (``spark.sql.adaptive.skewJoin``).
 """
 
 from __future__ import annotations
@@ -14,28 +17,30 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.times import ts
+from footfall.functions.times import floor_to, ts
 from footfall.operators.latest import latest_by
 from footfall.operators.slices import UNITS
-from footfall.functions.times import floor_to
 
 RESET_COLUMNS = ["reset_time", "reset_in_count", "reset_out_count"]
+RESET_ORDER = ("reset_time", "reset_in_count", "reset_out_count")
+
+# Slice of devices that are not cut; a fixed value, as join keys must not be null.
+WHOLE = "1970-01-01"
 
 
 @dataclass(frozen=True)
 class AsofLimits:
-    """When the ledger may be broadcast, and how far a slice is cut otherwise."""
+    """When intervals may be broadcast, and how many may share a join key."""
 
     # About 50 bytes a row in a hash relation: 100 MB per executor.
     broadcast_rows: int = 2_000_000
-    # Intervals of one device are tested one by one against each reading.
-    resets_per_device: int = 256
-    resets_per_slice: int = 64
-    # Copies of the slice ledger; a device slice is spread over as many tasks.
-    salts: int = 32
+    # More resets than this, and a device is cut into slices ...
+    resets_per_device: int = 512
+    # ... of the coarsest unit that has at most this many.
+    resets_per_slice: int = 256
 
 
 DEFAULT_LIMITS = AsofLimits()
@@ -52,12 +57,7 @@ def resets_for_range(resets: DataFrame, start, end) -> DataFrame:
     after ``end`` (a minute bucket looks to its own end), and of those before
     ``start`` only each device's last one."""
     cut = F.col("reset_time") < ts(start)
-    before = latest_by(
-        resets.filter(cut),
-        ["device_id"],
-        ("reset_time", "reset_in_count", "reset_out_count"),
-        RESET_COLUMNS,
-    )
+    before = latest_by(resets.filter(cut), ["device_id"], RESET_ORDER, RESET_COLUMNS)
     within = resets.filter(~cut & (F.col("reset_time") <= ts(end + timedelta(minutes=1))))
     return before.unionByName(within.select("device_id", *RESET_COLUMNS))
 
@@ -75,68 +75,37 @@ def asof_reset(
     """
     resets = resets.select("device_id", *RESET_COLUMNS).filter("reset_time is not null")
     per_device = resets.groupBy("device_id").count()
-    total, most = per_device.agg(F.sum("count"), F.max("count")).first()
-    if (total or 0) <= limits.broadcast_rows and (most or 0) <= limits.resets_per_device:
-        return asof_broadcast(probe, resets, probe_time, inclusive)
-    return asof_sliced(probe, resets, probe_time, inclusive, limits)
-
-
-def asof_broadcast(
-    probe: DataFrame, resets: DataFrame, probe_time: str, inclusive: bool
-) -> DataFrame:
-    """For a ledger whose size the caller has checked."""
-    intervals = _intervals(distinct_resets(resets), ["device_id"])
-    return _interval_join(probe, F.broadcast(intervals), probe_time, inclusive, ["device_id"])
-
-
-def asof_sliced(
-    probe: DataFrame,
-    resets: DataFrame,
-    probe_time: str,
-    inclusive: bool,
-    limits: AsofLimits = DEFAULT_LIMITS,
-) -> DataFrame:
-    """For a ledger of any size and any distribution over devices."""
+    many = F.col("count") > limits.resets_per_device
+    total, busy = per_device.agg(F.sum("count"), F.count_if(many)).first()
     ledger = distinct_resets(resets)
-    unit = _reset_unit(ledger, limits.resets_per_slice)
-    ledger = ledger.withColumn("_slice", floor_to(F.col("reset_time"), unit))
-    probe = probe.withColumn("_slice", floor_to(F.col(probe_time), unit))
-
-    # Last reset before each slice that has readings, from one row per slice.
-    marks = (
-        probe.select("device_id", "_slice")
-        .distinct()
-        .withColumn("asked", F.lit(True))
-        .unionByName(
-            latest_by(ledger, ["device_id", "_slice"], ("reset_time",), RESET_COLUMNS).select(
-                "device_id", "_slice", F.struct(*RESET_COLUMNS).alias("tail")
-            ),
-            allowMissingColumns=True,
-        )
-        .groupBy("device_id", "_slice")
-        .agg(F.first("asked", ignorenulls=True).alias("asked"),
-             F.first("tail", ignorenulls=True).alias("tail"))
-    )
-    earlier = (
-        Window.partitionBy("device_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        marks.withColumn("carry", F.last("tail", ignorenulls=True).over(earlier))
-        .filter("asked and carry is not null")
-        .select("device_id", "_slice", "carry.*")
-    )
-    candidates = carried.unionByName(ledger.select("device_id", "_slice", *RESET_COLUMNS))
-    intervals = _intervals(candidates, ["device_id", "_slice"])
-
-    # Spread the readings of one device slice over several tasks.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
-    intervals = intervals.withColumn("_salt", salts)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns]), F.lit(limits.salts))
-    probe = probe.withColumn("_salt", spread.cast("int"))
-    joined = _interval_join(
-        probe, intervals, probe_time, inclusive, ["device_id", "_slice", "_salt"]
-    )
-    return joined.drop("_slice", "_salt")
+    if not busy:
+        intervals = _intervals(ledger, ["device_id"])
+        if (total or 0) <= limits.broadcast_rows:
+            intervals = F.broadcast(intervals)
+        return _interval_join(probe, intervals, probe_time, inclusive, ["device_id"])
+
+    busy_devices = per_device.filter(many).select("device_id", F.lit(True).alias("_busy"))
+    if busy <= limits.broadcast_rows:
+        busy_devices = F.broadcast(busy_devices)
+    busy_ledger = ledger.join(busy_devices, "device_id")
+    unit = _reset_unit(busy_ledger, limits.resets_per_slice)
+
+    def sliced(df: DataFrame, time: str) -> DataFrame:
+        of_slice: Column = F.when(F.col("_busy"), floor_to(F.col(time), unit))
+        marked = df.join(busy_devices, "device_id", "left")
+        return marked.withColumn("_slice", F.coalesce(of_slice, ts(WHOLE)))
+
+    sliced_probe = sliced(probe, probe_time)
+    asked = sliced_probe.filter("_busy").select("device_id", "_slice").distinct()
+    asked_slices = asked.count()
+    sliced_ledger = sliced(ledger, "reset_time").drop("_busy")
+    carried = _last_before(asked, sliced_ledger.filter(F.col("_slice") > ts(WHOLE)))
+    keys = ["device_id", "_slice"]
+    intervals = _intervals(carried.unionByName(sliced_ledger.select(*keys, *RESET_COLUMNS)), keys)
+    if total + asked_slices <= limits.broadcast_rows:
+        intervals = F.broadcast(intervals)
+    joined = _interval_join(sliced_probe, intervals, probe_time, inclusive, keys)
+    return joined.select(*probe.columns, *RESET_COLUMNS)
 
 
 def _reset_unit(ledger: DataFrame, most: int) -> str:
@@ -147,6 +116,26 @@ def _reset_unit(ledger: DataFrame, most: int) -> str:
     return UNITS[-1]
 
 
+def _last_before(asked: DataFrame, ledger: DataFrame) -> DataFrame:
+    """For each asked ``device_id, _slice`` the device's last reset of an earlier slice.
+
+    The window holds one row per slice of a device, not its resets.
+    """
+    keys = ["device_id", "_slice"]
+    tails = latest_by(ledger, keys, ("reset_time",), RESET_COLUMNS)
+    marks = asked.withColumn("asked", F.lit(True)).unionByName(
+        tails.select(*keys, F.struct(*RESET_COLUMNS).alias("tail")), allowMissingColumns=True
+    )
+    slices = marks.groupBy(*keys).agg(
+        F.first("asked", ignorenulls=True).alias("asked"),
+        F.first("tail", ignorenulls=True).alias("tail"),
+    )
+    earlier = Window.partitionBy("device_id").orderBy("_slice")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.withColumn("carry", F.last("tail", ignorenulls=True).over(earlier))
+    return carried.filter("asked and carry is not null").select(*keys, "carry.*")
+
+
 def _intervals(resets: DataFrame, group: list[str]) -> DataFrame:
     """Add ``_until``, the next reset of the group (null for the last)."""
     window = Window.partitionBy(*group).orderBy("reset_time")
@@ -159,13 +148,11 @@ def _interval_join(
     at = F.col(f"p.{probe_time}")
     start, until = F.col("r.reset_time"), F.col("r._until")
     if inclusive:
-        within = (start <= at) & (until.isNull() | (at < until))
+        on = (start <= at) & (until.isNull() | (at < until))
     else:
-        within = (start < at) & (until.isNull() | (at <= until))
-    same = [F.col(f"p.{key}") == F.col(f"r.{key}") for key in keys]
-    on = within
-    for test in same:
-        on = test & on
+        on = (start < at) & (until.isNull() | (at <= until))
+    for key in keys:
+        on = (F.col(f"p.{key}") == F.col(f"r.{key}")) & on
     return probe.alias("p").join(intervals.alias("r"), on, "left").select(
         "p.*", *[f"r.{name}" for name in RESET_COLUMNS]
     )

@@ -15,24 +15,27 @@ from pyspark.sql import functions as F
 
 from footfall.functions.counters import with_display
 from footfall.functions.times import as_datetime
-from footfall.operators.latest import BY_ARRIVAL, latest_log, latest_reset
+from footfall.operators.latest import BY_ARRIVAL, latest_by, latest_reset
 from footfall.sources.tables import any_of, created_since
 
 LOOK_BACK = timedelta(days=30)
 
 
-def _adjusted(log: DataFrame, resets: DataFrame, as_of, order: tuple[str, ...]) -> DataFrame:
+def _adjusted(
+    log: DataFrame, resets: DataFrame, as_of, order: tuple[str, ...], columns: list[str]
+) -> DataFrame:
+    recent = created_since(log, as_datetime(as_of) - LOOK_BACK)
+    # Naming the columns lets the scan skip the others.
+    newest = latest_by(recent, ["device_id"], order, [*columns, "in_count", "out_count"])
     # Both sides are aggregated by device, so the join needs no further shuffle.
-    newest = latest_log(created_since(log, as_datetime(as_of) - LOOK_BACK), order)
     return with_display(newest.join(latest_reset(resets), "device_id", "left"))
 
 
 def _devices(log: DataFrame, resets: DataFrame, as_of, order: tuple[str, ...]) -> DataFrame:
-    return _adjusted(log, resets, as_of, order).select(
+    columns = ["location", "sublocation", "event_time"]
+    return _adjusted(log, resets, as_of, order, columns).select(
         "device_id",
-        "location",
-        "sublocation",
-        "event_time",
+        *columns,
         "display_in",
         "display_out",
         (F.col("display_in") - F.col("display_out")).alias("inside"),
@@ -46,7 +49,7 @@ def building_summary(
     occupancy may be negative."""
     total_in, total_out = F.sum("display_in"), F.sum("display_out")
     return (
-        _adjusted(log, resets, as_of, order)
+        _adjusted(log, resets, as_of, order, ["location"])
         .groupBy(F.col("location").alias("building"))
         .agg(
             total_in.alias("total_in"),
@@ -79,5 +82,5 @@ def latest_devices(
 
 def device_building(log: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
     """Building of each device's newest reading; a device without one has no row."""
-    newest = latest_log(any_of(log, "device_id", ids).select("device_id", "location", *BY_ARRIVAL))
+    newest = latest_by(any_of(log, "device_id", ids), ["device_id"], BY_ARRIVAL, ["location"])
     return newest.filter("location is not null").select("device_id", "location")

@@ -317,6 +317,9 @@ def oracle_sql() -> dict[str, str]:
         "asof_reset_sliced": with_tables(
             f"SELECT id, device_id, event_time, reset_time, reset_in_count, reset_out_count "
             f"FROM ({_asof('l.event_time', '>=')})", "log", "resets"),
+        "asof_reset_shuffled": with_tables(
+            f"SELECT id, device_id, event_time, reset_time, reset_in_count, reset_out_count "
+            f"FROM ({_asof('l.event_time', '>=')})", "log", "resets"),
         "display_counts": with_tables(
             f"SELECT id, device_id, event_time, in_count, out_count, {DISPLAY_COUNTS} "
             f"FROM ({_asof('l.event_time', '>=')})", "log", "resets"),
