@@ -13,6 +13,8 @@ be written as 32-bit integers. Messages are checked row by row, without a shuffl
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from footfall.operators.slices import MAX_GROUP_ROWS, with_previous
 # Names in the message; fixed values.
 TEXT_FIELDS = ("Location", "SubLocation", "ipaddr", "TimeStamp")
 INT_FIELDS = ("Total_IN", "Total_Out", "Capacity")
+_COLUMN_OF = dict(zip(INT_FIELDS, ("in_count", "out_count", "capacity")))
 
 BAD_MESSAGE = "bad_message"
 BAD_TIMESTAMP = "bad_timestamp"
@@ -36,45 +39,56 @@ MAX_POSITIONS = 1 << 24
 _FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 
-def _field(value: Column, name: str) -> Column:
-    """A field as VARIANT: SQL null if missing, variant null if JSON null."""
-    return F.try_variant_get(value, f"$.{name}", "variant")
-
+# Objects are read as a whole; their leaves stay VARIANT, to be checked one by one. A
+# leaf is SQL null if missing and variant null if JSON null. An element that is not
+# an object is read as SQL null, like JSON null.
+_DEVICES_TYPE = "array<struct<Device:variant,Data:variant>>"
+_READINGS_TYPE = "array<struct<{}>>".format(
+    ",".join(f"{name}:variant" for name in (*TEXT_FIELDS, *INT_FIELDS))
+)
 
-def _is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
-
-def _absent(value: Column) -> Column:
-    return value.isNull() | F.is_variant_null(value)
+def _only_objects(elements: Column, source: Column) -> Column:
+    """Whether every null among ``elements`` is a JSON null of ``source``, an array."""
+    plain = F.try_variant_get(source, "$", "array<variant>")
+    same = F.size(F.filter(elements, lambda e: e.isNull())) == F.size(
+        F.filter(plain, F.is_variant_null)
+    )
+    return F.forall(elements, lambda e: e.isNotNull()) | same
 
 
 def _text_ok(value: Column) -> Column:
-    return _absent(value) | (F.schema_of_variant(value) == "STRING")
+    return value.isNull() | F.schema_of_variant(value).isin("STRING", "VOID")
 
 
 def _int_ok(value: Column) -> Column:
-    whole = (F.schema_of_variant(value) == "BIGINT") & F.try_variant_get(
-        value, "$", "int"
-    ).isNotNull()
-    return value.isNull() | F.coalesce(whole, F.lit(False))
+    fits = F.try_variant_get(value, "$", "int").isNotNull()
+    return value.isNull() | ((F.schema_of_variant(value) == "BIGINT") & fits)
 
 
 def _reading_ok(reading: Column) -> Column:
-    good = _is_object(reading)
-    for name in TEXT_FIELDS:
-        good = good & _text_ok(_field(reading, name))
-    for name in INT_FIELDS:
-        good = good & _int_ok(_field(reading, name))
-    return F.is_variant_null(reading) | good
+    good = reading.isNull()
+    fields = [_text_ok(reading[name]) for name in TEXT_FIELDS]
+    fields += [_int_ok(reading[name]) for name in INT_FIELDS]
+    return good | reduce(lambda a, b: a & b, fields)
+
+
+def _with_readings(device: Column) -> Column:
+    readings = F.try_variant_get(device["Data"], "$", _READINGS_TYPE)
+    return F.when(
+        device.isNotNull(),
+        F.struct(
+            device["Device"].alias("Device"), device["Data"].alias("Data"), readings.alias("readings")
+        ),
+    )
 
 
 def _device_ok(device: Column) -> Column:
-    data = _field(device, "Data")
-    readings = F.try_variant_get(data, "$", "array<variant>")
-    data_ok = _absent(data) | F.coalesce(F.forall(readings, _reading_ok), F.lit(False))
-    return F.is_variant_null(device) | (
-        _is_object(device) & _text_ok(_field(device, "Device")) & data_ok
+    data, readings = device["Data"], device["readings"]
+    no_data = data.isNull() | F.is_variant_null(data)
+    readings_ok = F.forall(readings, _reading_ok) & _only_objects(readings, data)
+    return device.isNull() | (
+        _text_ok(device["Device"]) & (no_data | F.coalesce(readings_ok, F.lit(False)))
     )
 
 
@@ -84,45 +98,29 @@ def _event_time(text: Column) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
-def _text(reading: Column, name: str) -> Column:
-    return F.try_variant_get(reading, f"$.{name}", "string")
-
-
-def _int(reading: Column, name: str) -> Column:
-    return F.coalesce(F.try_variant_get(reading, f"$.{name}", "int"), F.lit(0))
-
-
-def _reading_row(device: Column, reading: Column, reason: Column) -> Column:
-    ip = F.when(_field(reading, "ipaddr").isNull(), F.lit("")).otherwise(_text(reading, "ipaddr"))
+def _item(device: Column, reading: Column, reason: Column) -> Column:
+    """What is filtered on is read here, once; the rest only for rows that stay."""
+    moment = F.try_variant_get(reading["TimeStamp"], "$", "string")
     return F.struct(
-        _text(device, "Device").alias("device_id"),
-        _text(reading, "Location").alias("location"),
-        _text(reading, "SubLocation").alias("sublocation"),
-        _int(reading, "Total_IN").alias("in_count"),
-        _int(reading, "Total_Out").alias("out_count"),
-        _int(reading, "Capacity").alias("capacity"),
-        ip.alias("ip_address"),
-        _event_time(_text(reading, "TimeStamp")).alias("event_time"),
+        F.try_variant_get(device["Device"], "$", "string").alias("device_id"),
+        _event_time(moment).alias("event_time"),
+        reading.alias("reading"),
         reason.alias("reason"),
     )
 
 
-def _device_rows(device: Column) -> Column:
-    """One row per reading; an element without readings gives one rejected row."""
-    nothing = F.lit(None).cast("variant")
-    readings = F.try_variant_get(_field(device, "Data"), "$", "array<variant>")
+def _device_items(device: Column) -> Column:
+    """One item per reading; an element without readings gives one rejected item."""
+    no_reading = F.get(device["readings"], F.lit(-1))
+    no_reason = F.lit(None).cast("string")
 
-    def row(reading: Column) -> Column:
-        reason = (
-            F.when(F.is_variant_null(reading), F.lit(NULL_ELEMENT))
-            .when(_text(device, "Device").isNull(), F.lit(NULL_DEVICE))
-            .when(_event_time(_text(reading, "TimeStamp")).isNull(), F.lit(BAD_TIMESTAMP))
-        )
-        return _reading_row(device, reading, reason)
+    def item(reading: Column) -> Column:
+        reason = F.when(reading.isNull(), F.lit(NULL_ELEMENT)).otherwise(no_reason)
+        return _item(device, reading, reason)
 
-    missing = F.when(F.is_variant_null(device), F.lit(NULL_ELEMENT)).otherwise(F.lit(NULL_DATA))
+    missing = F.when(device.isNull(), F.lit(NULL_ELEMENT)).otherwise(F.lit(NULL_DATA))
     return F.coalesce(
-        F.transform(readings, row), F.array(_reading_row(device, nothing, missing))
+        F.transform(device["readings"], item), F.array(_item(device, no_reading, missing))
     )
 
 
@@ -132,24 +130,63 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     ``reason`` is null for a good reading. An empty message, JSON null and an empty
     array give no rows. ``position`` numbers the readings of a message.
     """
-    # The parser stops at the end of the first JSON value. A value that parses both
-    # as an object's member and as an array's element has nothing after it.
-    parsed = F.try_parse_json(F.concat(F.lit('{"m":'), "value", F.lit("}")))
-    alone = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).isNotNull()
+    # The parser stops at the end of the first JSON value, so the text is followed by a
+    # number of its own: found in second place, nothing else stood after the message.
+    seal = F.xxhash64("value")
+    sealed = F.try_parse_json(
+        F.concat(F.lit("["), "value", F.lit(","), seal.cast("string"), F.lit("]"))
+    )
+    found = F.when(
+        F.try_variant_get("sealed", "$[1]", "bigint") == seal,
+        F.try_variant_get("sealed", "$[0]", "variant"),
+    )
     messages = (
         raw.filter(F.length("value") > 0)
-        .withColumn("message", _field(parsed, "m"))
-        .withColumn("alone", alone)
-        .filter(~(F.col("alone") & F.coalesce(F.is_variant_null("message"), F.lit(False))))
-        .withColumn("devices", F.try_variant_get("message", "$", "array<variant>"))
-    )
-    good = F.col("alone") & F.coalesce(F.forall("devices", _device_ok), F.lit(False))
-    nothing = F.lit(None).cast("variant")
-    rejected = F.array(_reading_row(nothing, nothing, F.lit(BAD_MESSAGE)))
-    rows = F.when(good, F.flatten(F.transform("devices", _device_rows))).otherwise(rejected)
-    return (
-        messages.select("arrival", "value", F.posexplode(rows).alias("position", "row"))
-        .select("arrival", "position", "row.*", F.col("value").alias("raw"))
+        .select("arrival", "value", sealed.alias("sealed"))
+        .select("arrival", "value", found.alias("found"))
+        .withColumn("devices", F.try_variant_get("found", "$", _DEVICES_TYPE))
+        .withColumn("detailed", F.transform("devices", _with_readings))
+    )
+    good = F.forall("detailed", _device_ok) & _only_objects(F.col("devices"), F.col("found"))
+    good = F.coalesce(good, F.lit(False))
+    no_device = F.get("detailed", F.lit(-1))
+    no_reading = F.get(no_device["readings"], F.lit(-1))
+    rejected = F.array(_item(no_device, no_reading, F.lit(BAD_MESSAGE)))
+    items = (
+        F.when(F.trim("value") == "null", F.slice(rejected, 1, 0))
+        .when(good, F.flatten(F.transform("detailed", _device_items)))
+        .otherwise(rejected)
+    )
+    # The outer form keeps the optimizer from testing the items before exploding them,
+    # which would decode every message twice.
+    exploded = messages.select(
+        "arrival", "value", F.posexplode_outer(items).alias("position", "item")
+    ).filter("position is not null")
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(F.col(f"item.reading.{name}"), "$", "string")
+
+    def whole(name: str) -> Column:
+        number = F.try_variant_get(F.col(f"item.reading.{name}"), "$", "int")
+        return F.coalesce(number, F.lit(0)).alias(_COLUMN_OF[name])
+
+    no_ip = F.col("item.reading.ipaddr").isNull()
+    reason = (
+        F.when(F.col("item.reason").isNotNull(), F.col("item.reason"))
+        .when(F.col("item.device_id").isNull(), F.lit(NULL_DEVICE))
+        .when(F.col("item.event_time").isNull(), F.lit(BAD_TIMESTAMP))
+    )
+    return exploded.select(
+        "arrival",
+        "position",
+        "item.device_id",
+        text("Location").alias("location"),
+        text("SubLocation").alias("sublocation"),
+        *[whole(name) for name in INT_FIELDS],
+        F.when(no_ip, F.lit("")).otherwise(text("ipaddr")).alias("ip_address"),
+        "item.event_time",
+        reason.alias("reason"),
+        F.col("value").alias("raw"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.times import ts
 from footfall.operators.latest import BY_EVENT
-from footfall.sources.tables import any_of
+from footfall.sources.tables import in_frame, in_list
 
 
 def _ledger_rows(newest: DataFrame, as_of) -> DataFrame:
@@ -25,8 +25,9 @@ def _newest_counts():
 
 def reset_devices(log: DataFrame, ids: list[str] | DataFrame, as_of) -> DataFrame:
     """Ledger rows for the given devices; a device without readings gets none."""
-    newest = any_of(log, "device_id", ids).groupBy("device_id").agg(_newest_counts())
-    return _ledger_rows(newest, as_of)
+    listed = in_list(log, "device_id", ids)
+    newest = listed.groupBy("device_id").agg(_newest_counts())
+    return _ledger_rows(in_frame(newest, "device_id", ids), as_of)
 
 
 def building_device_ids(log: DataFrame, building: str) -> DataFrame:

@@ -16,24 +16,36 @@ from pyspark.sql import functions as F
 from footfall.functions.counters import with_display
 from footfall.functions.times import as_datetime
 from footfall.operators.latest import BY_ARRIVAL, latest_by, latest_reset
-from footfall.sources.tables import any_of, created_since
+from footfall.sources.tables import created_since, in_frame, in_list
 
 LOOK_BACK = timedelta(days=30)
 
 
 def _adjusted(
-    log: DataFrame, resets: DataFrame, as_of, order: tuple[str, ...], columns: list[str]
+    log: DataFrame,
+    resets: DataFrame,
+    as_of,
+    order: tuple[str, ...],
+    columns: list[str],
+    ids: list[str] | DataFrame | None = None,
 ) -> DataFrame:
     recent = created_since(log, as_datetime(as_of) - LOOK_BACK)
     # Naming the columns lets the scan skip the others.
     newest = latest_by(recent, ["device_id"], order, [*columns, "in_count", "out_count"])
+    newest = newest if ids is None else in_frame(newest, "device_id", ids)
     # Both sides are aggregated by device, so the join needs no further shuffle.
     return with_display(newest.join(latest_reset(resets), "device_id", "left"))
 
 
-def _devices(log: DataFrame, resets: DataFrame, as_of, order: tuple[str, ...]) -> DataFrame:
+def _devices(
+    log: DataFrame,
+    resets: DataFrame,
+    as_of,
+    order: tuple[str, ...],
+    ids: list[str] | DataFrame | None = None,
+) -> DataFrame:
     columns = ["location", "sublocation", "event_time"]
-    return _adjusted(log, resets, as_of, order, columns).select(
+    return _adjusted(log, resets, as_of, order, columns, ids).select(
         "device_id",
         *columns,
         "display_in",
@@ -76,11 +88,14 @@ def latest_devices(
     order: tuple[str, ...] = BY_ARRIVAL,
 ) -> DataFrame:
     """Current counts of the given devices; no ids give no rows."""
-    wanted = any_of(log, "device_id", ids)
-    return _devices(wanted, any_of(resets, "device_id", ids), as_of, order)
+    listed = in_list(log, "device_id", ids)
+    return _devices(listed, in_list(resets, "device_id", ids), as_of, order, ids)
 
 
 def device_building(log: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
     """Building of each device's newest reading; a device without one has no row."""
-    newest = latest_by(any_of(log, "device_id", ids), ["device_id"], BY_ARRIVAL, ["location"])
+    listed = in_list(log, "device_id", ids)
+    newest = in_frame(
+        latest_by(listed, ["device_id"], BY_ARRIVAL, ["location"]), "device_id", ids
+    )
     return newest.filter("location is not null").select("device_id", "location")

@@ -58,18 +58,27 @@ def created_since(log: DataFrame, start) -> DataFrame:
     return log.filter(F.col("created_at") >= ts(start))
 
 
-def any_of(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
-    """Keep rows whose ``column`` is among ``values``.
-
-    A list becomes an IN filter the scan can use; a DataFrame (first column) is
-    semi-joined, and Catalyst picks the join from its size.
-    """
+def in_list(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
+    """Keep rows whose ``column`` is in a list, as a filter the scan can use. A
+    DataFrame of values is left to :func:`in_frame`."""
     if isinstance(values, DataFrame):
-        keys = values.select(F.col(values.columns[0]).alias(column)).distinct()
-        return df.join(keys, column, "left_semi")
+        return df
     return df.filter(F.col(column).isin(list(values))) if values else df.filter(F.lit(False))
 
 
+def in_frame(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
+    """Semi-join rows with a DataFrame of values (its first column).
+
+    Meant for rows already reduced to one per ``column``: Catalyst moves the join
+    below the aggregation if the values are small enough to broadcast, and does
+    not shuffle the log by device if they are not.
+    """
+    if not isinstance(values, DataFrame):
+        return df
+    keys = values.select(F.col(values.columns[0]).alias(column))
+    return df.join(keys, column, "left_semi")
+
+
 def optional_filters(df: DataFrame, **wanted: str | None) -> DataFrame:
     """AND together ``column == value`` for the values that are given."""
     tests = [F.col(name) == F.lit(value) for name, value in wanted.items() if value is not None]
