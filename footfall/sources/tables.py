@@ -69,9 +69,8 @@ def in_list(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFr
 def in_frame(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
     """Semi-join rows with a DataFrame of values (its first column).
 
-    Meant for rows already reduced to one per ``column``: Catalyst moves the join
-    below the aggregation if the values are small enough to broadcast, and does
-    not shuffle the log by device if they are not.
+    Meant for rows already reduced to one per ``column``. The join then costs the
+    same whatever the number of values, and never shuffles the rows of the log.
     """
     if not isinstance(values, DataFrame):
         return df
