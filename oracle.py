@@ -212,15 +212,21 @@ def _asof(probe_time: str, op: str, log: str = "log") -> str:
 
 
 def _trend(
-    bucket: str, where: str, start: str, end: str, out_keys: str = "", monthly: bool = False
+    bucket: str,
+    where: str,
+    start: str,
+    end: str,
+    out_keys: str = "",
+    monthly: bool = False,
+    number: str = "BIGINT",
 ) -> str:
     """``out_keys``: leading result columns; growth is per device and, if kept, location."""
     log, resets = ("log_months", "resets_months") if monthly else ("log", "resets")
     group = "device_id, location" if "location" in out_keys else "device_id"
     keys = f"{out_keys}, time" if out_keys else "time"
     return with_tables(
-        f"""SELECT {keys}, CAST(sum(greatest(d_in, 0)) AS BIGINT) AS "in",
-                   CAST(sum(greatest(d_out, 0)) AS BIGINT) AS "out"
+        f"""SELECT {keys}, CAST(sum(greatest(d_in, 0)) AS {number}) AS "in",
+                   CAST(sum(greatest(d_out, 0)) AS {number}) AS "out"
         FROM (SELECT {group}, time,
                 CASE WHEN lag(max_in) OVER w IS NULL THEN max_in - min_in
                      ELSE max_in - lag(max_in) OVER w END AS d_in,
@@ -323,10 +329,10 @@ def oracle_sql() -> dict[str, str]:
         "display_counts": with_tables(
             f"SELECT id, device_id, event_time, in_count, out_count, {DISPLAY_COUNTS} "
             f"FROM ({_asof('l.event_time', '>=')})", "log", "resets"),
-        "sensor_trend_hour": _trend("hour", dev7, *HOURS),
-        "sensor_trend_day": _trend("day", dev7, *DAYS),
-        "sensor_trend_month": _trend("month", dev7, *MONTHS, monthly=True),
-        "sensor_trend_all_hour": _trend("hour", "true", *HOURS, "device_id"),
+        "sensor_trend_hour": _trend("hour", dev7, *HOURS, number="INT"),
+        "sensor_trend_day": _trend("day", dev7, *DAYS, number="INT"),
+        "sensor_trend_month": _trend("month", dev7, *MONTHS, monthly=True, number="INT"),
+        "sensor_trend_all_hour": _trend("hour", "true", *HOURS, "device_id", number="INT"),
         "location_trend_hour": _trend("hour", b7, *HOURS),
         "location_trend_day": _trend("day", b7, *DAYS_FULL),
         "location_trend_month": _trend("month", b7, *MONTHS_FULL, monthly=True),
