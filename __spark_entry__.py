@@ -34,6 +34,15 @@ from footfall.sources.payloads import payload_files
 from footfall.sources.tables import log_union
 from footfall.streaming.ingest import StreamTables, ingest_stream, summary_stream
 
+# The operators for training data live in folders of their own, which may be absent.
+try:
+    import corpus_pipeline
+    from footfall.llm.queries import llm_oracle_sql, llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "footfall.llm", "footfall.llm.queries"):
+        raise
+    corpus_pipeline = None
+
 AS_OF = "2024-02-10"
 HEALTH_AT = "2024-01-31"
 DEVICE, BUILDING, DAY = "dev-7", "B7", "2024-01-15"
@@ -206,6 +215,11 @@ def _stream(fn: Callable[[SparkSession, StreamTables], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
+    more = {**llm_queries(), "pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    return {**_counter_queries(), **more}
+
+
+def _counter_queries() -> dict[str, Query]:
     return {
         "latest_reset": _snapshot(lambda log, resets, online: latest.latest_reset(resets)),
         "latest_log": _log(lambda log: latest.latest_log(log).select(*LOG_COLUMNS)),
@@ -284,4 +298,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    more = llm_oracle_sql() if corpus_pipeline else {}
+    return {**oracle.oracle_sql(), **more}

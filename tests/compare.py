@@ -55,7 +55,7 @@ def main() -> int:
     con = connect(sf_dir)
     queries, sqls = entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in wanted or queries:
+    for name in wanted or sqls:
         begin = time.time()
         try:
             got = spark_rows(queries[name](spark, sf_dir))

@@ -16,10 +16,13 @@ def con():
 
 
 def test_same_names():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    queries, sqls = set(entry.queries()), set(entry.oracle_sql())
+    assert sqls <= queries
+    # Only the training-data queries may be checked in their own tests instead.
+    assert all(name == "pipeline" or name.startswith("op") for name in queries - sqls)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, con, name):
     got = spark_rows(entry.queries()[name](spark, SF))
     assert got == duck_rows(con, entry.oracle_sql()[name])
