@@ -1,0 +1,491 @@
+"""N-gram Jaccard join by parity sketches.
+
+A text is the set of its distinct word shingles, as 64-bit hashes. Two sets link when
+``100 * |A & B| >= 75 * |A | B|``. Then their symmetric difference is at most
+``(|A| + |B|) / 7``, which bounds the Hamming distance of parity sketches from above.
+
+* **Sketch.** In a size band (sizes of one power of two) the elements are spread over ``m`` blocks;
+  a block's value is the XOR of its elements' hashes. An element in only one of two sets changes
+  one block, so two linked sets differ in at most ``T`` blocks: of any ``T + 1`` blocks of a set
+  one is the same in the other (pigeonhole). A band also takes the sets just below it that can
+  link into it.
+* **Certificate.** A set of which ``T + 1`` blocks occur in no other set links with nothing. One
+  packed shuffle of block values settles this for nearly all texts; their sets are never moved.
+* **Rounds.** The rest are compared block by block. Sets that share a block with a leader are
+  verified against it, linked ones become one component, and a block whose sets are all of
+  one component needs no more comparisons. Two rounds with different leaders leave few pairs;
+  the last round takes every pair of different components in the ``T + 1`` cheapest blocks of each set
+  that is not settled, so no link is lost and no group is expanded into all its pairs.
+* **Verification** counts the common elements exactly.
+
+Equal sets are one node throughout. Null and empty texts, and rows with a null id, link with
+nothing. Rows that share an id are one document: what links to any of them links to it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from footfall.llm.arrays import NON_SPACE, flat, hash_words, mix, per_text, pieces, window_hashes
+from footfall.llm.graph import connected
+from footfall.llm.tables import cut, shuffle_partitions
+
+WORDS = 5
+#: Links need 100 * common >= PERCENT * union; the bounds of the module are for 75.
+PERCENT = 75
+#: Blocks per needed block: room for blocks that are empty or common.
+ROOM = 1.1
+LOW_BITS = np.uint64(40)
+_LOW = np.uint64((1 << 40) - 1)
+_SALT = np.uint64(0xE7037ED1A0B428DB)
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of all texts, and where each text's begin."""
+    words = hash_words(data, at, NON_SPACE)
+    start, value = window_hashes(words, size)
+    text = words.text[start]
+    counts = words.counts
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    if len(short):
+        whole = []
+        for row in short:
+            total = np.uint64(0)
+            for h in words.hash[words.first[row] : words.first[row + 1]]:
+                with np.errstate(over="ignore"):
+                    total = total * _SALT + h
+            whole.append(total ^ np.uint64(counts[row]))
+        text = np.concatenate([text, short])
+        value = np.concatenate([value, mix(np.array(whole, np.uint64))])
+        order = np.argsort(text, kind="stable")
+        text, value = text[order], value[order]
+    first = np.searchsorted(text, np.arange(len(at)))
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        value[a:b].sort()
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+    return value[new], np.searchsorted(text[new], np.arange(len(at)))
+
+
+def node_ids(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit id of each set, the same for equal sets."""
+    total = per_text(mix(sets ^ _SALT), first)
+    return mix(total + np.diff(first).astype(np.uint64) * _SALT).view(np.int64)
+
+
+def band_plan(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(set number, band, blocks)`` of each band that a set takes part in."""
+    some = np.flatnonzero(sizes > 0)
+    own = np.floor(np.log2(sizes[some] + 0.5)).astype(np.int64)
+    above = 4 * sizes[some] >= 3 * (2 << own)
+    number = np.concatenate([some, some[above]])
+    band = np.concatenate([own, own[above] + 1])
+    order = np.argsort(number, kind="stable")
+    number, band = number[order], band[order]
+    most = (2 * ((2 << band) - 1)) // 7
+    return number, band, np.ceil(ROOM * (most + 1)).astype(np.int64) + 4
+
+
+def needed(size, band):
+    """Blocks that settle a set in a band: one more than its largest difference to a link."""
+    partner = np.minimum((2 << band) - 1, 4 * size // 3)
+    return (size + partner) // 7 + 1
+
+
+def block_keys(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, entry)`` of every block that is not empty, and ``(set number, band)`` of the
+    entries, one for each band of each set."""
+    number, band, blocks = band_plan(np.diff(first))
+    keys, entry = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    sizes = np.diff(first)[number]
+    ends = np.cumsum(sizes)
+    if len(number):
+        element = np.repeat(first[number] - (ends - sizes), sizes) + np.arange(ends[-1])
+        value = sets[element]
+        whose = np.repeat(np.arange(len(number)), sizes)
+        # Elements are sorted by hash, so blocks taken from the high bits are in order.
+        block = ((value >> np.uint64(32)) * blocks[whose].astype(np.uint64)) >> np.uint64(32)
+        new = np.ones(len(value), bool)
+        new[1:] = (block[1:] != block[:-1]) | (whose[1:] != whose[:-1])
+        at = np.flatnonzero(new)
+        parity = np.bitwise_xor.reduceat(mix(value * _SALT), at)
+        place = (band[whose[at]].astype(np.uint64) << np.uint64(32)) | block[at]
+        keys.append(mix(parity + mix(place)))
+        entry.append(whose[at])
+    return np.concatenate(keys), np.concatenate(entry), number, band
+
+
+# --- packed shuffle of block keys -----------------------------------------------------------
+
+_PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary, sizes binary, bands binary"
+_NAMES = [p.split()[0] for p in _PACKED.split(", ")]
+
+
+def _pack(keys, entry, node, comp, size, band, parts: int) -> Iterator[tuple]:
+    """``(part, *packed columns)``: the keys of one part, in order of their entries."""
+    part = ((keys >> LOW_BITS) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    keys, entry, part = keys[order] & _LOW, entry[order], part[order]
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        a, b = edges[p], edges[p + 1]
+        own = entry[a:b]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        some = own[starts]
+        yield (
+            p,
+            (keys[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+            (keys[a:b] >> np.uint64(32)).astype(np.uint8).tobytes(),
+            np.diff(np.append(starts, b - a)).astype(np.uint32).tobytes(),
+            node[some].tobytes(),
+            comp[some].tobytes(),
+            size[some].astype(np.uint32).tobytes(),
+            band[some].astype(np.uint8).tobytes(),
+        )
+
+
+class _Part:
+    """All keys that reached one task, grouped."""
+
+    def __init__(self, rows: list[tuple]):
+        def column(k: int, kind) -> np.ndarray:
+            return np.concatenate([np.frombuffer(r[k + 1], kind) for r in rows])
+
+        lengths = np.array([len(r[2]) for r in rows])
+        low = column(0, np.uint32).astype(np.uint64) | (column(1, np.uint8).astype(np.uint64) << np.uint64(32))
+        key = low | (np.repeat(np.array([r[0] for r in rows], np.uint64), lengths) << LOW_BITS)
+        counts = column(2, np.uint32)
+        node, comp, size, band = column(3, np.int64), column(4, np.int64), column(5, np.uint32), column(6, np.uint8)
+        # One entry for a node in a band, however many copies of its text there are.
+        code = mix(node.view(np.uint64) + band.astype(np.uint64) * _SALT)
+        _, where, same = np.unique(code, return_index=True, return_inverse=True)
+        self.node, self.comp, self.size, self.band = node[where], comp[where], size[where], band[where]
+        entry = np.repeat(same, counts)
+        order = np.argsort(key, kind="stable")
+        self.key, self.entry = key[order], entry[order]
+        key = self.key
+        self.starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        self.lengths = np.diff(np.append(self.starts, len(key)))
+
+    def block_ids(self) -> np.ndarray:
+        return self.key[self.starts].view(np.int64)
+
+    def settled(self) -> np.ndarray:
+        """Which groups hold sets of one component only."""
+        comp = self.comp[self.entry]
+        return np.minimum.reduceat(comp, self.starts) == np.maximum.reduceat(comp, self.starts)
+
+    def credits(self, settled: np.ndarray) -> np.ndarray:
+        """Settled groups of each entry; copies of a text within a group count once."""
+        member = np.repeat(settled, self.lengths)
+        group = np.repeat(np.arange(len(self.starts)), self.lengths)[member].astype(np.int64)
+        pairs = np.unique(group * len(self.node) + self.entry[member])
+        return np.bincount(pairs % max(1, len(self.node)), minlength=len(self.node))
+
+
+def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
+    """Rows ``(id, n, node)`` of all documents and ``(n, node, band, credit)`` of all nodes."""
+    kind = dict(docs.dtypes)[id_col]
+    sent = f"part int, id {kind}, n long, node long, {_PACKED}"
+    sent_names = ["part", "id", "n", "node", *_NAMES]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = []
+            for piece in pieces(batch, text_col):
+                sets, first = shingle_sets(*flat(piece.column(1)))
+                sizes, node = np.diff(first), node_ids(sets, first)
+                bare = (sizes == 0) | piece.column(0).is_null().to_numpy(zero_copy_only=False)
+                rows = piece.num_rows
+                none = pa.nulls(rows, pa.binary())
+                yield pa.record_batch(
+                    [
+                        pa.array((node % parts).astype(np.int32)), piece.column(0), pa.array(sizes, pa.int64()),
+                        pa.array(node, pa.int64(), mask=bare), *([none] * len(_NAMES)),
+                    ],
+                    names=sent_names,
+                )
+                keys, entry, number, band = block_keys(sets, first)
+                if bare.any():
+                    kept = ~bare[number][entry]
+                    keys, entry = keys[kept], entry[kept]
+                held.append((keys, entry, node[number], sizes[number], band))
+            if held:
+                yield _sent(held, parts, piece.schema.field(0).type, sent_names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, kind_of_id = [], None
+        for batch in batches:
+            kind_of_id = batch.column(1).type
+            is_doc = batch.column(4).is_null()
+            docs_only = batch.filter(is_doc)
+            some = docs_only.num_rows
+            yield pa.record_batch(
+                [docs_only.column(1), docs_only.column(2), docs_only.column(3), pa.nulls(some, pa.int32()), pa.nulls(some, pa.int64())],
+                names=["id", "n", "node", "band", "credit"],
+            )
+            packed = batch.filter(pc.invert(is_doc))
+            rows += zip(packed.column(0).to_pylist(), *(packed.column(4 + k).to_pylist() for k in range(len(_NAMES))), strict=True)
+        if rows:
+            part = _Part(rows)
+            credit = part.credits(part.settled())
+            yield pa.record_batch(
+                [
+                    pa.nulls(len(credit), kind_of_id), pa.array(part.size, pa.int64()), pa.array(part.node, pa.int64()),
+                    pa.array(part.band, pa.int32()), pa.array(credit, pa.int64()),
+                ],
+                names=["id", "n", "node", "band", "credit"],
+            )
+
+    return (
+        docs.select(id_col, text_col).mapInArrow(emit, sent)
+        .repartition(parts, "part")
+        .mapInArrow(count, f"id {kind}, n long, node long, band int, credit long")
+    )
+
+
+def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    base, entries = 0, []
+    for _, entry, node, *_ in held:
+        entries.append(entry + base)
+        base += len(node)
+    keys, node, size, band = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3, 4))
+    rows = list(_pack(keys, np.concatenate(entries), node, node, size, band, parts))
+    columns = list(zip(*rows, strict=True)) or [()] * (len(_NAMES) + 1)
+    return pa.record_batch(
+        [
+            pa.array(columns[0], pa.int32()), pa.nulls(len(rows), id_type), pa.nulls(len(rows), pa.int64()),
+            pa.nulls(len(rows), pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:]),
+        ],
+        names=names,
+    )
+
+
+def _unsettled(certificates: DataFrame) -> DataFrame:
+    """``node, n, band, missing`` where a node lacks settled blocks."""
+    partner = F.least(F.expr("cast(shiftleft(2L, band) - 1 as bigint)"), F.floor(F.col("n") * 4 / 3))
+    need = F.floor((F.col("n") + partner) / 7) + 1
+    total = certificates.groupBy("node", "band").agg(F.sum("credit").alias("credit"), F.max("n").alias("n"))
+    return total.withColumn("missing", need - F.col("credit")).filter("missing > 0").select("node", "n", "band", "missing")
+
+
+def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> DataFrame:
+    """``node, n, body`` (sorted 64-bit hashes) of the nodes in ``reps`` (``rep, wanted``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                sets, first = shingle_sets(*flat(piece.column(0)))
+                node = node_ids(sets, first)
+                rows = np.flatnonzero(node == piece.column(1).to_numpy())
+                yield pa.record_batch(
+                    [
+                        pa.array(node[rows], pa.int64()),
+                        pa.array(np.diff(first)[rows], pa.int64()),
+                        pa.array([sets[first[r] : first[r + 1]].tobytes() for r in rows], pa.binary()),
+                    ],
+                    names=["node", "n", "body"],
+                )
+
+    texts = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"))
+    wanted = texts.join(reps, texts["own"] == reps["rep"]).select("text", "wanted")
+    return wanted.mapInArrow(run, "node long, n long, body binary").dropDuplicates(["node"])
+
+
+def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, at = flat(bodies)
+    return np.frombuffer(data.tobytes(), np.uint64), at // 8
+
+
+def _round(sets: DataFrame, parts: int, turn: int, last: bool) -> DataFrame:
+    """Compare the blocks of all open nodes (``node, n, body, comp``).
+
+    Gives certificates ``(node, n, band, credit)`` and, for blocks of several components, either
+    pairs ``(node, other)`` of a leader and another component's node, or with ``last`` the
+    blocks' members ``(node, comp, band, n, block, cost)``.
+    """
+    names = ["part", *_NAMES]
+    shown = "node long, n long, band int, credit long, other long, comp long, block long, cost long"
+    shown_names = [p.split()[0] for p in shown.split(", ")]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat_sets, first = _sets_of(batch.column(2))
+            keys, entry, number, band = block_keys(flat_sets, first)
+            node, size, comp = (batch.column(k).to_numpy()[number] for k in (0, 1, 3))
+            rows = list(_pack(keys, entry, node, comp, size, band, parts))
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
+
+    def shown_rows(**columns) -> pa.RecordBatch:
+        count = len(next(iter(columns.values())))
+        return pa.record_batch(
+            [
+                pa.array(columns[n], pa.int32() if n == "band" else pa.int64()) if n in columns else pa.nulls(count, pa.int32() if n == "band" else pa.int64())
+                for n in shown_names
+            ],
+            names=shown_names,
+        )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(batch.column(k).to_pylist() for k in range(len(names))), strict=True)]
+        if not rows:
+            return
+        part = _Part(rows)
+        settled = part.settled()
+        yield shown_rows(node=part.node, n=part.size.astype(np.int64), band=part.band.astype(np.int32), credit=part.credits(settled))
+        open_ = ~settled
+        member = np.repeat(open_, part.lengths)
+        entry = part.entry[member]
+        if not len(entry):
+            return
+        lengths = part.lengths[open_]
+        starts = np.cumsum(lengths) - lengths
+        group = np.repeat(np.arange(len(lengths)), lengths)
+        node, comp, size = part.node[entry], part.comp[entry], part.size[entry].astype(np.int64)
+        if last:
+            block = np.repeat(part.block_ids()[open_], lengths)
+            yield shown_rows(
+                node=node, n=size, band=part.band[entry].astype(np.int32), comp=comp, block=block, cost=np.repeat(lengths, lengths)
+            )
+            return
+        rank = mix(node.view(np.uint64) ^ np.uint64(turn))
+        lowest = np.minimum.reduceat(rank, starts)
+        at = np.flatnonzero(rank == lowest[group])
+        leader = np.zeros(len(lengths), np.int64)
+        leader[group[at]] = at  # equal nodes have equal ranks: any of them
+        head = leader[group]
+        fits = (comp != comp[head]) & (100 * np.minimum(size, size[head]) >= PERCENT * np.maximum(size, size[head]))
+        pair = np.unique(np.stack([np.minimum(node, node[head])[fits], np.maximum(node, node[head])[fits]]), axis=1)
+        yield shown_rows(node=pair[0], other=pair[1])
+
+    picked = sets.select("node", "n", "body", "comp").mapInArrow(emit, f"part int, {_PACKED}")
+    return picked.repartition(parts, "part").mapInArrow(compare, shown)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (left, at), (right, to) = _sets_of(batch.column(2)), _sets_of(batch.column(3))
+            kept = []
+            for row in range(batch.num_rows):
+                x, y = left[at[row] : at[row + 1]], right[to[row] : to[row + 1]]
+                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int((y[place] == x).sum())
+                if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                    kept.append(row)
+            yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+
+    one = sets.select(F.col("node").alias("a"), F.col("body").alias("left"))
+    two = sets.select(F.col("node").alias("b"), F.col("body").alias("right"))
+    whole = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+    return whole.mapInArrow(run, "a long, b long")
+
+
+SKETCH_BITS = 2048
+
+
+def _within_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose parity sketches do not rule a link out: the sketches' Hamming distance is at
+    most the sets' symmetric difference, and that at most ``(|A| + |B|) / 7``."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, first = _sets_of(batch.column(2))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            bit = (mix(values) % np.uint64(SKETCH_BITS)).astype(np.int64)
+            odd = np.bincount(row * SKETCH_BITS + bit, minlength=batch.num_rows * SKETCH_BITS) % 2
+            packed = np.packbits(odd.reshape(-1, SKETCH_BITS).astype(np.uint8), axis=1)
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array([p.tobytes() for p in packed], pa.binary())],
+                names=["node", "n", "sketch"],
+            )
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(flat(batch.column(k))[0].tobytes(), np.uint8).reshape(-1, SKETCH_BITS // 8) for k in (2, 3))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            total = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(7 * apart <= total))
+
+    made = sets.select("node", "n", "body").mapInArrow(sketch, "node long, n long, sketch binary")
+    one = made.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("na"))
+    two = made.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("nb"))
+    whole = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y", "na", "nb")
+    return whole.mapInArrow(near, "a long, b long")
+
+
+def _labelled(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return sets.withColumn("comp", F.col("node"))
+    return sets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: one row for each row of ``docs``; the component is
+    named by the smallest id in it."""
+    spark = docs.sparkSession
+    parts = shuffle_partitions(spark)
+    passed = cut(_first_pass(docs, id_col, text_col, parts), "parity")
+    rows = passed.filter("band is null").select("id", "n", "node")
+    unsettled = _unsettled(passed.filter("band is not null"))
+    known = rows.filter("node is not null")
+    reps = known.groupBy("node").agg(F.min("id").alias("rep"))
+    reps = reps.join(unsettled.select("node").distinct(), "node").select("rep", F.col("node").alias("wanted"))
+    sets = cut(_open_sets(docs, id_col, text_col, reps), "sets")
+
+    # Nodes of one id are one document.
+    same = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top"), F.collect_set("node").alias("all"))
+    links = same.filter("a < top").select("a", F.explode("all").alias("b")).filter("a <> b")
+    links, labels, tested = cut(links, "links"), None, None
+    for turn in range(1, rounds + 2):
+        last = turn > rounds
+        out = cut(_round(_labelled(sets, labels), parts, turn, last), "round")
+        if last:
+            pairs = _remaining(out)
+        else:
+            pairs = out.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if last:
+            pairs = _within_sketch(cut(pairs, "pairs"), sets)
+        pairs = cut(pairs, "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = links.union(cut(_verified(pairs, sets), "links"))
+        labels = connected(links)
+
+    grouped = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    names = grouped.filter("comp is not null").groupBy("comp").agg(F.min("id").alias("component_id"))
+    return grouped.join(names, "comp", "left").select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "id").alias("component_id"),
+    )
+
+
+def _remaining(out: DataFrame) -> DataFrame:
+    """Pairs of different components in the cheapest blocks of nodes that are not settled."""
+    members = out.filter("block is not null").select("node", "n", "band", "comp", "block", "cost")
+    lacking = _unsettled(out.filter("credit is not null")).select("node", "band", "missing")
+    cheap = Window.partitionBy("node", "band").orderBy("cost", "block")
+    probes = (
+        members.join(lacking, ["node", "band"])
+        .withColumn("place", F.row_number().over(cheap))
+        .filter("place <= missing")
+        .select("block", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
+    )
+    fits = f"comp <> pc and 100 * least(n, pn) >= {PERCENT} * greatest(n, pn)"
+    return (
+        probes.join(members.select("block", "node", "n", "comp"), "block")
+        .filter(fits)
+        .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
+        .distinct()
+    )
