@@ -41,6 +41,7 @@ WORDS = 5
 PERCENT = 75
 #: Blocks per needed block: room for blocks that are empty or common.
 ROOM = 1.1
+SPARE = 12
 LOW_BITS = np.uint64(40)
 _LOW = np.uint64((1 << 40) - 1)
 _SALT = np.uint64(0xE7037ED1A0B428DB)
@@ -89,7 +90,7 @@ def band_plan(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(number, kind="stable")
     number, band = number[order], band[order]
     most = (2 * ((2 << band) - 1)) // 7
-    return number, band, np.ceil(ROOM * (most + 1)).astype(np.int64) + 4
+    return number, band, np.ceil(ROOM * (most + 1)).astype(np.int64) + SPARE
 
 
 def needed(size, band):
@@ -98,9 +99,12 @@ def needed(size, band):
     return (size + partner) // 7 + 1
 
 
-def block_keys(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def block_keys(
+    sets: np.ndarray, first: np.ndarray, filled: dict[int, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(key, entry)`` of every block that is not empty, and ``(set number, band)`` of the
-    entries, one for each band of each set."""
+    entries, one for each band of each set. Blocks in ``filled`` (by band) have a key even
+    where they are empty."""
     number, band, blocks = band_plan(np.diff(first))
     keys, entry = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.diff(first)[number]
@@ -118,7 +122,33 @@ def block_keys(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
         place = (band[whose[at]].astype(np.uint64) << np.uint64(32)) | block[at]
         keys.append(mix(parity + mix(place)))
         entry.append(whose[at])
-    return np.concatenate(keys), np.concatenate(entry), number, band
+        full = np.unique((whose[at].astype(np.uint64) << np.uint64(32)) | block[at])
+        for wide, extra in (filled or {}).items():
+            rows = np.flatnonzero(band == wide).astype(np.uint64)
+            pairs = np.add.outer(rows << np.uint64(32), extra.astype(np.uint64)).ravel()
+            pairs = pairs[~np.isin(pairs, full)]
+            place = np.uint64(wide << 32) | (pairs & np.uint64(0xFFFFFFFF))
+            keys.append(mix(mix(place)))
+            entry.append((pairs >> np.uint64(32)).astype(np.int64))
+    keys, entry = np.concatenate(keys), np.concatenate(entry)
+    if filled:
+        order = np.argsort(entry, kind="stable")
+        keys, entry = keys[order], entry[order]
+    return keys, entry, number, band
+
+
+def thin_blocks(sets: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
+    """``(band, block)`` of the empty blocks of sets that have fewer full blocks than
+    they need: rare, but these have to be compared by empty blocks too."""
+    number, band, blocks = band_plan(np.diff(first))
+    _, entry, *_ = block_keys(sets, first)
+    full = np.bincount(entry, minlength=len(number))
+    out = set()
+    for k in np.flatnonzero(full < needed(np.diff(first)[number], band)):
+        own = sets[first[number[k]] : first[number[k] + 1]]
+        block = ((own >> np.uint64(32)) * np.uint64(blocks[k])) >> np.uint64(32)
+        out |= {(int(band[k]), int(b)) for b in np.setdiff1d(np.arange(blocks[k], dtype=np.uint64), block)}
+    return out
 
 
 # --- packed shuffle of block keys -----------------------------------------------------------
@@ -303,7 +333,26 @@ def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.uint64), at // 8
 
 
-def _round(sets: DataFrame, parts: int, turn: int, last: bool) -> DataFrame:
+def _thin_blocks(sets: DataFrame) -> dict[int, np.ndarray]:
+    """`thin_blocks` of all open nodes, by band. Their number is bounded by the blocks of the
+    bands, which follow the longest text, not the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = sorted(thin_blocks(*_sets_of(batch.column(2))))
+            yield pa.record_batch(
+                [pa.array([b for b, _ in found], pa.int32()), pa.array([k for _, k in found], pa.int32())],
+                names=["band", "block"],
+            )
+
+    rows = sets.select("node", "n", "body").mapInArrow(run, "band int, block int").distinct().collect()
+    out: dict[int, list[int]] = {}
+    for band, block in rows:
+        out.setdefault(band, []).append(block)
+    return {band: np.array(sorted(some)) for band, some in out.items()}
+
+
+def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int, np.ndarray]) -> DataFrame:
     """Compare the blocks of all open nodes (``node, n, body, comp``).
 
     Gives certificates ``(node, n, band, credit)`` and, for blocks of several components, either
@@ -317,7 +366,7 @@ def _round(sets: DataFrame, parts: int, turn: int, last: bool) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat_sets, first = _sets_of(batch.column(2))
-            keys, entry, number, band = block_keys(flat_sets, first)
+            keys, entry, number, band = block_keys(flat_sets, first, filled)
             node, size, comp = (batch.column(k).to_numpy()[number] for k in (0, 1, 3))
             rows = list(_pack(keys, entry, node, comp, size, band, parts))
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
@@ -446,9 +495,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = known.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top"), F.collect_set("node").alias("all"))
     links = same.filter("a < top").select("a", F.explode("all").alias("b")).filter("a <> b")
     links, labels, tested = cut(links, "links"), None, None
+    filled = _thin_blocks(sets)
     for turn in range(1, rounds + 2):
         last = turn > rounds
-        out = cut(_round(_labelled(sets, labels), parts, turn, last), "round")
+        out = cut(_round(_labelled(sets, labels), parts, turn, last, filled), "round")
         if last:
             pairs = _remaining(out)
         else:
