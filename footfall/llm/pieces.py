@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words kept from batch to batch in one Python worker; the oldest go first.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 
 
 class Pieces:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, licenses, parity, pieces, secrets, spotsigs, toxicity, warc, wumanber
+from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, toxicity, warc, wumanber
 from footfall.llm.tables import small_batches, table
 
 #: Held out of the toxicity labels: crc32 of the id as text, modulo 3, is 1.
@@ -152,6 +152,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.components(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -171,6 +176,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secrets": op6_secrets,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_ngram_join": op8_ngram_join,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
     }
 

@@ -25,7 +25,7 @@ from footfall.llm.arrays import ALNUM, Words, flat, hash_words, mix, pieces
 
 BITS = 18
 #: Labelled rows that the model is fitted on at most, taken in hash order of id.
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 5000
 #: A word has a weight if its share of toxic training texts is so many standard errors off
 #: the overall share; without this the rare words of toxic texts are learnt by heart.
 LEAST_Z = 4.0
