@@ -6,8 +6,8 @@ declarative mapping, which tells where turns, roles and texts are; the result is
 turns with canonical roles. Everything is DataFrame expressions.
 
 The template writes ``### <role>: <text></turn>`` and a line end per turn. Inside role and text a
-backslash, ``<`` and ``#`` are written ``\\b``, ``\\l`` and ``\\h``, so that no control string
-can occur there and reading back is exact.
+backslash, ``<`` and ``#`` are written ``\\b``, ``\\l`` and ``\\h``, and in a role ``:`` is
+``\\c``, so that no control string can occur there and reading back is exact.
 
 A record whose fingerprint is unknown keeps its row with null turns. Null texts and roles count as
 empty; a null record has a null fingerprint. A layout's optional empty field gives no turn.
@@ -141,13 +141,14 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    for plain, coded in (("#", "\\h"), ("<", "\\l"), ("\\", "\\b")):
+    for plain, coded in ((":", "\\c"), ("#", "\\h"), ("<", "\\l"), ("\\", "\\b")):
         text = F.replace(text, F.lit(coded), F.lit(plain))
     return text
 
 
 def _head(turn: Column) -> Column:
-    return F.concat(F.lit("### "), escape(turn["role"]), F.lit(": "))
+    role = F.replace(escape(turn["role"]), F.lit(":"), F.lit("\\c"))
+    return F.concat(F.lit("### "), role, F.lit(": "))
 
 
 def formatted(turns: Column) -> Column:

@@ -103,6 +103,8 @@ def _by_text(ids: np.ndarray, ties: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _packed_by_text(ids, ties, columns: list[np.ndarray]) -> list[tuple]:
     """``(id, tie, *packed columns)`` of each text."""
+    if not len(ids):
+        return []
     order, starts = _by_text(ids, ties)
     ends = np.append(starts[1:], len(order))
     sorted_ = [c[order] for c in columns]
