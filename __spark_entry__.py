@@ -237,14 +237,14 @@ def _counter_queries() -> dict[str, Query]:
             lambda log: log, lambda *a: asof.asof_reset(*a).select(*ASOF_COLUMNS)),
         "asof_reset_strict": _asof(
             _minute_ends, lambda *a: asof.asof_reset(*a).select(*ASOF_COLUMNS), "minute_end", False),
-        # The plans for ledgers with many resets per device, whatever the size of this
-        # one: with the intervals broadcast, and with both sides shuffled.
+        # The plan for ledgers that are large, or have many resets per device, whatever the
+        # size of this one.
         "asof_reset_sliced": _asof(
             lambda log: log, lambda *a: asof.asof_reset(*a).select(*ASOF_COLUMNS),
-            "event_time", True, asof.AsofLimits(2_000_000, 1, 1)),
+            "event_time", True, asof.AsofLimits(2_000_000, 1)),
         "asof_reset_shuffled": _asof(
             lambda log: log, lambda *a: asof.asof_reset(*a).select(*ASOF_COLUMNS),
-            "event_time", True, asof.AsofLimits(0, 1, 1)),
+            "event_time", True, asof.AsofLimits(0, 1)),
         "display_counts": _asof(
             lambda log: log,
             lambda *a: with_display(asof.asof_reset(*a)).select(

@@ -1,15 +1,15 @@
 """As-of join: the reset in force at the time of a reading.
 
-Resets become validity intervals, and a reading is joined to the interval of its
-device that holds its time. Two things are counted on the ledger first:
-
-* Each reading is compared with all intervals that share its join key. For a
-  device with many resets the key is cut into time slices; every slice that has
-  readings also gets the last reset before it. So a reading meets the resets of
-  its own slice only, however many its device has.
-* Intervals are broadcast only if they are few, and the log is then not
-  shuffled. Otherwise both sides are shuffled, and adaptive execution splits
-  the partitions of very active devices (``spark.sql.adaptive.skewJoin``).
+There are two plans, chosen by the size of the reset ledger alone; the readings are
+not counted.
+
+* A small ledger with few resets per device becomes validity intervals that are
+  broadcast, so the log is not shuffled.
+* Otherwise resets and readings are shuffled together by device and hour, and each
+  reading takes the last reset before it in its hour. Every hour that a device may
+  have readings in also gets the reset in force at its start. So the work is linear
+  in readings and resets, and the readings of one very active device spread over
+  as many tasks as it has hours; nothing depends on adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -22,25 +22,22 @@ from pyspark.sql import functions as F
 
 from footfall.functions.times import floor_to, ts
 from footfall.operators.latest import latest_by
-from footfall.operators.slices import UNITS
 
 RESET_COLUMNS = ["reset_time", "reset_in_count", "reset_out_count"]
 RESET_ORDER = ("reset_time", "reset_in_count", "reset_out_count")
 
-# Slice of devices that are not cut; a fixed value, as join keys must not be null.
-WHOLE = "1970-01-01"
+# Time slice of the shuffled plan; a fixed value.
+SLICE = "hour"
 
 
 @dataclass(frozen=True)
 class AsofLimits:
-    """When intervals may be broadcast, and how many may share a join key."""
+    """When the intervals may be broadcast."""
 
     # About 50 bytes a row in a hash relation: 100 MB per executor.
     broadcast_rows: int = 2_000_000
-    # More resets than this, and a device is cut into slices ...
-    resets_per_device: int = 512
-    # ... of the coarsest unit that has at most this many.
-    resets_per_slice: int = 256
+    # A reading is compared with all intervals of its device.
+    resets_per_device: int = 64
 
 
 DEFAULT_LIMITS = AsofLimits()
@@ -68,82 +65,68 @@ def asof_reset(
     probe_time: str = "event_time",
     inclusive: bool = True,
     limits: AsofLimits = DEFAULT_LIMITS,
+    span: tuple | None = None,
 ) -> DataFrame:
     """Add the newest reset with ``reset_time <= probe_time`` (``<`` if not inclusive).
 
-    Every probe row is kept; the reset columns are null where there is none.
+    Every probe row is kept; the reset columns are null where there is none. ``span``:
+    first and last time of the probe, if known; else each device's is aggregated.
     """
     resets = resets.select("device_id", *RESET_COLUMNS).filter("reset_time is not null")
     per_device = resets.groupBy("device_id").count()
-    many = F.col("count") > limits.resets_per_device
-    total, busy = per_device.agg(F.sum("count"), F.count_if(many)).first()
-    ledger = distinct_resets(resets)
-    if not busy:
-        intervals = _intervals(ledger, ["device_id"])
-        if (total or 0) <= limits.broadcast_rows:
-            intervals = F.broadcast(intervals)
-        return _interval_join(probe, intervals, probe_time, inclusive, ["device_id"])
-
-    busy_devices = per_device.filter(many).select("device_id", F.lit(True).alias("_busy"))
-    if busy <= limits.broadcast_rows:
-        busy_devices = F.broadcast(busy_devices)
-    busy_ledger = ledger.join(busy_devices, "device_id")
-    unit = _reset_unit(busy_ledger, limits.resets_per_slice)
-
-    def sliced(df: DataFrame, time: str) -> DataFrame:
-        of_slice: Column = F.when(F.col("_busy"), floor_to(F.col(time), unit))
-        marked = df.join(busy_devices, "device_id", "left")
-        return marked.withColumn("_slice", F.coalesce(of_slice, ts(WHOLE)))
-
-    sliced_probe = sliced(probe, probe_time)
-    asked = sliced_probe.filter("_busy").select("device_id", "_slice").distinct()
-    asked_slices = asked.count()
-    sliced_ledger = sliced(ledger, "reset_time").drop("_busy")
-    carried = _last_before(asked, sliced_ledger.filter(F.col("_slice") > ts(WHOLE)))
-    keys = ["device_id", "_slice"]
-    intervals = _intervals(carried.unionByName(sliced_ledger.select(*keys, *RESET_COLUMNS)), keys)
-    if total + asked_slices <= limits.broadcast_rows:
-        intervals = F.broadcast(intervals)
-    joined = _interval_join(sliced_probe, intervals, probe_time, inclusive, keys)
-    return joined.select(*probe.columns, *RESET_COLUMNS)
-
-
-def _reset_unit(ledger: DataFrame, most: int) -> str:
-    for unit in UNITS:
-        per_slice = ledger.groupBy("device_id", floor_to(F.col("reset_time"), unit)).count()
-        if (per_slice.agg(F.max("count")).first()[0] or 0) <= most:
-            return unit
-    return UNITS[-1]
-
-
-def _last_before(asked: DataFrame, ledger: DataFrame) -> DataFrame:
-    """For each asked ``device_id, _slice`` the device's last reset of an earlier slice.
-
-    The window holds one row per slice of a device, not its resets.
-    """
-    keys = ["device_id", "_slice"]
-    tails = latest_by(ledger, keys, ("reset_time",), RESET_COLUMNS)
-    marks = asked.withColumn("asked", F.lit(True)).unionByName(
-        tails.select(*keys, F.struct(*RESET_COLUMNS).alias("tail")), allowMissingColumns=True
+    total, most = per_device.agg(F.sum("count"), F.max("count")).first()
+    intervals = _intervals(distinct_resets(resets))
+    if (total or 0) <= limits.broadcast_rows and (most or 0) <= limits.resets_per_device:
+        return _interval_join(probe, F.broadcast(intervals), probe_time, inclusive)
+    return _sliced(probe, intervals, probe_time, inclusive, span)
+
+
+def _sliced(
+    probe: DataFrame, intervals: DataFrame, probe_time: str, inclusive: bool, span: tuple | None
+) -> DataFrame:
+    def of_slice(time) -> Column:
+        return floor_to(time, SLICE)
+
+    if span is None:
+        ends = probe.groupBy("device_id").agg(
+            of_slice(F.min(probe_time)).alias("_low"), of_slice(F.max(probe_time)).alias("_high")
+        )
+        spans = intervals.join(ends.filter("_low is not null"), "device_id")
+    else:
+        low, high = (of_slice(ts(t)) for t in span)
+        spans = intervals.withColumn("_low", low).withColumn("_high", high)
+    start = F.greatest("_low", of_slice(F.col("reset_time")))
+    end = F.least("_high", of_slice(F.col("_until")))  # ignores null
+    hours = F.when(start <= end, F.sequence(start, end, F.expr(f"interval 1 {SLICE}")))
+    reset = F.struct(*RESET_COLUMNS).alias("_reset")
+    known = spans.select(
+        "device_id", F.col("reset_time").alias("_time"), F.explode(hours).alias("_slice"), reset
     )
-    slices = marks.groupBy(*keys).agg(
-        F.first("asked", ignorenulls=True).alias("asked"),
-        F.first("tail", ignorenulls=True).alias("tail"),
+    # At one time a reset comes first if it is to count for the reading.
+    side = "_probe"
+    known = known.withColumn("_order", F.lit(0 if inclusive else 2))
+    asked = probe.select(
+        "device_id",
+        F.col(probe_time).alias("_time"),
+        of_slice(F.col(probe_time)).alias("_slice"),
+        F.lit(1).alias("_order"),
+        F.struct(*probe.columns).alias(side),
     )
-    earlier = Window.partitionBy("device_id").orderBy("_slice")
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.withColumn("carry", F.last("tail", ignorenulls=True).over(earlier))
-    return carried.filter("asked and carry is not null").select(*keys, "carry.*")
+    rows = asked.unionByName(known, allowMissingColumns=True)
+    window = Window.partitionBy("device_id", "_slice").orderBy("_time", "_order")
+    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("_last", F.last("_reset", ignorenulls=True).over(window))
+    return found.filter("_order = 1").select(f"{side}.*", "_last.*")
 
 
-def _intervals(resets: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``_until``, the next reset of the group (null for the last)."""
-    window = Window.partitionBy(*group).orderBy("reset_time")
+def _intervals(resets: DataFrame) -> DataFrame:
+    """Add ``_until``, the device's next reset (null for the last)."""
+    window = Window.partitionBy("device_id").orderBy("reset_time")
     return resets.withColumn("_until", F.lead("reset_time").over(window))
 
 
 def _interval_join(
-    probe: DataFrame, intervals: DataFrame, probe_time: str, inclusive: bool, keys: list[str]
+    probe: DataFrame, intervals: DataFrame, probe_time: str, inclusive: bool
 ) -> DataFrame:
     at = F.col(f"p.{probe_time}")
     start, until = F.col("r.reset_time"), F.col("r._until")
@@ -151,8 +134,7 @@ def _interval_join(
         on = (start <= at) & (until.isNull() | (at < until))
     else:
         on = (start < at) & (until.isNull() | (at <= until))
-    for key in keys:
-        on = (F.col(f"p.{key}") == F.col(f"r.{key}")) & on
+    on = (F.col("p.device_id") == F.col("r.device_id")) & on
     return probe.alias("p").join(intervals.alias("r"), on, "left").select(
         "p.*", *[f"r.{name}" for name in RESET_COLUMNS]
     )

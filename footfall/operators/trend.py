@@ -78,7 +78,7 @@ def _growth(log, resets, start, end, bucket, extra, limits) -> DataFrame:
         "device_id", *extra, "event_time", "in_count", "out_count"
     )
     adjusted = with_display(
-        asof_reset(log, resets_for_range(resets, start, end), limits=limits)
+        asof_reset(log, resets_for_range(resets, start, end), limits=limits, span=(start, end))
     )
     series = ["device_id", *extra]
     buckets = adjusted.groupBy(*series, floor_to(F.col("event_time"), unit).alias("time")).agg(

@@ -10,8 +10,8 @@ from footfall.operators.compare import daily_comparison
 from footfall.operators.trend import location_trend, sensor_trend
 from tests.conftest import at, in_order, rows
 
-# No broadcast and one reset per slice; broadcast with slices; plain.
-LIMITS = [AsofLimits(), AsofLimits(2_000_000, 1, 1), AsofLimits(0, 1, 1), AsofLimits(0, 100, 100)]
+# Intervals broadcast; many resets per device; a large ledger.
+LIMITS = [AsofLimits(), AsofLimits(2_000_000, 1), AsofLimits(0, 100)]
 
 
 @pytest.mark.parametrize("limits", LIMITS)
@@ -178,3 +178,16 @@ def test_month_folders_are_pruned(spark, t, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan and "PushedFilters: [IsNotNull(" in plan
     assert rows(out) == [(at("2024-03-05"), 0, 0)]
+
+
+def test_large_ledgers_are_joined_by_device_and_hour(spark, t):
+    """The readings of one device are dealt out by hour; nothing is broadcast."""
+    log = t.log(*[(k, "hot", "B1", k, k, f"2024-01-01 {k % 24:02d}:30:00") for k in range(48)])
+    resets = t.resets(("hot", "2024-01-01 03:00:00", 1, 1), ("hot", "2024-01-01 09:45:00", 2, 2))
+    joined = asof_reset(log, resets, limits=AsofLimits(0))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    physical = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "_slice" in plan and "ResolvedHint" not in plan and "hint=(strategy=broadcast)" not in plan
+    assert "Window" in physical and "device_id" in physical
+    counts = dict(rows(joined, "id", "reset_in_count"))
+    assert [counts[k] for k in (2, 3, 9, 10, 26, 34)] == [None, 1, 1, 2, None, 2]
