@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from footfall.llm.arrays import NON_SPACE, flat, hash_words, mix, per_text, pieces, window_hashes
 from footfall.llm.graph import connected
@@ -42,6 +43,8 @@ PERCENT = 75
 #: Blocks per needed block: room for blocks that are empty or common.
 ROOM = 1.1
 SPARE = 12
+#: Parts of the packed shuffles per shuffle partition; one part's keys are in memory at a time.
+PARTS = 3
 LOW_BITS = np.uint64(40)
 _LOW = np.uint64((1 << 40) - 1)
 _SALT = np.uint64(0xE7037ED1A0B428DB)
@@ -250,36 +253,77 @@ def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> Data
                 yield _sent(held, parts, piece.schema.field(0).type, sent_names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, kind_of_id = [], None
+        rows = []
         for batch in batches:
-            kind_of_id = batch.column(1).type
             is_doc = batch.column(4).is_null()
             docs_only = batch.filter(is_doc)
-            some = docs_only.num_rows
-            yield pa.record_batch(
-                [docs_only.column(1), docs_only.column(2), docs_only.column(3), pa.nulls(some, pa.int32()), pa.nulls(some, pa.int64())],
-                names=["id", "n", "node", "band", "credit"],
-            )
+            none = [pa.nulls(docs_only.num_rows, pa.binary())] * 4
+            yield pa.record_batch([*docs_only.columns[:4], *none], names=counted_names)
             packed = batch.filter(pc.invert(is_doc))
             rows += zip(packed.column(0).to_pylist(), *(packed.column(4 + k).to_pylist() for k in range(len(_NAMES))), strict=True)
         if rows:
             part = _Part(rows)
-            credit = part.credits(part.settled())
+            credits = _packed_credits(part, part.credits(part.settled()), parts)
+            none = [pa.nulls(len(credits), t) for t in (id_type, pa.int64(), pa.int64())]
+            columns = list(zip(*credits, strict=True))
             yield pa.record_batch(
-                [
-                    pa.nulls(len(credit), kind_of_id), pa.array(part.size, pa.int64()), pa.array(part.node, pa.int64()),
-                    pa.array(part.band, pa.int32()), pa.array(credit, pa.int64()),
-                ],
-                names=["id", "n", "node", "band", "credit"],
+                [pa.array(columns[0], pa.int32()), *none, *(pa.array(c, pa.binary()) for c in columns[1:])],
+                names=counted_names,
             )
 
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            is_doc = batch.column(4).is_null()
+            docs_only = batch.filter(is_doc)
+            none = [pa.nulls(docs_only.num_rows, t) for t in (pa.int32(), pa.int64())]
+            yield pa.record_batch([*docs_only.columns[1:4], *none], names=["id", "n", "node", "band", "missing"])
+            packed = batch.filter(pc.invert(is_doc))
+            rows += zip(*(packed.column(k).to_pylist() for k in range(4, 8)), strict=True)
+        if rows:
+            node, size, band, missing = _lacking(rows)
+            yield pa.record_batch(
+                [pa.nulls(len(node), id_type), pa.array(size), pa.array(node), pa.array(band), pa.array(missing)],
+                names=["id", "n", "node", "band", "missing"],
+            )
+
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+    counted = f"part int, id {kind}, n long, node long, {_CREDITS}"
+    counted_names = [p.split()[0] for p in counted.split(", ")]
     return (
         docs.select(id_col, text_col).mapInArrow(emit, sent)
-        .repartition(parts, "part")
-        .mapInArrow(count, f"id {kind}, n long, node long, band int, credit long")
+        .repartitionById(parts, "part").mapInArrow(count, counted)
+        .repartitionById(parts, "part").mapInArrow(total, f"id {kind}, n long, node long, band int, missing long")
     )
 
 
+_CREDITS = "nodes binary, sizes binary, bands binary, credits binary"
+
+
+def _packed_credits(part: _Part, credit: np.ndarray, parts: int) -> list[tuple]:
+    """``(part, *packed columns)``: the credits of one part, dealt out by node."""
+    goes = part.node % parts
+    order = np.argsort(goes, kind="stable")
+    edges = np.searchsorted(goes[order], np.arange(parts + 1))
+    columns = (part.node, part.size.astype(np.uint32), part.band, credit.astype(np.uint32))
+    return [
+        (p, *(c[order[edges[p] : edges[p + 1]]].tobytes() for c in columns))
+        for p in np.flatnonzero(np.diff(edges)).tolist()
+    ]
+
+
+def _lacking(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``node, size, band, missing`` where a node's credits are fewer than it needs."""
+    kinds = (np.int64, np.uint32, np.uint8, np.uint32)
+    node, size, band, credit = (np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate(kinds))
+    code = mix(node.view(np.uint64) + band.astype(np.uint64) * _SALT)
+    _, where, same = np.unique(code, return_index=True, return_inverse=True)
+    node, size, band = node[where], size[where].astype(np.int64), band[where].astype(np.int32)
+    missing = needed(size, band.astype(np.int64)) - np.bincount(same, credit, len(where)).astype(np.int64)
+    short = missing > 0
+    return node[short], size[short], band[short], missing[short]
+
+
 def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
     base, entries = 0, []
     for _, entry, node, *_ in held:
@@ -297,14 +341,6 @@ def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str])
     )
 
 
-def _unsettled(certificates: DataFrame) -> DataFrame:
-    """``node, n, band, missing`` where a node lacks settled blocks."""
-    partner = F.least(F.expr("cast(shiftleft(2L, band) - 1 as bigint)"), F.floor(F.col("n") * 4 / 3))
-    need = F.floor((F.col("n") + partner) / 7) + 1
-    total = certificates.groupBy("node", "band").agg(F.sum("credit").alias("credit"), F.max("n").alias("n"))
-    return total.withColumn("missing", need - F.col("credit")).filter("missing > 0").select("node", "n", "band", "missing")
-
-
 def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> DataFrame:
     """``node, n, body`` (sorted 64-bit hashes) of the nodes in ``reps`` (``rep, wanted``)."""
 
@@ -355,12 +391,12 @@ def _thin_blocks(sets: DataFrame) -> dict[int, np.ndarray]:
 def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int, np.ndarray]) -> DataFrame:
     """Compare the blocks of all open nodes (``node, n, body, comp``).
 
-    Gives certificates ``(node, n, band, credit)`` and, for blocks of several components, either
-    pairs ``(node, other)`` of a leader and another component's node, or with ``last`` the
-    blocks' members ``(node, comp, band, n, block, cost)``.
+    For blocks of several components gives pairs ``(node, other)`` of a leader and another
+    component's node, or with ``last`` packed credits and the blocks' members ``(node, comp,
+    band, n, block, cost)``.
     """
     names = ["part", *_NAMES]
-    shown = "node long, n long, band int, credit long, other long, comp long, block long, cost long"
+    shown = f"node long, n long, band int, other long, comp long, block long, cost long, part int, {_CREDITS}"
     shown_names = [p.split()[0] for p in shown.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,11 +410,10 @@ def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int,
 
     def shown_rows(**columns) -> pa.RecordBatch:
         count = len(next(iter(columns.values())))
+        types = dict.fromkeys(shown_names, pa.int64()) | {"band": pa.int32(), "part": pa.int32()}
+        types |= dict.fromkeys(("nodes", "sizes", "bands", "credits"), pa.binary())
         return pa.record_batch(
-            [
-                pa.array(columns[n], pa.int32() if n == "band" else pa.int64()) if n in columns else pa.nulls(count, pa.int32() if n == "band" else pa.int64())
-                for n in shown_names
-            ],
+            [pa.array(columns[n], types[n]) if n in columns else pa.nulls(count, types[n]) for n in shown_names],
             names=shown_names,
         )
 
@@ -388,7 +423,9 @@ def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int,
             return
         part = _Part(rows)
         settled = part.settled()
-        yield shown_rows(node=part.node, n=part.size.astype(np.int64), band=part.band.astype(np.int32), credit=part.credits(settled))
+        if last:
+            credits = zip(*_packed_credits(part, part.credits(settled), parts), strict=True)
+            yield shown_rows(**dict(zip(("part", "nodes", "sizes", "bands", "credits"), credits, strict=True)))
         open_ = ~settled
         member = np.repeat(open_, part.lengths)
         entry = part.entry[member]
@@ -415,7 +452,20 @@ def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int,
         yield shown_rows(node=pair[0], other=pair[1])
 
     picked = sets.select("node", "n", "body", "comp").mapInArrow(emit, f"part int, {_PACKED}")
-    return picked.repartition(parts, "part").mapInArrow(compare, shown)
+    return picked.repartitionById(parts, "part").mapInArrow(compare, shown)
+
+
+def _unsettled(out: DataFrame, parts: int) -> DataFrame:
+    """``node, band, missing`` from packed credits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True)]
+        if rows:
+            node, _, band, missing = _lacking(rows)
+            yield pa.record_batch([pa.array(node), pa.array(band), pa.array(missing)], names=["node", "band", "missing"])
+
+    packed = out.filter("nodes is not null").select("part", "nodes", "sizes", "bands", "credits")
+    return packed.repartitionById(parts, "part").mapInArrow(run, "node long, band int, missing long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -447,7 +497,7 @@ def _within_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     most the sets' symmetric difference, and that at most ``(|A| + |B|) / 7``."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 200) for b in batches for k in range(0, b.num_rows, 200)):
             values, first = _sets_of(batch.column(2))
             row = np.repeat(np.arange(batch.num_rows), np.diff(first))
             bit = (mix(values) % np.uint64(SKETCH_BITS)).astype(np.int64)
@@ -482,10 +532,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, n_shingles, component_id``: one row for each row of ``docs``; the component is
     named by the smallest id in it."""
     spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = PARTS * shuffle_partitions(spark)
     passed = cut(_first_pass(docs, id_col, text_col, parts), "parity")
     rows = passed.filter("band is null").select("id", "n", "node")
-    unsettled = _unsettled(passed.filter("band is not null"))
+    unsettled = passed.filter("band is not null")
     known = rows.filter("node is not null")
     reps = known.groupBy("node").agg(F.min("id").alias("rep"))
     reps = reps.join(unsettled.select("node").distinct(), "node").select("rep", F.col("node").alias("wanted"))
@@ -500,7 +550,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = turn > rounds
         out = cut(_round(_labelled(sets, labels), parts, turn, last, filled), "round")
         if last:
-            pairs = _remaining(out)
+            pairs = _remaining(out, parts)
         else:
             pairs = out.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
         if tested is not None:
@@ -521,10 +571,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _remaining(out: DataFrame) -> DataFrame:
+def _remaining(out: DataFrame, parts: int) -> DataFrame:
     """Pairs of different components in the cheapest blocks of nodes that are not settled."""
     members = out.filter("block is not null").select("node", "n", "band", "comp", "block", "cost")
-    lacking = _unsettled(out.filter("credit is not null")).select("node", "band", "missing")
+    lacking = _unsettled(out, parts)
     cheap = Window.partitionBy("node", "band").orderBy("cost", "block")
     probes = (
         members.join(lacking, ["node", "band"])
