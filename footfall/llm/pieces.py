@@ -29,8 +29,8 @@ from pyspark.sql.types import StructType
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words kept from batch to batch in one Python worker; the oldest go first.
-KEPT_WORDS = 250_000
+#: Words kept from batch to batch in one task; the oldest go first.
+KEPT_WORDS = 150_000
 
 
 class Pieces:
@@ -129,9 +129,6 @@ def marked_words(text: str) -> list[str]:
     return (MARK + text.replace(" ", " " + MARK)).split(" ")
 
 
-_known: dict[str, dict[str, bytes]] = {}
-
-
 def encode_texts(texts: list[str], model: Pieces, known: dict[str, bytes]) -> list[np.ndarray]:
     """Ids of each text; ``known`` keeps words from call to call."""
     cut = [marked_words(t) for t in texts]
@@ -149,7 +146,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
     kept = [c for c in (keep or docs.columns) if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = load(model_file), _known.setdefault(model_file, {})
+        model, known = load(model_file), {}
         for batch in batches:
             for begin in range(0, batch.num_rows, 2000):
                 part = batch.slice(begin, 2000)
