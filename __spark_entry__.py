@@ -271,7 +271,8 @@ def _counter_queries() -> dict[str, Query]:
         "archived_still_live": _retention(
             lambda live, done: retention.rows_to_delete(live, done, fx.RETENTION_CUTOFF)),
         "live_after_archive": _archive_split("live"),
-        "recent_activity": _log(lambda log: health.recent_activity(log, HEALTH_AT, 5)),
+        "recent_activity": lambda spark, sf: health.recent_activity(
+            fx.counter_log(spark, sf), fx.sensors(spark, sf), HEALTH_AT, 5),
         "last_data_time": _log(health.last_data_time),
         "health_status": _health(lambda sensors, checked: checked),
         "health_summary": _health(lambda sensors, checked: health.health_summary(checked)),

@@ -21,11 +21,18 @@ def last_data_time(log: DataFrame) -> DataFrame:
     return log.groupBy("device_id").agg(F.max("created_at").alias("last_data_time"))
 
 
-def recent_activity(log: DataFrame, as_of, minutes: int = 2) -> DataFrame:
-    """Whether each device delivered data in the last ``minutes``; there is no upper bound."""
+def recent_activity(log: DataFrame, sensors: DataFrame, as_of, minutes: int = 2) -> DataFrame:
+    """Whether each sensor delivered data in the last ``minutes``; there is no upper bound.
+
+    Only recent rows are read: the filter reaches the scan of the log.
+    """
     cut = ts(as_datetime(as_of) - timedelta(minutes=minutes))
-    return last_data_time(log).select(
-        "device_id", (F.col("last_data_time") >= cut).alias("is_active")
+    recent = log.filter(F.col("created_at") >= cut).select("device_id").distinct()
+    active = recent.withColumn("active", F.lit(True))
+    return (
+        sensors.select(F.col("device").alias("device_id"))
+        .join(active, "device_id", "left")
+        .select("device_id", F.coalesce("active", F.lit(False)).alias("is_active"))
     )
 
 

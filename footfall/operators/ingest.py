@@ -109,6 +109,22 @@ def _item(device: Column, reading: Column, reason: Column) -> Column:
     )
 
 
+def _judged(item: Column) -> Column:
+    """The item with its final reason, and the message's text only if it is rejected."""
+    reason = (
+        F.when(item["reason"].isNotNull(), item["reason"])
+        .when(item["device_id"].isNull(), F.lit(NULL_DEVICE))
+        .when(item["event_time"].isNull(), F.lit(BAD_TIMESTAMP))
+    )
+    return F.struct(
+        item["device_id"].alias("device_id"),
+        item["event_time"].alias("event_time"),
+        item["reading"].alias("reading"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("value")).alias("raw"),
+    )
+
+
 def _device_items(device: Column) -> Column:
     """One item per reading; an element without readings gives one rejected item."""
     no_reading = F.get(device["readings"], F.lit(-1))
@@ -153,14 +169,14 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     no_reading = F.get(no_device["readings"], F.lit(-1))
     rejected = F.array(_item(no_device, no_reading, F.lit(BAD_MESSAGE)))
     items = (
-        F.when(F.trim("value") == "null", F.slice(rejected, 1, 0))
+        F.when(F.is_variant_null("found"), F.slice(rejected, 1, 0))
         .when(good, F.flatten(F.transform("detailed", _device_items)))
         .otherwise(rejected)
     )
     # The outer form keeps the optimizer from testing the items before exploding them,
     # which would decode every message twice.
     exploded = messages.select(
-        "arrival", "value", F.posexplode_outer(items).alias("position", "item")
+        "arrival", F.posexplode_outer(F.transform(items, _judged)).alias("position", "item")
     ).filter("position is not null")
 
     def text(name: str) -> Column:
@@ -171,11 +187,6 @@ def decode_messages(raw: DataFrame) -> DataFrame:
         return F.coalesce(number, F.lit(0)).alias(_COLUMN_OF[name])
 
     no_ip = F.col("item.reading.ipaddr").isNull()
-    reason = (
-        F.when(F.col("item.reason").isNotNull(), F.col("item.reason"))
-        .when(F.col("item.device_id").isNull(), F.lit(NULL_DEVICE))
-        .when(F.col("item.event_time").isNull(), F.lit(BAD_TIMESTAMP))
-    )
     return exploded.select(
         "arrival",
         "position",
@@ -185,8 +196,8 @@ def decode_messages(raw: DataFrame) -> DataFrame:
         *[whole(name) for name in INT_FIELDS],
         F.when(no_ip, F.lit("")).otherwise(text("ipaddr")).alias("ip_address"),
         "item.event_time",
-        reason.alias("reason"),
-        F.col("value").alias("raw"),
+        "item.reason",
+        "item.raw",
     )
 
 

@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from footfall import schemas
 
 
-def payload_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+# What one micro-batch takes at most; the rest waits for the next, so that a start on a
+# backlog is many batches of one size.
+MAX_FILES = 1_000
+MAX_MESSAGES = 1_000_000
+
+
+def payload_files(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
     """Messages landed as parquet files; ``max_files`` limits one micro-batch."""
     reader = spark.readStream.schema(schemas.RAW)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def payload_topic(
-    spark: SparkSession, servers: str, topic: str, max_messages: int | None = None
+    spark: SparkSession, servers: str, topic: str, max_messages: int = MAX_MESSAGES
 ) -> DataFrame:
     """Messages of a Kafka topic (needs the Kafka connector on the class path).
 
@@ -28,9 +32,8 @@ def payload_topic(
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("maxOffsetsPerTrigger", max_messages)
     )
-    if max_messages is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_messages)
     slot = F.when(F.col("partition") < 1024, F.col("partition")).otherwise(
         F.raise_error(F.lit("topic has more than 1024 partitions"))
     )

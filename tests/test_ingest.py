@@ -135,3 +135,15 @@ def test_slices_split_one_busy_device_and_agree_with_one_window(spark):
     whole = rows(with_previous(log, "device_id", order, columns), "id", "previous")
     for most in (600, 50, 1):
         assert rows(with_previous(log, "device_id", order, columns, max_rows=most), "id", "previous") == whole
+
+
+@pytest.mark.parametrize("text", ["null", " null", "null\n", "\tnull \r\n"])
+def test_a_json_null_is_ignored_whatever_white_space_is_around_it(t, text):
+    assert decode_messages(t.messages(text)).count() == 0
+
+
+def test_only_rejected_readings_carry_the_text_of_their_message(t):
+    good, bad = '{"Total_IN": 1, "TimeStamp": "2024-01-01T08:00:00"}', '{"Total_IN": 1, "TimeStamp": "x"}'
+    raw = t.messages(f'[{{"Device": "a", "Data": [{good}, {bad}]}}]')
+    assert rows(decode_messages(raw).selectExpr("reason", "raw is not null as kept")) == [
+        ("bad_timestamp", True), (None, False)]
