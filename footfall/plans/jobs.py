@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.health import apply_status, health_summary, sensor_health
 from footfall.operators.ledger import reset_building, reset_devices
 from footfall.operators.retention import cutoff_for, old_rows, rows_to_delete, rows_to_move
+from footfall.sources.tables import LOG_PARTITIONS
+from footfall.streaming.ingest import StreamTables
+from footfall.streaming.state import remove
 
 LEDGER = ["device_id", "reset_time", "reset_in_count", "reset_out_count"]
 
@@ -15,32 +20,40 @@ LEDGER = ["device_id", "reset_time", "reset_in_count", "reset_out_count"]
 def run_retention(spark: SparkSession, live: str, archive: str, as_of) -> int:
     """Move the months before the current one from ``live`` to ``archive``.
 
-    Both tables are partitioned by ``event_month``. The archive is written first;
-    then the old months are dropped from the live table, after checking that each
-    of their rows is archived. A run that stopped in between is completed by the
-    next one. Returns the number of rows dropped.
+    Both tables are partitioned by ``event_month`` and ``ingest_batch``. The partitions to move
+    are listed once: exactly these are archived and then dropped, after checking that
+    each of their rows is archived. A late row comes with a later batch, which is another
+    partition, and stays until the next run. A run that stopped in between is completed
+    by the next one. Returns the number of rows dropped.
     """
+    if [c.name for c in spark.catalog.listColumns(live) if c.isPartition] != LOG_PARTITIONS:
+        raise ValueError(f"{live} must be partitioned by {', '.join(LOG_PARTITIONS)}")
     cutoff = cutoff_for(as_of)
-    old = F.col("event_month") < F.lit(cutoff.date())
-    months = [
-        row.event_month for row in spark.table(live).filter(old).select("event_month").distinct().collect()
-    ]
-    if not months:
+    listed = []
+    for row in spark.sql(f"SHOW PARTITIONS {live}").collect():
+        month, batch = (part.partition("=")[2] for part in row.partition.split("/"))
+        if date.fromisoformat(month) < cutoff.date():
+            listed.append((date.fromisoformat(month), int(batch)))
+    if not listed:
         return 0
-    # An archived row was copied with its event time, so it is in the same month.
-    old_live = spark.table(live).filter(F.col("event_month").isin(months))
-    archived = spark.table(archive).filter(F.col("event_month").isin(months))
-    moved = rows_to_move(old_live, archived, cutoff)
+    # As many rows as partitions; the scan of either table is pruned to the months.
+    chosen = spark.createDataFrame(listed, "event_month date, ingest_batch long")
+    in_months = F.col("event_month").isin(sorted({month for month, _ in listed}))
+    old_live = spark.table(live).filter(in_months).join(F.broadcast(chosen), LOG_PARTITIONS, "left_semi")
+    moved = rows_to_move(old_live, spark.table(archive).filter(in_months), cutoff)
     moved.select(*spark.table(archive).columns).write.mode("append").insertInto(archive)
 
     spark.catalog.refreshTable(archive)
-    archived = spark.table(archive).filter(F.col("event_month").isin(months))
+    archived = spark.table(archive).filter(in_months)
     expected = old_rows(old_live, cutoff).count()
     deletable = rows_to_delete(old_live, archived, cutoff).count()
     if expected != deletable or expected != old_live.count():
         raise RuntimeError(f"{expected} old rows, but {deletable} of them are archived")
-    for month in months:
-        spark.sql(f"ALTER TABLE {live} DROP IF EXISTS PARTITION (event_month = DATE'{month}')")
+    for month, batch in listed:
+        spark.sql(
+            f"ALTER TABLE {live} DROP IF EXISTS "
+            f"PARTITION (event_month = DATE'{month}', ingest_batch = {batch})"
+        )
     return deletable
 
 
@@ -63,3 +76,18 @@ def run_device_reset(spark: SparkSession, log: str, resets: str, ids: list[str],
 def run_building_reset(spark: SparkSession, log: str, resets: str, building: str, as_of) -> None:
     rows = reset_building(spark.table(log), building, as_of)
     rows.select(*LEDGER).write.mode("append").insertInto(resets)
+
+
+def clean_up(spark: SparkSession, tables: StreamTables, keep: int = 1_000) -> int:
+    """Remove the per-batch working folders of all but the last ``keep`` committed batches.
+
+    The log stays. Feeds and rejects are kept as long as the working folders, so consumers
+    have that many batches to read them. Returns the number of folders removed.
+    """
+    last = tables.commits(spark).agg(F.max("ingest_batch")).first()[0]
+    if last is None:
+        return 0
+    return sum(
+        remove(spark, tables.folder(name), last - keep)
+        for name in ("staging", "appended", "rejects", "device_feed")
+    )

@@ -1,7 +1,7 @@
 """Counter log, reset ledger and sensor registry as parquet tables.
 
 The log is laid out by month of the event (``event_month``, a date), so a time
-range reads only its months.
+range reads only its months, and within it by the batch that brought the rows.
 """
 
 from __future__ import annotations
@@ -16,14 +16,27 @@ from footfall import schemas
 from footfall.functions.times import floor_to, ts
 
 
+LOG_PARTITIONS = ["event_month", "ingest_batch"]
+LOG_TABLE = T.StructType(
+    schemas.LOG.fields
+    + [T.StructField("event_month", T.DateType()), T.StructField("ingest_batch", T.LongType())]
+)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """A log table written by :func:`write_log`."""
-    schema = T.StructType(schemas.LOG.fields + [T.StructField("event_month", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    """A log table written by :func:`write_log`, by batch jobs or by the stream."""
+    return spark.read.schema(LOG_TABLE).parquet(path)
 
 
-def write_log(log: DataFrame, path: str, mode: str = "append") -> None:
-    with_month(log).write.mode(mode).partitionBy("event_month").parquet(path)
+def write_log(log: DataFrame, path: str, batch: int = 0) -> None:
+    """Add the rows of one batch. Writing a batch again replaces what it wrote before."""
+    rows = with_month(log).withColumn("ingest_batch", F.lit(batch).cast("long"))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*LOG_PARTITIONS)
+        .parquet(path)
+    )
 
 
 def with_month(log: DataFrame) -> DataFrame:
@@ -34,20 +47,6 @@ def read_resets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RESETS).parquet(path)
 
 
-def append_resets(resets: DataFrame, path: str) -> None:
-    """Add ledger rows as produced by ``operators.ledger``."""
-    resets.select(*schemas.RESETS.fieldNames()).write.mode("append").parquet(path)
-
-
-def read_sensors(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SENSORS).parquet(path)
-
-
-def write_sensors(sensors: DataFrame, path: str) -> None:
-    """Write a new registry snapshot; ``path`` must not be one ``sensors`` reads from."""
-    sensors.select(*schemas.SENSORS.fieldNames()).write.mode("overwrite").parquet(path)
-
-
 def log_union(live: DataFrame, archive: DataFrame) -> DataFrame:
     """Live and archived log as one table; filters above it reach both scans."""
     return live.unionByName(archive)

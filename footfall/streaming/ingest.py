@@ -3,7 +3,10 @@
 Each batch is decoded once into a staging table, which all later steps read.
 Every output is a folder of its batch that a replay overwrites, so the stream
 may be stopped at any point and restarted from its checkpoint without losing or
-doubling a reading. Late readings are accepted with any event time; they are
+doubling a reading. The last step of a batch is its commit; a batch that is replayed
+after its commit is left as it is. The summary stream follows the commits and reads
+the batches by number, so it never depends on files that a replay replaces. The log
+is the table that queries and retention read (``sources.tables.read_log``). Late readings are accepted with any event time; they are
 ordered within their batch and compared with whatever came last before it.
 """
 
@@ -30,19 +33,17 @@ from footfall.operators.latest import latest_by
 from footfall.operators.registry import register_readings
 from footfall.operators.slices import MAX_GROUP_ROWS
 from footfall.operators.snapshot import LOOK_BACK, building_summary, latest_devices
-from footfall.sources.tables import created_since, with_month
-from footfall.streaming.state import StateTable
+from footfall.sources.tables import created_since, read_log, write_log
+from footfall.streaming.state import StateTable, exists
 
-# Readings of one batch arrive at one time; among them the later event is newer.
-STREAM_ORDER = ("created_at", "event_time", "id")
+# Readings of one batch arrive at one time; among them the later event is newer. Batches are
+# compared by number: clocks may differ between drivers.
+STREAM_ORDER = ("ingest_batch", "event_time", "id")
 
 COUNT_STATE = T.StructType([f for f in schemas.LOG.fields if f.name in
                             ("device_id", "in_count", "out_count")])
-DEVICE_STATE = schemas.LOG
-LOG_WITH_BATCH = T.StructType(
-    schemas.LOG.fields
-    + [T.StructField("ingest_batch", T.LongType()), T.StructField("event_month", T.DateType())]
-)
+DEVICE_STATE = T.StructType([*schemas.LOG.fields, T.StructField("ingest_batch", T.LongType())])
+COMMIT = T.StructType([T.StructField("ingest_batch", T.LongType())])
 
 READINGS = T.StructType(
     [
@@ -90,7 +91,15 @@ class StreamTables:
         return StateTable(self.folder("state_summary"), DEVICE_STATE)
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(LOG_WITH_BATCH).parquet(self.folder("log"))
+        return read_log(spark, self.folder("log"))
+
+    def commits(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(COMMIT).parquet(self.folder("commits"))
+
+    def appended(self, spark: SparkSession, batches: list[int]) -> DataFrame:
+        """The log rows of these batches."""
+        reader = spark.read.schema(DEVICE_STATE).option("basePath", self.folder("appended"))
+        return reader.parquet(*(self.of_batch("appended", b) for b in batches))
 
     def batches(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.folder(name))
@@ -99,7 +108,7 @@ class StreamTables:
 def newest_per_place(state: DataFrame, rows: DataFrame) -> DataFrame:
     """Newest row of each device and building. From it every snapshot can be
     answered: a building's by filtering first, a device's by taking its newest."""
-    names = schemas.LOG.fieldNames()
+    names = DEVICE_STATE.fieldNames()
     both = state.select(*names).unionByName(rows.select(*names))
     return latest_by(both, ["device_id", "location"], STREAM_ORDER).select(*names)
 
@@ -115,6 +124,9 @@ def ingest_batch(
 ) -> None:
     """Process one micro-batch; ``sensors`` is the registry before the first one."""
     spark = raw.sparkSession
+    commit = f"{tables.folder('commits')}/batch-{batch}.parquet"
+    if exists(spark, commit):
+        return
     staging = tables.of_batch("staging", batch)
     decode_messages(raw).write.mode("overwrite").parquet(staging)
     decoded = spark.read.schema(READINGS).parquet(staging)
@@ -136,19 +148,20 @@ def ingest_batch(
     rows = to_log_rows(readings, as_of)
     counts = tables.counts.before(spark, batch)
     kept = drop_unchanged(rows, counts, max_rows=max_rows)
-    log_path = tables.of_batch("log", batch)
-    with_month(kept).write.mode("overwrite").partitionBy("event_month").parquet(log_path)
+    kept.write.mode("overwrite").parquet(tables.of_batch("appended", batch))
     tables.counts.write(last_counts(rows, counts), batch)
 
-    appended = spark.read.schema(LOG_WITH_BATCH).parquet(log_path)
+    appended = tables.appended(spark, [batch])
+    write_log(appended.select(*schemas.LOG.fieldNames()), tables.folder("log"), batch)
     tables.devices.write(newest_per_place(tables.devices.before(spark, batch), appended), batch)
 
     touched = appended.select("device_id").distinct()
-    feed = latest_devices(
-        tables.devices.after(spark, batch), resets, touched, as_of, STREAM_ORDER
-    )
+    # Of the ledger only the touched devices' resets are aggregated.
+    known = resets.join(touched, "device_id", "left_semi")
+    feed = latest_devices(tables.devices.after(spark, batch), known, touched, as_of, STREAM_ORDER)
     feed = feed.withColumn("route", F.concat(F.lit("building:"), F.coalesce("location", F.lit(""))))
     feed.write.mode("overwrite").parquet(tables.of_batch("device_feed", batch))
+    spark.range(1).select(F.lit(batch).cast("long").alias("ingest_batch")).write.parquet(commit)
 
 
 def ingest_stream(
@@ -157,7 +170,7 @@ def ingest_stream(
     resets: Callable[[], DataFrame],
     sensors: DataFrame,
     clock: Callable[[int], datetime] = utc_clock,
-    interval: str | None = "200 milliseconds",
+    interval: str | None = "5 seconds",
 ) -> StreamingQuery:
     """Start ingesting ``raw`` (``arrival, value``).
 
@@ -179,11 +192,14 @@ def summary_stream(
     interval: str | None = "3 seconds",
 ) -> StreamingQuery:
     """Building totals for the ``dashboard`` route, at most once per ``interval``,
-    from the log rows that the ingest stream appended since."""
-    appended = spark.readStream.schema(LOG_WITH_BATCH).parquet(tables.folder("log"))
+    from the log rows of the batches that the ingest stream committed since."""
+    commits = tables.folder("commits")
+    found = spark.readStream.schema(COMMIT).option("recursiveFileLookup", "true").parquet(commits)
 
-    def step(rows: DataFrame, batch: int) -> None:
+    def step(committed: DataFrame, batch: int) -> None:
         as_of = clock(batch)
+        # One number for each batch since the last trigger.
+        rows = tables.appended(spark, sorted({r.ingest_batch for r in committed.collect()}))
         state = tables.summary_devices
         before = created_since(state.before(spark, batch), as_of - LOOK_BACK)
         state.write(newest_per_place(before, rows), batch)
@@ -192,7 +208,7 @@ def summary_stream(
             tables.of_batch("summary_feed", batch)
         )
 
-    return _start(appended, step, tables.folder("checkpoint_summary"), interval)
+    return _start(found, step, tables.folder("checkpoint_summary"), interval)
 
 
 def _start(source, step, checkpoint: str, interval: str | None) -> StreamingQuery:

@@ -36,3 +36,22 @@ class StateTable:
 
     def write(self, state: DataFrame, batch: int) -> None:
         state.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._slot(batch))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, folder: str, up_to: int) -> int:
+    """Remove the folders of the batches up to and including ``up_to``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return 0
+    removed = 0
+    for entry in files.listStatus(where):
+        name, _, batch = entry.getPath().getName().partition("=")
+        if name == "ingest_batch" and int(batch) <= up_to:
+            removed += files.delete(entry.getPath(), True)
+    return removed

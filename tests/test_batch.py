@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators.health import (
     apply_status,
@@ -17,12 +18,14 @@ from footfall.operators.registry import (
     sensor_status,
 )
 from footfall.operators.retention import archive_split, rows_to_delete
+from footfall.plans import jobs
 from footfall.plans.jobs import (
     run_building_reset,
     run_device_reset,
     run_health_check,
     run_retention,
 )
+from footfall.sources.tables import LOG_PARTITIONS as PARTITIONS
 from footfall.sources.tables import with_month
 from tests.conftest import at, rows
 
@@ -53,14 +56,46 @@ def test_retention_job_completes_an_interrupted_run(spark, t):
         (2, "a", "B1", 2, 0, "2024-01-31"),
         (3, "a", "B1", 3, 0, "2024-02-01"),
     )
-    with_month(log).write.partitionBy("event_month").saveAsTable("live")
-    with_month(log.filter("id = 1")).write.partitionBy("event_month").saveAsTable("archive")
+    save_log(log, "live")
+    save_log(log.filter("id = 1"), "archive")
     assert run_retention(spark, "live", "archive", NOW) == 2
     assert rows(spark.table("live"), "id") == [(3,)]
     assert rows(spark.table("archive"), "id") == [(1,), (2,)]
     assert run_retention(spark, "live", "archive", NOW) == 0
 
 
+def save_log(log, name, batch=0):
+    """A log table in the layout of the stream."""
+    columns = [c for c in log.columns if c not in PARTITIONS]
+    placed = with_month(log).withColumn("ingest_batch", F.lit(batch).cast("long")).select(*columns, *PARTITIONS)
+    placed.write.partitionBy(*PARTITIONS).mode("append").saveAsTable(name)
+
+
+def test_retention_keeps_a_late_row_that_arrives_during_the_run(spark, t, monkeypatch):
+    save_log(t.log((1, "a", "B1", 1, 0, "2024-01-05"), (3, "a", "B1", 3, 0, "2024-02-01")), "live_late")
+    save_log(t.log((9, "z", "B1", 1, 0, "2023-01-05")), "archive_late")
+    check = jobs.rows_to_delete
+
+    def late(*args):
+        save_log(t.log((2, "b", "B1", 2, 0, "2024-01-06")), "live_late", batch=1)
+        return check(*args)
+
+    monkeypatch.setattr(jobs, "rows_to_delete", late)
+    assert run_retention(spark, "live_late", "archive_late", NOW) == 1
+    spark.catalog.refreshTable("live_late")
+    assert rows(spark.table("live_late"), "id") == [(2,), (3,)]
+    assert rows(spark.table("archive_late"), "id") == [(1,), (9,)]
+    monkeypatch.undo()
+    assert run_retention(spark, "live_late", "archive_late", NOW) == 1
+    assert rows(spark.table("live_late"), "id") == [(3,)]
+
+
+def test_retention_needs_partitions_by_batch(spark, t):
+    with_month(t.log((1, "a", "B1", 1, 0, "2024-01-05"))).write.partitionBy("event_month").saveAsTable("live_plain")
+    with pytest.raises(ValueError):
+        run_retention(spark, "live_plain", "live_plain", NOW)
+
+
 def test_health(t, spark):
     sensors = t.sensors(
         ("a", "B1", "10.0.0.1", None, None),
@@ -86,7 +121,9 @@ def test_health(t, spark):
         ("d", False, at("2024-01-01")),
         ("e", False, None),
     ]
-    assert rows(recent_activity(log, NOW), "device_id", "is_active") == [("a", False), ("b", False), ("x", True)]
+    known = t.sensors(*[(d, "B1", None, None, None) for d in ("a", "b", "silent", "x")])
+    assert rows(recent_activity(log, known, NOW), "device_id", "is_active") == [
+        ("a", False), ("b", False), ("silent", False), ("x", True)]
     assert rows(last_data_time(log)) == [
         ("a", at("2024-02-10 11:55:00")), ("b", at("2024-02-10 11:54:59")), ("x", at("2024-02-10 13:00:00"))]
 

@@ -5,7 +5,10 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from footfall.operators.trend import sensor_trend
+from footfall.plans.jobs import clean_up, run_retention
 from footfall.sources.payloads import payload_files
+from footfall.sources.tables import LOG_PARTITIONS, read_log
 from footfall.streaming import ingest as stream
 from footfall.streaming.ingest import StreamTables, ingest_batch, ingest_stream, summary_stream
 from tests.conftest import at, rows
@@ -103,3 +106,83 @@ def test_sliced_batches_give_the_same_log(spark, t, tables):
     for batch, (values, start) in enumerate([(FIRST, 0), (SECOND, 10)]):
         ingest_batch(t.messages(*values, start=start), batch, tables, resets, sensors, clock(batch), max_rows=1)
     assert rows(tables.log(spark), "device_id", "in_count") == [("a", 4), ("a", 5), ("a", 6), ("b", 7)]
+
+
+def test_the_summary_survives_a_replay_of_batches_it_has_read(spark, t, tmp_path, tables, monkeypatch):
+    """The ingest checkpoint is lost after its commit; the batch is replayed and the log, feeds
+    and totals stay as they are."""
+    source = str(tmp_path / "in")
+    t.messages(*FIRST).write.parquet(source)
+    run(spark, t, tables, source)
+    none, sensors = t.resets(("a", "2024-01-01", 2, 0)), t.sensors(("b", "B9", "10.0.0.2", "2024-01-01", "Offline"))
+    before = [f.name for f in (tmp_path / "tables" / "appended" / "ingest_batch=0").iterdir()]
+    ingest_batch(t.messages(*FIRST), 0, tables, none, sensors, clock(5))
+    assert [f.name for f in (tmp_path / "tables" / "appended" / "ingest_batch=0").iterdir()] == before
+    t.messages(*SECOND, start=10).write.mode("append").parquet(source)
+    run(spark, t, tables, source)
+    check(spark, tables)
+
+
+def test_a_replay_before_the_commit_while_the_summary_waits(spark, t, tmp_path, tables, monkeypatch):
+    source = str(tmp_path / "in")
+    t.messages(*FIRST).write.parquet(source)
+    run(spark, t, tables, source)
+    none, sensors = t.resets(("a", "2024-01-01", 2, 0)), t.sensors()
+    rows_in = t.messages(*SECOND, start=10)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(stream, "latest_devices", fail)  # the log of the batch is written already
+        with pytest.raises(RuntimeError):
+            ingest_batch(rows_in, 1, tables, none, sensors, clock(1))
+    summary_stream(spark, tables, lambda: none, clock, None).awaitTermination()
+    assert rows(tables.batches(spark, "summary_feed"), "ingest_batch") == [(0,)]
+    rows_in.write.mode("append").parquet(source)
+    run(spark, t, tables, source)
+    check(spark, tables)
+
+
+def test_later_batches_win_whatever_the_clock_says(spark, t, tables):
+    resets, sensors = t.resets(), t.sensors()
+    ingest_batch(t.messages(message("a", "B1", 5, "2024-01-01T08:00:00")), 0, tables, resets, sensors, clock(9))
+    ingest_batch(t.messages(message("a", "B1", 6, "2024-01-01T09:00:00"), start=5), 1, tables, resets, sensors, clock(1))
+    assert rows(tables.devices.after(spark, 1), "device_id", "in_count") == [("a", 6)]
+
+
+def test_streamed_rows_reach_trend_and_archive(spark, t, tmp_path, tables):
+    source = str(tmp_path / "in")
+    t.messages(*FIRST).write.parquet(source)
+    run(spark, t, tables, source)
+    log = read_log(spark, tables.folder("log"))
+    names = t.log().columns
+    assert rows(sensor_trend(log.select(*names), t.log(), t.resets(), "a", "2024-01-01", "2024-01-02")) == [
+        (at("2024-01-01 08:00"), 0, 0)]
+    log.write.partitionBy(*LOG_PARTITIONS).saveAsTable("streamed_live")
+    log.limit(0).write.partitionBy(*LOG_PARTITIONS).saveAsTable("streamed_archive")
+    assert run_retention(spark, "streamed_live", "streamed_archive", "2024-02-10") == 2
+    assert spark.table("streamed_archive").count() == 2
+
+
+def test_clean_up_keeps_the_log(spark, t, tables):
+    resets, sensors = t.resets(), t.sensors()
+    for batch in range(3):
+        text = message("a", "B1", batch + 1, f"2024-01-01T0{batch}:00:00")
+        ingest_batch(t.messages(text, start=batch), batch, tables, resets, sensors, clock(batch))
+    assert clean_up(spark, tables, keep=1) == 8
+    assert tables.log(spark).count() == 3
+    assert rows(tables.batches(spark, "device_feed"), "ingest_batch") == [(2,)]
+
+
+def test_a_processing_time_trigger_takes_new_batches(spark, t, tmp_path, tables):
+    source = str(tmp_path / "in")
+    t.messages(*FIRST).write.parquet(source)
+    query = ingest_stream(payload_files(spark, source), tables, t.resets, t.sensors(), clock, "1 second")
+    try:
+        query.processAllAvailable()
+        t.messages(*SECOND, start=10).write.mode("append").parquet(source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(tables.log(spark), "device_id") == [("a",), ("a",), ("a",), ("b",)]
