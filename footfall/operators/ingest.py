@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.times import ts
-from footfall.operators.slices import MAX_GROUP_ROWS, with_previous
+from footfall.operators.slices import SLICE, with_previous
 
 # Names in the message; fixed values.
 TEXT_FIELDS = ("Location", "SubLocation", "ipaddr", "TimeStamp")
@@ -240,7 +240,7 @@ def drop_unchanged(
     readings: DataFrame,
     prior: DataFrame | None = None,
     order: tuple[str, ...] = ("event_time", "id"),
-    max_rows: int = MAX_GROUP_ROWS,
+    unit: str = SLICE,
 ) -> DataFrame:
     """Drop readings whose counts equal the device's reading before.
 
@@ -248,7 +248,7 @@ def drop_unchanged(
     row before is the same as comparing with the last kept row. ``prior``
     (``device_id, in_count, out_count``) is the state left by earlier batches.
     """
-    compared = with_previous(readings, "device_id", list(order), COUNTS, prior, max_rows)
+    compared = with_previous(readings, "device_id", list(order), COUNTS, prior, unit)
     changed = ~F.struct(*COUNTS).eqNullSafe(F.col("previous"))
     return compared.filter(changed).drop("previous")
 

@@ -1,21 +1,23 @@
 """Per-device windows over logs in which one device may hold much of the data.
 
-A window partitioned by device sorts all rows of a device in one task. Where a
-device has more rows than a task should hold, its rows are cut into time slices
-that are windowed separately, and each slice gets the last value of the slice
-before it. The slice values are aggregated before they are shuffled, so they
-are as many as the slices, not as the rows.
+A window partitioned by device sorts all rows of a device in one task. So rows are
+cut into time slices that are windowed separately, and each slice gets the last
+value of the slice before it. The slice values are aggregated before they are
+shuffled, so they are as many as the slices, not as the rows. The slice is the same
+whatever the data, so nothing is counted first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import floor_to
 
-# Rows one window group may hold before it is cut into smaller slices. A sort of
-# this many narrow rows stays well inside one task's memory.
+# The slice of `with_previous`. A sensor that reports every second has 3,600 rows in it.
+SLICE = "hour"
+
+# Rows one group may hold before `slice_unit` cuts it into smaller slices.
 MAX_GROUP_ROWS = 1_000_000
 
 UNITS = ("day", "hour", "minute", "second")
@@ -42,17 +44,13 @@ def slice_unit(
     return UNITS[-1]
 
 
-def slice_of(time: str, unit: str | None) -> Column:
-    return F.lit(None).cast("timestamp_ntz") if unit is None else floor_to(F.col(time), unit)
-
-
 def with_previous(
     df: DataFrame,
     key: str,
     order: list[str],
     columns: list[str],
     prior: DataFrame | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    unit: str = SLICE,
 ) -> DataFrame:
     """Add ``previous``, a struct of the ``columns`` of the row before in ``order``.
 
@@ -60,35 +58,26 @@ def with_previous(
     plus ``columns``) stands before the first row of its key; without it that
     row's ``previous`` is null.
     """
-    time = order[0]
-    unit = slice_unit(df, key, time, max_rows)
-    sliced = df.withColumn("_slice", slice_of(time, unit)).withColumn("_seed", F.lit(1))
-
-    seeds = _slice_seeds(sliced, key, order, columns, prior, unit)
-    rows = sliced if seeds is None else sliced.unionByName(seeds, allowMissingColumns=True)
-    group = [key] if unit is None else [key, "_slice"]
-    window = Window.partitionBy(*group).orderBy("_seed", *order)
+    rows = df.withColumn("_slice", floor_to(F.col(order[0]), unit)).withColumn("_seed", F.lit(1))
+    seeds = _slice_seeds(rows, key, order, columns, prior)
+    window = Window.partitionBy(key, "_slice").orderBy("_seed", *order)
     return (
-        rows.withColumn("previous", F.lag(F.struct(*columns)).over(window))
+        rows.unionByName(seeds, allowMissingColumns=True)
+        .withColumn("previous", F.lag(F.struct(*columns)).over(window))
         .filter(F.col("_seed") == 1)
         .drop("_slice", "_seed")
     )
 
 
-def _slice_seeds(sliced, key, order, columns, prior, unit) -> DataFrame | None:
+def _slice_seeds(sliced, key, order, columns, prior) -> DataFrame:
     """One row per slice holding what came before it (``_seed`` 0, so it sorts first)."""
-    seeds = None
-    if unit is None:
-        if prior is not None:
-            seeds = prior.withColumn("_slice", slice_of(order[0], None))
-    else:
-        tails = sliced.groupBy(key, "_slice").agg(
-            F.max_by(F.struct(*columns), F.struct(*order)).alias("tail")
-        )
-        slices = Window.partitionBy(key).orderBy("_slice")
-        carried = tails.withColumn("carry", F.lag("tail").over(slices))
-        seeds = carried.filter("carry is not null").select(key, "_slice", "carry.*")
-        if prior is not None:
-            first = carried.filter("carry is null").select(key, "_slice")
-            seeds = seeds.unionByName(first.join(prior.select(key, *columns), key))
-    return None if seeds is None else seeds.withColumn("_seed", F.lit(0))
+    tails = sliced.groupBy(key, "_slice").agg(
+        F.max_by(F.struct(*columns), F.struct(*order)).alias("tail")
+    )
+    slices = Window.partitionBy(key).orderBy("_slice")
+    carried = tails.withColumn("carry", F.lag("tail").over(slices))
+    seeds = carried.filter("carry is not null").select(key, "_slice", "carry.*")
+    if prior is not None:
+        first = carried.filter("carry is null").select(key, "_slice")
+        seeds = seeds.unionByName(first.join(prior.select(key, *columns), key))
+    return seeds.withColumn("_seed", F.lit(0))

@@ -31,7 +31,6 @@ from footfall.operators.ingest import (
 )
 from footfall.operators.latest import latest_by
 from footfall.operators.registry import register_readings
-from footfall.operators.slices import MAX_GROUP_ROWS
 from footfall.operators.snapshot import LOOK_BACK, building_summary, latest_devices
 from footfall.sources.tables import created_since, read_log, write_log
 from footfall.streaming.state import StateTable, exists
@@ -120,7 +119,6 @@ def ingest_batch(
     resets: DataFrame,
     sensors: DataFrame,
     as_of: datetime,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> None:
     """Process one micro-batch; ``sensors`` is the registry before the first one."""
     spark = raw.sparkSession
@@ -147,7 +145,7 @@ def ingest_batch(
 
     rows = to_log_rows(readings, as_of)
     counts = tables.counts.before(spark, batch)
-    kept = drop_unchanged(rows, counts, max_rows=max_rows)
+    kept = drop_unchanged(rows, counts)
     kept.write.mode("overwrite").parquet(tables.of_batch("appended", batch))
     tables.counts.write(last_counts(rows, counts), batch)
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from footfall.operators.ingest import (
     decode_messages,
@@ -110,12 +112,12 @@ LOG = [
 ]
 
 
-@pytest.mark.parametrize("max_rows", [1, 2, 1000])
-def test_unchanged_readings_are_dropped_in_event_order(t, spark, max_rows):
+@pytest.mark.parametrize("unit", ["second", "hour", "day"])
+def test_unchanged_readings_are_dropped_in_event_order(t, spark, unit):
     log = t.log(*LOG)
-    assert rows(drop_unchanged(log, max_rows=max_rows), "id") == [(1,), (3,), (4,), (6,)]
+    assert rows(drop_unchanged(log, unit=unit), "id") == [(1,), (3,), (4,), (6,)]
     prior = spark.createDataFrame([("a", 1, 0), ("z", 4, 4)], "device_id string, in_count int, out_count int")
-    kept = drop_unchanged(log, prior, max_rows=max_rows)
+    kept = drop_unchanged(log, prior, unit=unit)
     assert rows(kept, "id") == [(3,), (4,), (6,)]
     assert kept.columns == log.columns
     assert rows(last_counts(log, prior)) == [("a", 1, 0), ("b", 1, 0), ("z", 4, 4)]
@@ -132,9 +134,13 @@ def test_slices_split_one_busy_device_and_agree_with_one_window(spark):
     assert slice_unit(log, "device_id", "event_time", 600) == "day"
     assert slice_unit(log, "device_id", "event_time", 50) == "hour"
     order, columns = ["event_time", "id"], ["in_count", "out_count"]
-    whole = rows(with_previous(log, "device_id", order, columns), "id", "previous")
-    for most in (600, 50, 1):
-        assert rows(with_previous(log, "device_id", order, columns, max_rows=most), "id", "previous") == whole
+    window = Window.partitionBy("device_id").orderBy(*order)
+    whole = rows(log.withColumn("previous", F.lag(F.struct(*columns)).over(window)), "id", "previous")
+    for unit in ("second", "minute", "hour", "day"):
+        assert rows(with_previous(log, "device_id", order, columns, unit=unit), "id", "previous") == whole
+    instant = log.withColumn("event_time", F.lit("2024-01-01").cast("timestamp_ntz"))
+    whole = rows(instant.withColumn("previous", F.lag(F.struct(*columns)).over(window)), "id", "previous")
+    assert rows(with_previous(instant, "device_id", order, columns), "id", "previous") == whole
 
 
 @pytest.mark.parametrize("text", ["null", " null", "null\n", "\tnull \r\n"])

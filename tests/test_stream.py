@@ -101,13 +101,6 @@ def test_a_batch_without_valid_rows_keeps_the_state(spark, t, tables):
     assert rows(tables.registry.after(spark, 2), "device", "last_seen") == [("a", clock(2)), ("b", clock(0))]
 
 
-def test_sliced_batches_give_the_same_log(spark, t, tables):
-    sensors, resets = t.sensors(), t.resets()
-    for batch, (values, start) in enumerate([(FIRST, 0), (SECOND, 10)]):
-        ingest_batch(t.messages(*values, start=start), batch, tables, resets, sensors, clock(batch), max_rows=1)
-    assert rows(tables.log(spark), "device_id", "in_count") == [("a", 4), ("a", 5), ("a", 6), ("b", 7)]
-
-
 def test_the_summary_survives_a_replay_of_batches_it_has_read(spark, t, tmp_path, tables, monkeypatch):
     """The ingest checkpoint is lost after its commit; the batch is replayed and the log, feeds
     and totals stay as they are."""
