@@ -12,10 +12,11 @@ A text is the set of its distinct word shingles, as 64-bit hashes. Two sets link
 * **Certificate.** A set of which ``T + 1`` blocks occur in no other set links with nothing. One
   packed shuffle of block values settles this for nearly all texts; their sets are never moved.
 * **Rounds.** The rest are compared block by block. Sets that share a block with a leader are
-  verified against it, linked ones become one component, and a block whose sets are all of
-  one component needs no more comparisons. Two rounds with different leaders leave few pairs;
-  the last round takes every pair of different components in the ``T + 1`` cheapest blocks of each set
-  that is not settled, so no link is lost and no group is expanded into all its pairs.
+  verified against it, and linked ones become one component. A block is then settled if its
+  other sets are of one component. What still lacks ``T + 1`` settled blocks is few; of two such
+  sets in one block, those are verified whose bit sketches are near enough, so no link is lost
+  and no group is expanded into all its pairs. (The sketches of a group are compared inside its
+  task, which is quadratic in the group's sets of different components.)
 * **Verification** counts the common elements exactly.
 
 Equal sets are one node throughout. Null and empty texts, and rows with a null id, link with
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -41,13 +42,15 @@ WORDS = 5
 #: Links need 100 * common >= PERCENT * union; the bounds of the module are for 75.
 PERCENT = 75
 #: Blocks per needed block: room for blocks that are empty or common.
-ROOM = 1.1
+ROOM = 1.5
 SPARE = 12
-#: Parts of the packed shuffles per shuffle partition; one part's keys are in memory at a time.
-PARTS = 3
+MAX_SKETCH_BITS = 1 << 15
+#: Block keys of a part that are sorted at a time.
+KEYS_AT_ONCE = 400_000
 LOW_BITS = np.uint64(40)
 _LOW = np.uint64((1 << 40) - 1)
 _SALT = np.uint64(0xE7037ED1A0B428DB)
+_MAX = np.int64((1 << 63) - 1)
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +163,9 @@ _PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary,
 _NAMES = [p.split()[0] for p in _PACKED.split(", ")]
 
 
-def _pack(keys, entry, node, comp, size, band, parts: int) -> Iterator[tuple]:
-    """``(part, *packed columns)``: the keys of one part, in order of their entries."""
+def _pack(keys, entry, node, comp, size, band, parts: int, sketch: list[bytes] | None = None) -> Iterator[tuple]:
+    """``(part, *packed columns)``: the keys of one part, in order of their entries; with
+    ``sketch`` the entries' sketches come last."""
     part = ((keys >> LOW_BITS) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     keys, entry, part = keys[order] & _LOW, entry[order], part[order]
@@ -180,46 +184,76 @@ def _pack(keys, entry, node, comp, size, band, parts: int) -> Iterator[tuple]:
             comp[some].tobytes(),
             size[some].astype(np.uint32).tobytes(),
             band[some].astype(np.uint8).tobytes(),
+            *([b"".join(sketch[e] for e in some.tolist())] if sketch is not None else ()),
         )
 
 
 class _Part:
-    """All keys that reached one task, grouped."""
+    """What reached one task: the nodes' entries (one for each band), and their keys."""
 
     def __init__(self, rows: list[tuple]):
         def column(k: int, kind) -> np.ndarray:
             return np.concatenate([np.frombuffer(r[k + 1], kind) for r in rows])
 
         lengths = np.array([len(r[2]) for r in rows])
-        low = column(0, np.uint32).astype(np.uint64) | (column(1, np.uint8).astype(np.uint64) << np.uint64(32))
-        key = low | (np.repeat(np.array([r[0] for r in rows], np.uint64), lengths) << LOW_BITS)
-        counts = column(2, np.uint32)
+        self.prefix = np.repeat(np.array([r[0] for r in rows], np.uint32), lengths)
+        self.low4, self.low1 = column(0, np.uint32), column(1, np.uint8)
         node, comp, size, band = column(3, np.int64), column(4, np.int64), column(5, np.uint32), column(6, np.uint8)
         # One entry for a node in a band, however many copies of its text there are.
         code = mix(node.view(np.uint64) + band.astype(np.uint64) * _SALT)
         _, where, same = np.unique(code, return_index=True, return_inverse=True)
         self.node, self.comp, self.size, self.band = node[where], comp[where], size[where], band[where]
-        entry = np.repeat(same, counts)
+        self.entry_of = np.repeat(same.astype(np.int32), column(2, np.uint32))
+        self.sketch: list[np.ndarray] = []
+        if len(rows[0]) > 8:
+            body = b"".join(r[8] for r in rows)
+            ends = np.cumsum([_sketch_bytes(int(b)) for b in band])
+            for w in where.tolist():
+                length = _sketch_bytes(int(band[w]))
+                self.sketch.append(np.frombuffer(body, np.uint64, length // 8, int(ends[w]) - length))
+
+    def groups(self) -> Iterator[_Groups]:
+        """The keys in ranges, so that one range's arrays are in memory at a time."""
+        turns = max(1, -(-len(self.low4) // KEYS_AT_ONCE))
+        for turn in range(turns):
+            own = slice(None) if turns == 1 else np.flatnonzero(self.low4 % np.uint32(turns) == turn)
+            key = self.low4[own].astype(np.uint64) | (self.low1[own].astype(np.uint64) << np.uint64(32))
+            key |= self.prefix[own].astype(np.uint64) << LOW_BITS
+            if len(key):
+                yield _Groups(self, key, self.entry_of[own])
+
+
+class _Groups:
+    """Keys of a part, equal ones together."""
+
+    def __init__(self, part: _Part, key: np.ndarray, entry: np.ndarray):
         order = np.argsort(key, kind="stable")
-        self.key, self.entry = key[order], entry[order]
-        key = self.key
-        self.starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        self.part, self.key, self.entry = part, key[order], entry[order]
+        self.starts = np.flatnonzero(np.concatenate([[True], self.key[1:] != self.key[:-1]]))
         self.lengths = np.diff(np.append(self.starts, len(key)))
 
     def block_ids(self) -> np.ndarray:
         return self.key[self.starts].view(np.int64)
 
-    def settled(self) -> np.ndarray:
-        """Which groups hold sets of one component only."""
-        comp = self.comp[self.entry]
-        return np.minimum.reduceat(comp, self.starts) == np.maximum.reduceat(comp, self.starts)
+    def settled(self, rest: np.ndarray | None = None) -> np.ndarray:
+        """Which groups hold sets of one component only; of their members only ``rest`` counts."""
+        comp = self.part.comp[self.entry]
+        low, high = (comp, comp) if rest is None else (np.where(rest, comp, _MAX), np.where(rest, comp, ~_MAX))
+        return np.minimum.reduceat(low, self.starts) >= np.maximum.reduceat(high, self.starts)
+
+    def leaders(self, turn: int) -> np.ndarray:
+        """Which keys belong to the leader of their group in this turn: one node of the group,
+        the same in every round."""
+        rank = mix(self.part.node[self.entry].view(np.uint64) ^ np.uint64(turn))
+        return rank == np.repeat(np.minimum.reduceat(rank, self.starts), self.lengths)
 
     def credits(self, settled: np.ndarray) -> np.ndarray:
         """Settled groups of each entry; copies of a text within a group count once."""
         member = np.repeat(settled, self.lengths)
-        group = np.repeat(np.arange(len(self.starts)), self.lengths)[member].astype(np.int64)
-        pairs = np.unique(group * len(self.node) + self.entry[member])
-        return np.bincount(pairs % max(1, len(self.node)), minlength=len(self.node))
+        group = np.repeat(np.arange(len(self.starts)), self.lengths)[member]
+        entries = len(self.part.node)
+        pairs = np.unique(group * entries + self.entry[member])
+        return np.bincount(pairs % entries, minlength=entries)
 
 
 def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
@@ -263,7 +297,8 @@ def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> Data
             rows += zip(packed.column(0).to_pylist(), *(packed.column(4 + k).to_pylist() for k in range(len(_NAMES))), strict=True)
         if rows:
             part = _Part(rows)
-            credits = _packed_credits(part, part.credits(part.settled()), parts)
+            credit = sum(g.credits(g.settled()) for g in part.groups())
+            credits = _packed_credits(part, credit, parts)
             none = [pa.nulls(len(credits), t) for t in (id_type, pa.int64(), pa.int64())]
             columns = list(zip(*credits, strict=True))
             yield pa.record_batch(
@@ -371,101 +406,142 @@ def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _thin_blocks(sets: DataFrame) -> dict[int, np.ndarray]:
     """`thin_blocks` of all open nodes, by band. Their number is bounded by the blocks of the
-    bands, which follow the longest text, not the number of texts."""
+    bands and the tasks: it follows the longest text, not the number of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = sorted(thin_blocks(*_sets_of(batch.column(2))))
-            yield pa.record_batch(
-                [pa.array([b for b, _ in found], pa.int32()), pa.array([k for _, k in found], pa.int32())],
-                names=["band", "block"],
-            )
+        found = sorted(set().union(*(thin_blocks(*_sets_of(batch.column(2))) for batch in batches)))
+        yield pa.record_batch(
+            [pa.array([b for b, _ in found], pa.int32()), pa.array([k for _, k in found], pa.int32())],
+            names=["band", "block"],
+        )
 
-    rows = sets.select("node", "n", "body").mapInArrow(run, "band int, block int").distinct().collect()
-    out: dict[int, list[int]] = {}
+    rows = sets.select("node", "n", "body").mapInArrow(run, "band int, block int").collect()
+    out: dict[int, set[int]] = {}
     for band, block in rows:
-        out.setdefault(band, []).append(block)
+        out.setdefault(band, set()).add(block)
     return {band: np.array(sorted(some)) for band, some in out.items()}
 
 
-def _round(sets: DataFrame, parts: int, turn: int, last: bool, filled: dict[int, np.ndarray]) -> DataFrame:
-    """Compare the blocks of all open nodes (``node, n, body, comp``).
-
-    For blocks of several components gives pairs ``(node, other)`` of a leader and another
-    component's node, or with ``last`` packed credits and the blocks' members ``(node, comp,
-    band, n, block, cost)``.
-    """
-    names = ["part", *_NAMES]
-    shown = f"node long, n long, band int, other long, comp long, block long, cost long, part int, {_CREDITS}"
-    shown_names = [p.split()[0] for p in shown.split(", ")]
+def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray], sketched: bool = False) -> DataFrame:
+    """The block keys of open nodes (``node, n, body, comp``), dealt out by part."""
+    packed = _PACKED + ", sketches binary" * sketched
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        names = ["part", *(p.split()[0] for p in packed.split(", "))]
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             flat_sets, first = _sets_of(batch.column(2))
             keys, entry, number, band = block_keys(flat_sets, first, filled)
             node, size, comp = (batch.column(k).to_numpy()[number] for k in (0, 1, 3))
-            rows = list(_pack(keys, entry, node, comp, size, band, parts))
+            sketch = None
+            if sketched:
+                sketch = [parity_sketch(flat_sets[first[i] : first[i + 1]], b) for i, b in zip(number, band, strict=True)]
+            rows = list(_pack(keys, entry, node, comp, size, band, parts, sketch))
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
 
-    def shown_rows(**columns) -> pa.RecordBatch:
-        count = len(next(iter(columns.values())))
-        types = dict.fromkeys(shown_names, pa.int64()) | {"band": pa.int32(), "part": pa.int32()}
-        types |= dict.fromkeys(("nodes", "sizes", "bands", "credits"), pa.binary())
-        return pa.record_batch(
-            [pa.array(columns[n], types[n]) if n in columns else pa.nulls(count, types[n]) for n in shown_names],
-            names=shown_names,
-        )
+    picked = sets.select("node", "n", "body", "comp").mapInArrow(emit, f"part int, {packed}")
+    return picked.repartitionById(parts, "part")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in zip(*(batch.column(k).to_pylist() for k in range(len(names))), strict=True)]
-        if not rows:
-            return
-        part = _Part(rows)
-        settled = part.settled()
-        if last:
-            credits = zip(*_packed_credits(part, part.credits(settled), parts), strict=True)
-            yield shown_rows(**dict(zip(("part", "nodes", "sizes", "bands", "credits"), credits, strict=True)))
-        open_ = ~settled
-        member = np.repeat(open_, part.lengths)
-        entry = part.entry[member]
-        if not len(entry):
-            return
-        lengths = part.lengths[open_]
-        starts = np.cumsum(lengths) - lengths
-        group = np.repeat(np.arange(len(lengths)), lengths)
-        node, comp, size = part.node[entry], part.comp[entry], part.size[entry].astype(np.int64)
-        if last:
-            block = np.repeat(part.block_ids()[open_], lengths)
-            yield shown_rows(
-                node=node, n=size, band=part.band[entry].astype(np.int32), comp=comp, block=block, cost=np.repeat(lengths, lengths)
-            )
-            return
-        rank = mix(node.view(np.uint64) ^ np.uint64(turn))
-        lowest = np.minimum.reduceat(rank, starts)
-        at = np.flatnonzero(rank == lowest[group])
-        leader = np.zeros(len(lengths), np.int64)
-        leader[group[at]] = at  # equal nodes have equal ranks: any of them
-        head = leader[group]
-        fits = (comp != comp[head]) & (100 * np.minimum(size, size[head]) >= PERCENT * np.maximum(size, size[head]))
-        pair = np.unique(np.stack([np.minimum(node, node[head])[fits], np.maximum(node, node[head])[fits]]), axis=1)
-        yield shown_rows(node=pair[0], other=pair[1])
 
-    picked = sets.select("node", "n", "body", "comp").mapInArrow(emit, f"part int, {_PACKED}")
-    return picked.repartitionById(parts, "part").mapInArrow(compare, shown)
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> list[tuple]:
+    return [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
 
 
-def _unsettled(out: DataFrame, parts: int) -> DataFrame:
-    """``node, band, missing`` from packed credits."""
+def _stars(dealt: DataFrame, turn: int) -> DataFrame:
+    """Pairs ``(a, b)`` of a leader and another component's node that share a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True)]
+        rows = _rows_of(batches)
+        for part, some in ((p, g) for p in ([_Part(rows)] if rows else []) for g in p.groups()):
+            open_ = ~some.settled()
+            own = np.repeat(open_, some.lengths)
+            entry, lengths = some.entry[own], some.lengths[open_]
+            group = np.repeat(np.arange(len(lengths)), lengths)
+            node, comp, size = part.node[entry], part.comp[entry], part.size[entry].astype(np.int64)
+            at = np.flatnonzero(some.leaders(turn)[own])
+            leader = np.zeros(len(lengths), np.int64)
+            leader[group[at]] = at  # copies of one node have one rank: any of them
+            yield _pairs(node, comp, size, np.arange(len(node)), leader[group])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(node, comp, size, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs of the members ``x`` and ``y`` that are of two components and can link."""
+    fits = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= PERCENT * np.maximum(size[x], size[y]))
+    a, b = node[x[fits]], node[y[fits]]
+    pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.record_batch([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
+
+
+def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
+    """Nodes that lack settled blocks after that many turns of `_stars`."""
+
+    def credit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _rows_of(batches)
+        if rows:
+            part = _Part(rows)
+            total = np.zeros(len(part.node), np.int64)
+            for some in part.groups():
+                # Leaders have been compared with all others of their group.
+                led = [some.leaders(t) for t in range(1, turns + 1)] or [np.zeros(len(some.key), bool)]
+                total += some.credits(some.settled(~np.logical_or.reduce(led)))
+            columns = list(zip(*_packed_credits(part, total, parts), strict=True))
+            yield pa.record_batch(
+                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+                names=["part", *(p.split()[0] for p in _CREDITS.split(", "))],
+            )
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r[1:] for r in _rows_of(batches)]
         if rows:
-            node, _, band, missing = _lacking(rows)
-            yield pa.record_batch([pa.array(node), pa.array(band), pa.array(missing)], names=["node", "band", "missing"])
+            yield pa.record_batch([pa.array(np.unique(_lacking(rows)[0]))], names=["node"])
+
+    packed = dealt.mapInArrow(credit, f"part int, {_CREDITS}")
+    return packed.repartitionById(parts, "part").mapInArrow(total, "node long")
 
-    packed = out.filter("nodes is not null").select("part", "nodes", "sizes", "bands", "credits")
-    return packed.repartitionById(parts, "part").mapInArrow(run, "node long, band int, missing long")
+
+def _near_pairs(dealt: DataFrame) -> DataFrame:
+    """Pairs of nodes of two components that share a block and whose parity sketches do not
+    rule a link out: the sketches' Hamming distance is at most the sets' symmetric
+    difference, and that at most ``(|A| + |B|) / 7``. Only these pairs leave the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _rows_of(batches)
+        if not rows:
+            return
+        part = _Part(rows)
+        for some in part.groups():
+            open_ = ~some.settled()
+            seen: set[bytes] = set()
+            for a, n in zip(some.starts[open_].tolist(), some.lengths[open_].tolist(), strict=True):
+                own = np.unique(some.entry[a : a + n])
+                # Many blocks have the same members.
+                if own.tobytes() in seen:
+                    continue
+                seen.add(own.tobytes())
+                sketch = np.stack([part.sketch[e] for e in own])
+                size = part.size[own].astype(np.int64)
+                step = max(1, (4 << 20) // sketch.size)
+                for k in range(0, len(own), step):
+                    apart = np.bitwise_count(sketch[k : k + step, None] ^ sketch[None]).sum(axis=2, dtype=np.int64)
+                    x, y = np.nonzero(7 * apart <= size[k : k + step, None] + size[None])
+                    x += k
+                    x, y = x[x < y], y[x < y]
+                    yield _pairs(part.node[own], part.comp[own], size, x, y)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def parity_sketch(own: np.ndarray, band: int) -> bytes:
+    """A bit per element, toggled: at least as many bits as a set of the band has elements."""
+    bits = min(max(64, 2 << band), MAX_SKETCH_BITS)
+    at = (mix(own) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) % 2).astype(np.uint8)).tobytes()
+
+
+def _sketch_bytes(band: int) -> int:
+    return min(max(64, 2 << band), MAX_SKETCH_BITS) // 8
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -489,50 +565,17 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return whole.mapInArrow(run, "a long, b long")
 
 
-SKETCH_BITS = 2048
-
-
-def _within_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose parity sketches do not rule a link out: the sketches' Hamming distance is at
-    most the sets' symmetric difference, and that at most ``(|A| + |B|) / 7``."""
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(k, 200) for b in batches for k in range(0, b.num_rows, 200)):
-            values, first = _sets_of(batch.column(2))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(first))
-            bit = (mix(values) % np.uint64(SKETCH_BITS)).astype(np.int64)
-            odd = np.bincount(row * SKETCH_BITS + bit, minlength=batch.num_rows * SKETCH_BITS) % 2
-            packed = np.packbits(odd.reshape(-1, SKETCH_BITS).astype(np.uint8), axis=1)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array([p.tobytes() for p in packed], pa.binary())],
-                names=["node", "n", "sketch"],
-            )
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(flat(batch.column(k))[0].tobytes(), np.uint8).reshape(-1, SKETCH_BITS // 8) for k in (2, 3))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            total = batch.column(4).to_numpy() + batch.column(5).to_numpy()
-            yield batch.select([0, 1]).filter(pa.array(7 * apart <= total))
-
-    made = sets.select("node", "n", "body").mapInArrow(sketch, "node long, n long, sketch binary")
-    one = made.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("na"))
-    two = made.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("nb"))
-    whole = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y", "na", "nb")
-    return whole.mapInArrow(near, "a long, b long")
-
-
 def _labelled(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return sets.withColumn("comp", F.col("node"))
     return sets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row for each row of ``docs``; the component is
     named by the smallest id in it."""
     spark = docs.sparkSession
-    parts = PARTS * shuffle_partitions(spark)
+    parts = shuffle_partitions(spark)
     passed = cut(_first_pass(docs, id_col, text_col, parts), "parity")
     rows = passed.filter("band is null").select("id", "n", "node")
     unsettled = passed.filter("band is not null")
@@ -546,21 +589,23 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = same.filter("a < top").select("a", F.explode("all").alias("b")).filter("a <> b")
     links, labels, tested = cut(links, "links"), None, None
     filled = _thin_blocks(sets)
-    for turn in range(1, rounds + 2):
-        last = turn > rounds
-        out = cut(_round(_labelled(sets, labels), parts, turn, last, filled), "round")
-        if last:
-            pairs = _remaining(out, parts)
-        else:
-            pairs = out.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    for turn in range(1, rounds + 1):
+        dealt = _dealt(_labelled(sets, labels), parts, filled)
+        pairs = _stars(dealt, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if last:
-            pairs = _within_sketch(cut(pairs, "pairs"), sets)
         pairs = cut(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         links = links.union(cut(_verified(pairs, sets), "links"))
         labels = connected(links)
+    # A node that can still gain a link lacks settled blocks, and so does what it links to.
+    lacking = _unsettled(_dealt(_labelled(sets, labels), parts, filled), parts, rounds).distinct()
+    rest = cut(_labelled(sets, labels).join(lacking, "node", "left_semi"), "rest")
+    pairs = _near_pairs(_dealt(rest, parts, filled, sketched=True))
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    links = links.union(cut(_verified(cut(pairs, "pairs"), rest), "links"))
+    labels = connected(links)
 
     grouped = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = grouped.filter("comp is not null").groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -569,23 +614,3 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
-
-
-def _remaining(out: DataFrame, parts: int) -> DataFrame:
-    """Pairs of different components in the cheapest blocks of nodes that are not settled."""
-    members = out.filter("block is not null").select("node", "n", "band", "comp", "block", "cost")
-    lacking = _unsettled(out, parts)
-    cheap = Window.partitionBy("node", "band").orderBy("cost", "block")
-    probes = (
-        members.join(lacking, ["node", "band"])
-        .withColumn("place", F.row_number().over(cheap))
-        .filter("place <= missing")
-        .select("block", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-    )
-    fits = f"comp <> pc and 100 * least(n, pn) >= {PERCENT} * greatest(n, pn)"
-    return (
-        probes.join(members.select("block", "node", "n", "comp"), "block")
-        .filter(fits)
-        .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
-        .distinct()
-    )

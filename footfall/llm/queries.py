@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, toxicity, warc, wumanber
+from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, warc, wumanber
 from footfall.llm.tables import small_batches, table
 
 #: Held out of the toxicity labels: crc32 of the id as text, modulo 3, is 1.
@@ -48,7 +48,7 @@ def chat_records(conversations: DataFrame) -> DataFrame:
     )
     held = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
     roles = F.transform("t", lambda t: t["role"])
-    kind = F.pmod(F.xxhash64("conv_id"), F.lit(3))
+    kind = F.coalesce(F.col("conv_id") % 3, F.lit(0))
     pair = roles == F.array(F.lit("user"), F.lit("assistant"))
     three = (roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))) & (F.col("t")[1]["text"] != "")
     named = F.size(F.filter(roles, lambda r: ~r.isin("user", "assistant", "system"))) == 0
@@ -182,4 +182,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_chat": sql.chat(),
+        "op4_decontamination": sql.decontamination(),
+        "op8_ngram_join": sql.ngram_join(),
+    }
