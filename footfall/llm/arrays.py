@@ -78,20 +78,22 @@ def pieces(batch: pa.RecordBatch, text: str, max_bytes: int = PIECE_BYTES) -> It
 @dataclass
 class Words:
     """Words of several texts: byte span, text number and 64-bit hash of each.
-    ``first[i]:first[i + 1]`` are the words of text ``i``."""
+    ``first[i]:first[i + 1]`` are the words of text ``i``; ``stem``: the hash of each word's first
+    bytes, if asked for."""
 
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    stem: np.ndarray | None = None
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
 
-def hash_words(data: np.ndarray, at: np.ndarray, table: np.ndarray = ALNUM) -> Words:
+def hash_words(data: np.ndarray, at: np.ndarray, table: np.ndarray = ALNUM, stem: int = 0) -> Words:
     low = table[data]
     inside = np.zeros(len(low) + 2, bool)
     inside[1:-1] = low != 0
@@ -105,7 +107,8 @@ def hash_words(data: np.ndarray, at: np.ndarray, table: np.ndarray = ALNUM) -> W
     hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
     first = np.searchsorted(starts, at)
     text = np.repeat(np.arange(len(at) - 1), np.diff(first))
-    return Words(starts, ends, text, hashes, first)
+    stems = mix((sums[np.minimum(ends, starts + stem)] - sums[starts]) * inverse[starts]) if stem else None
+    return Words(starts, ends, text, hashes, first, stems)
 
 
 def window_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,11 +1,11 @@
 """Toxicity by multiple-instance learning.
 
-A text is a bag of sentences. A sentence's chance is the logistic function of the sum of its
-words' weights; the text's chance is the noisy-or of its sentences: ``1 - prod(1 - p)``. Only
+A text is a bag of sentences. A sentence's chance is the logistic function of the sum of the
+weights of its words and of their first ``STEM`` bytes; the text's chance is the noisy-or of its sentences: ``1 - prod(1 - p)``. Only
 labels of texts are needed to learn the weights, and the sentence scores then tell which
 sentences offend.
 
-Words are hashed to ``2 ** BITS`` weights. Null counts as the empty text; a text without
+Words and stems are hashed to ``2 ** BITS`` weights. Null counts as the empty text; a text without
 words is one sentence without words. Labels other than 0 and 1 are left out. Several rows of one
 text are scored alike. Without labels of both kinds every score is the share of label 1 (0 if
 there are none).
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from footfall.llm.arrays import ALNUM, Words, flat, hash_words, mix, pieces
 
 BITS = 18
+STEM = 5
 #: Labelled rows that the model is fitted on at most, taken in hash order of id.
 TRAIN_ROWS = 5000
 #: A word has a weight if its share of toxic training texts is so many standard errors off
@@ -31,6 +32,7 @@ TRAIN_ROWS = 5000
 LEAST_Z = 4.0
 ROUNDS = 150
 THRESHOLD = 0.7
+_STEM_SALT = np.uint64(0x9FB21C651E98DF25)
 _ENDS = np.isin(np.arange(256), list(b".!?\n"))
 
 
@@ -46,7 +48,9 @@ def sentences(data: np.ndarray, at: np.ndarray, words: Words) -> np.ndarray:
 
 
 def slots(words: Words) -> np.ndarray:
-    return (mix(words.hash) >> np.uint64(64 - BITS)).astype(np.int32)
+    """Slot of each word, then slot of each word's stem."""
+    both = np.concatenate([mix(words.hash), mix(words.stem ^ _STEM_SALT)])
+    return (both >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 @dataclass
@@ -56,10 +60,10 @@ class Model:
 
     def sentence_scores(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, Words, np.ndarray]:
         """Chance of each sentence, the words and their sentence numbers."""
-        words = hash_words(data, at, ALNUM)
+        words = hash_words(data, at, ALNUM, STEM)
         number = sentences(data, at, words)
         count = int(number[-1]) + 1 if len(number) else 0
-        total = np.bincount(number, self.weights[slots(words)], count) + self.bias
+        total = np.bincount(np.tile(number, 2), self.weights[slots(words)], count) + self.bias
         return _logistic(total), words, number
 
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -77,7 +81,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> Model:
-    """``bags``: label, sentence number and slot of each word of a text.
+    """``bags``: label, sentence number and slot of each word and stem of a text.
 
     Maximises the likelihood of the text labels under noisy-or by Adam, with a small
     pull of all weights to zero."""
@@ -86,25 +90,23 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = ROUNDS) ->
     if share in (0.0, 1.0):
         return Model(weights, 15.0 if share else -30.0)
     label = np.array([b[0] for b in bags], float)
+    spread, toxic_texts = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for y, _, words in bags:
+        own = np.unique(words)
+        spread[own] += 1
+        toxic_texts[own] += y
+    off = (toxic_texts - spread * share) / np.sqrt(np.maximum(spread * share * (1 - share), 1e-9))
+    used = np.abs(off) >= LEAST_Z
     text, sentence, slot, base = [], [], [], 0
     for number, (_, own, words) in enumerate(bags):
-        pairs = np.unique(own.astype(np.int64) << BITS | words)
-        numbers = pairs >> BITS
-        known, numbers = np.unique(numbers, return_inverse=True)
-        count = max(1, len(known))
-        sentence.append(numbers + base)
+        known, place = np.unique(own, return_inverse=True)
+        keep = used[words]
+        pairs = np.unique(place[keep].astype(np.int64) << BITS | words[keep])
+        sentence.append((pairs >> BITS) + base)
         slot.append(pairs & ((1 << BITS) - 1))
-        text.append(np.full(count, number))
-        base += count
+        text.append(np.full(max(1, len(known)), number))
+        base += max(1, len(known))
     text, sentence, slot = (np.concatenate(x).astype(np.int64) for x in (text, sentence, slot))
-    spread = np.bincount(np.unique(text[sentence] << BITS | slot) & ((1 << BITS) - 1), minlength=1 << BITS)
-    toxic_texts = np.bincount(
-        np.unique((text[sentence] << BITS | slot)[label[text[sentence]] == 1]) & ((1 << BITS) - 1), minlength=1 << BITS
-    )
-    off = (toxic_texts - spread * share) / np.sqrt(np.maximum(spread * share * (1 - share), 1e-9))
-    used = np.abs(off) >= LEAST_Z
-    keep = used[slot]
-    sentence, slot = sentence[keep], slot[keep]
     names, slot = np.unique(slot, return_inverse=True)
     first = np.flatnonzero(np.diff(text, prepend=-1))
 
@@ -134,13 +136,15 @@ def bags(docs: DataFrame, label_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, text_col):
                 data, at = flat(piece.column(1))
-                words = hash_words(data, at, ALNUM)
-                ends = pa.array(words.first, pa.int32())
+                words = hash_words(data, at, ALNUM, STEM)
+                number, slot = sentences(data, at, words), slots(words).reshape(2, -1)
+                ends = pa.array(2 * words.first, pa.int32())
+                # word and stem side by side, so that a text's are together
                 yield pa.record_batch(
                     [
                         piece.column(0),
-                        pa.ListArray.from_arrays(ends, pa.array(sentences(data, at, words), pa.int32())),
-                        pa.ListArray.from_arrays(ends, pa.array(slots(words), pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array(np.repeat(number, 2), pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array(slot.T.ravel(), pa.int32())),
                     ],
                     names=["label", "sentence", "slot"],
                 )
