@@ -29,9 +29,10 @@ from footfall.operators import (
     snapshot,
     trend,
 )
+from footfall.plans.jobs import run_retention
 from footfall.session import configure, workspace
 from footfall.sources.payloads import payload_files
-from footfall.sources.tables import log_union
+from footfall.sources.tables import LOG_PARTITIONS, log_union, with_month
 from footfall.streaming.ingest import StreamTables, ingest_stream, summary_stream
 
 # The operators for training data live in folders of their own, which may be absent.
@@ -214,6 +215,32 @@ def _stream(fn: Callable[[SparkSession, StreamTables], DataFrame]) -> Query:
     return run
 
 
+def _stream_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend of all devices over the rows that the stream appended to the log."""
+    configure(spark)
+    log = streamed(spark, sf).log(spark)
+    return trend.sensor_trend(log, log.limit(0), fx.counter_resets(spark, sf), None, *DAYS, "hour")
+
+
+def _retention_job(part: str) -> Query:
+    """The log after the retention job, run on tables in the shared folder; some of the old
+    rows are archived already, as after a run that stopped."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        log = with_month(fx.counter_log_months(spark, sf))
+        log = log.withColumn("ingest_batch", (F.col("id") % 3).cast("long"))
+        rows = log.select(*LOG_COLUMNS, *LOG_PARTITIONS)
+        names = {}
+        for name, df in (("live", rows), ("archive", rows.filter("event_time < '2024-02-01' and id % 4 = 0"))):
+            path = workspace(spark, f"retention-{name}")
+            names[name] = "retention_" + path.rpartition("-")[2]
+            df.write.partitionBy(*LOG_PARTITIONS).option("path", path).saveAsTable(names[name])
+        run_retention(spark, names["live"], names["archive"], "2024-03-15")
+        return spark.table(names[part]).select(*LOG_COLUMNS)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     more = {**llm_queries(), "pipeline": corpus_pipeline.run} if corpus_pipeline else {}
     return {**_counter_queries(), **more}
@@ -293,6 +320,9 @@ def _counter_queries() -> dict[str, Query]:
         "ingest_append": _ingest_append,
         "stream_changed_only": _stream(
             lambda spark, tables: tables.log(spark).select(*LOG_COLUMNS)),
+        "stream_sensor_trend": _stream_trend,
+        "retention_job_live": _retention_job("live"),
+        "retention_job_archive": _retention_job("archive"),
         "stream_device_feed": _stream(lambda spark, tables: tables.batches(spark, "device_feed")),
         "stream_summary_feed": _stream(lambda spark, tables: tables.batches(spark, "summary_feed")),
     }

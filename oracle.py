@@ -219,9 +219,10 @@ def _trend(
     out_keys: str = "",
     monthly: bool = False,
     number: str = "BIGINT",
+    source: str = "log",
 ) -> str:
     """``out_keys``: leading result columns; growth is per device and, if kept, location."""
-    log, resets = ("log_months", "resets_months") if monthly else ("log", "resets")
+    log, resets = ("log_months", "resets_months") if monthly else (source, "resets")
     group = "device_id, location" if "location" in out_keys else "device_id"
     keys = f"{out_keys}, time" if out_keys else "time"
     return with_tables(
@@ -409,6 +410,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {KEPT}, TIMESTAMP '2024-02-10' AS created_at FROM kept", "kept"),
         "stream_changed_only": with_tables(
             f"SELECT {KEPT}, TIMESTAMP '2024-02-01' + to_hours(week) AS created_at FROM kept", "kept"),
+        "stream_sensor_trend": _trend("hour", "true", *HOURS, "device_id", number="INT", source="kept"),
+        "retention_job_live": with_tables(
+            f"SELECT {KEPT}, created_at FROM log_months WHERE event_time >= TIMESTAMP '2024-03-01'", "log_months"),
+        "retention_job_archive": with_tables(
+            f"SELECT {KEPT}, created_at FROM log_months WHERE event_time < TIMESTAMP '2024-03-01'", "log_months"),
         "stream_device_feed": with_tables(
             f"""SELECT week AS ingest_batch, {SNAPSHOT}, display_in - display_out AS inside,
                 'building:' || coalesce(location, '') AS route
