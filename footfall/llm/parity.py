@@ -159,11 +159,11 @@ def thin_blocks(sets: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
 
 # --- packed shuffle of block keys -----------------------------------------------------------
 
-_PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary, sizes binary, bands binary"
+_PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary, sizes binary, bands binary, weights binary"
 _NAMES = [p.split()[0] for p in _PACKED.split(", ")]
 
 
-def _pack(keys, entry, node, comp, size, band, parts: int, sketch: list[bytes] | None = None) -> Iterator[tuple]:
+def _pack(keys, entry, node, comp, size, band, weight, parts: int, sketch: list[bytes] | None = None) -> Iterator[tuple]:
     """``(part, *packed columns)``: the keys of one part, in order of their entries; with
     ``sketch`` the entries' sketches come last."""
     part = ((keys >> LOW_BITS) % np.uint64(parts)).astype(np.int64)
@@ -184,6 +184,7 @@ def _pack(keys, entry, node, comp, size, band, parts: int, sketch: list[bytes] |
             comp[some].tobytes(),
             size[some].astype(np.uint32).tobytes(),
             band[some].astype(np.uint8).tobytes(),
+            weight[some].astype(np.uint16).tobytes(),
             *([b"".join(sketch[e] for e in some.tolist())] if sketch is not None else ()),
         )
 
@@ -203,10 +204,12 @@ class _Part:
         code = mix(node.view(np.uint64) + band.astype(np.uint64) * _SALT)
         _, where, same = np.unique(code, return_index=True, return_inverse=True)
         self.node, self.comp, self.size, self.band = node[where], comp[where], size[where], band[where]
+        # Leaders: the largest weight first, then by a hash.
+        self.lead = ((np.uint64(0xFFFF) - column(7, np.uint16)[where].astype(np.uint64)) << np.uint64(48))
         self.entry_of = np.repeat(same.astype(np.int32), column(2, np.uint32))
         self.sketch: list[np.ndarray] = []
-        if len(rows[0]) > 8:
-            body = b"".join(r[8] for r in rows)
+        if len(rows[0]) > 9:
+            body = b"".join(r[9] for r in rows)
             ends = np.cumsum([_sketch_bytes(int(b)) for b in band])
             for w in where.tolist():
                 length = _sketch_bytes(int(band[w]))
@@ -244,7 +247,8 @@ class _Groups:
     def leaders(self, turn: int) -> np.ndarray:
         """Which keys belong to the leader of their group in this turn: one node of the group,
         the same in every round."""
-        rank = mix(self.part.node[self.entry].view(np.uint64) ^ np.uint64(turn))
+        rank = mix(self.part.node[self.entry].view(np.uint64) ^ np.uint64(turn)) >> np.uint64(16)
+        rank |= self.part.lead[self.entry] if turn == 1 else np.uint64(0)
         return rank == np.repeat(np.minimum.reduceat(rank, self.starts), self.lengths)
 
     def credits(self, settled: np.ndarray) -> np.ndarray:
@@ -365,7 +369,7 @@ def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str])
         entries.append(entry + base)
         base += len(node)
     keys, node, size, band = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3, 4))
-    rows = list(_pack(keys, np.concatenate(entries), node, node, size, band, parts))
+    rows = list(_pack(keys, np.concatenate(entries), node, node, size, band, np.zeros(len(node)), parts))
     columns = list(zip(*rows, strict=True)) or [()] * (len(_NAMES) + 1)
     return pa.record_batch(
         [
@@ -377,7 +381,8 @@ def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str])
 
 
 def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> DataFrame:
-    """``node, n, body`` (sorted 64-bit hashes) of the nodes in ``reps`` (``rep, wanted``)."""
+    """``node, n, body`` (sorted 64-bit hashes) and ``weight`` of the nodes in ``reps``
+    (``rep, wanted, weight``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,13 +395,14 @@ def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) ->
                         pa.array(node[rows], pa.int64()),
                         pa.array(np.diff(first)[rows], pa.int64()),
                         pa.array([sets[first[r] : first[r + 1]].tobytes() for r in rows], pa.binary()),
+                        piece.column(2).take(pa.array(rows)),
                     ],
-                    names=["node", "n", "body"],
+                    names=["node", "n", "body", "weight"],
                 )
 
     texts = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"))
-    wanted = texts.join(reps, texts["own"] == reps["rep"]).select("text", "wanted")
-    return wanted.mapInArrow(run, "node long, n long, body binary").dropDuplicates(["node"])
+    wanted = texts.join(reps, texts["own"] == reps["rep"]).select("text", "wanted", "weight")
+    return wanted.mapInArrow(run, "node long, n long, body binary, weight int").dropDuplicates(["node"])
 
 
 def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -431,15 +437,15 @@ def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray], sketched:
         for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             flat_sets, first = _sets_of(batch.column(2))
             keys, entry, number, band = block_keys(flat_sets, first, filled)
-            node, size, comp = (batch.column(k).to_numpy()[number] for k in (0, 1, 3))
+            node, size, comp, weight = (batch.column(k).to_numpy()[number] for k in (0, 1, 3, 4))
             sketch = None
             if sketched:
                 sketch = [parity_sketch(flat_sets[first[i] : first[i + 1]], b) for i, b in zip(number, band, strict=True)]
-            rows = list(_pack(keys, entry, node, comp, size, band, parts, sketch))
+            rows = list(_pack(keys, entry, node, comp, size, band, weight, parts, sketch))
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
 
-    picked = sets.select("node", "n", "body", "comp").mapInArrow(emit, f"part int, {packed}")
+    picked = sets.select("node", "n", "body", "comp", "weight").mapInArrow(emit, f"part int, {packed}")
     return picked.repartitionById(parts, "part")
 
 
@@ -447,10 +453,10 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> list[tuple]:
     return [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
 
 
-def _stars(dealt: DataFrame, turn: int) -> DataFrame:
+def _stars(dealt: DataFrame, parts: int, turn: int) -> DataFrame:
     """Pairs ``(a, b)`` of a leader and another component's node that share a block."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         rows = _rows_of(batches)
         for part, some in ((p, g) for p in ([_Part(rows)] if rows else []) for g in p.groups()):
             open_ = ~some.settled()
@@ -463,15 +469,62 @@ def _stars(dealt: DataFrame, turn: int) -> DataFrame:
             leader[group[at]] = at  # copies of one node have one rank: any of them
             yield _pairs(node, comp, size, np.arange(len(node)), leader[group])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return _distinct(dealt.mapInArrow(_packing(run, parts), _PAIRS), parts)
 
 
-def _pairs(node, comp, size, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+def _pairs(node, comp, size, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Distinct pairs of the members ``x`` and ``y`` that are of two components and can link."""
     fits = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= PERCENT * np.maximum(size[x], size[y]))
     a, b = node[x[fits]], node[y[fits]]
-    pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-    return pa.record_batch([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+
+
+_PAIRS = "part int, a binary, b binary"
+#: Pairs that a task holds before it passes them on.
+PAIRS_AT_ONCE = 500_000
+
+
+def _packing(run, parts: int):
+    """Pairs found by ``run`` without repeats, packed by the part that they go to."""
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        pair = np.unique(np.concatenate(held, axis=1), axis=1)
+        part = (mix(pair[0].view(np.uint64) ^ mix(pair[1].view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        rows = [
+            (p, pair[0][order[edges[p] : edges[p + 1]]].tobytes(), pair[1][order[edges[p] : edges[p + 1]]].tobytes())
+            for p in np.flatnonzero(np.diff(edges)).tolist()
+        ]
+        columns = list(zip(*rows, strict=True)) or [()] * 3
+        types = (pa.int32(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "a", "b"])
+
+    def all_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for pair in run(batches):
+            held.append(pair)
+            count += pair.shape[1]
+            if count > PAIRS_AT_ONCE:
+                yield packed(held)
+                held, count = [], 0
+        if held:
+            yield packed(held)
+
+    return all_
+
+
+def _distinct(packed: DataFrame, parts: int) -> DataFrame:
+    """``a, b``: every pair once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, 0), np.int64)
+        for batch in batches:
+            more = np.stack([np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int64) for k in (1, 2)])
+            seen = np.unique(np.concatenate([seen, more], axis=1), axis=1)
+        yield pa.record_batch([pa.array(seen[0]), pa.array(seen[1])], names=["a", "b"])
+
+    return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long")
 
 
 def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
@@ -501,12 +554,12 @@ def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
     return packed.repartitionById(parts, "part").mapInArrow(total, "node long")
 
 
-def _near_pairs(dealt: DataFrame) -> DataFrame:
+def _near_pairs(dealt: DataFrame, parts: int) -> DataFrame:
     """Pairs of nodes of two components that share a block and whose parity sketches do not
     rule a link out: the sketches' Hamming distance is at most the sets' symmetric
     difference, and that at most ``(|A| + |B|) / 7``. Only these pairs leave the task."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         rows = _rows_of(batches)
         if not rows:
             return
@@ -530,7 +583,7 @@ def _near_pairs(dealt: DataFrame) -> DataFrame:
                     x, y = x[x < y], y[x < y]
                     yield _pairs(part.node[own], part.comp[own], size, x, y)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return _distinct(dealt.mapInArrow(_packing(run, parts), _PAIRS), parts)
 
 
 def parity_sketch(own: np.ndarray, band: int) -> bytes:
@@ -581,7 +634,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unsettled = passed.filter("band is not null")
     known = rows.filter("node is not null")
     reps = known.groupBy("node").agg(F.min("id").alias("rep"))
-    reps = reps.join(unsettled.select("node").distinct(), "node").select("rep", F.col("node").alias("wanted"))
+    # The share of its blocks that other sets have too: an original has a larger one than its
+    # edited copies, so it leads.
+    share = F.least(F.max(F.col("missing") / F.col("n")), F.lit(1.0))
+    common = unsettled.groupBy("node").agg((share * 60000).cast("int").alias("weight"))
+    reps = reps.join(common, "node").select("rep", F.col("node").alias("wanted"), "weight")
     sets = cut(_open_sets(docs, id_col, text_col, reps), "sets")
 
     # Nodes of one id are one document.
@@ -591,7 +648,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     filled = _thin_blocks(sets)
     for turn in range(1, rounds + 1):
         dealt = _dealt(_labelled(sets, labels), parts, filled)
-        pairs = _stars(dealt, turn)
+        pairs = _stars(dealt, parts, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
@@ -601,7 +658,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A node that can still gain a link lacks settled blocks, and so does what it links to.
     lacking = _unsettled(_dealt(_labelled(sets, labels), parts, filled), parts, rounds).distinct()
     rest = cut(_labelled(sets, labels).join(lacking, "node", "left_semi"), "rest")
-    pairs = _near_pairs(_dealt(rest, parts, filled, sketched=True))
+    pairs = _near_pairs(_dealt(rest, parts, filled, sketched=True), parts)
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
     links = links.union(cut(_verified(cut(pairs, "pairs"), rest), "links"))
