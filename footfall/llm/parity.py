@@ -473,10 +473,18 @@ def _stars(dealt: DataFrame, parts: int, turn: int) -> DataFrame:
 
 
 def _pairs(node, comp, size, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Distinct pairs of the members ``x`` and ``y`` that are of two components and can link."""
+    """Pairs of the members ``x`` and ``y`` that are of two components and can link."""
     fits = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= PERCENT * np.maximum(size[x], size[y]))
     a, b = node[x[fits]], node[y[fits]]
-    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return np.stack([np.minimum(a, b), np.maximum(a, b)])
+
+
+def _once(pair: np.ndarray) -> np.ndarray:
+    """The columns of ``pair`` without repeats."""
+    pair = pair[:, np.lexsort(pair)]
+    new = np.ones(pair.shape[1], bool)
+    new[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
+    return pair[:, new]
 
 
 _PAIRS = "part int, a binary, b binary"
@@ -488,7 +496,7 @@ def _packing(run, parts: int):
     """Pairs found by ``run`` without repeats, packed by the part that they go to."""
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-        pair = np.unique(np.concatenate(held, axis=1), axis=1)
+        pair = _once(np.concatenate(held, axis=1))
         part = (mix(pair[0].view(np.uint64) ^ mix(pair[1].view(np.uint64))) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
@@ -506,8 +514,11 @@ def _packing(run, parts: int):
             held.append(pair)
             count += pair.shape[1]
             if count > PAIRS_AT_ONCE:
-                yield packed(held)
-                held, count = [], 0
+                held = [_once(np.concatenate(held, axis=1))]
+                count = held[0].shape[1]
+                if 2 * count > PAIRS_AT_ONCE:
+                    yield packed(held)
+                    held, count = [], 0
         if held:
             yield packed(held)
 
@@ -521,7 +532,7 @@ def _distinct(packed: DataFrame, parts: int) -> DataFrame:
         seen = np.zeros((2, 0), np.int64)
         for batch in batches:
             more = np.stack([np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int64) for k in (1, 2)])
-            seen = np.unique(np.concatenate([seen, more], axis=1), axis=1)
+            seen = _once(np.concatenate([seen, more], axis=1))
         yield pa.record_batch([pa.array(seen[0]), pa.array(seen[1])], names=["a", "b"])
 
     return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long")
