@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words kept from batch to batch in one task; the oldest go first.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 60_000
 
 
 class Pieces:
@@ -148,8 +148,8 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = load(model_file), {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                part = batch.slice(begin, 2000)
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
                 texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
                 ids = encode_texts(texts, model, known)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
