@@ -13,10 +13,16 @@ A text is the set of its distinct word shingles, as 64-bit hashes. Two sets link
   packed shuffle of block values settles this for nearly all texts; their sets are never moved.
 * **Rounds.** The rest are compared block by block. Sets that share a block with a leader are
   verified against it, and linked ones become one component. A block is then settled if its
-  other sets are of one component. What still lacks ``T + 1`` settled blocks is few; of two such
-  sets in one block, those are verified whose bit sketches are near enough, so no link is lost
-  and no group is expanded into all its pairs. (The sketches of a group are compared inside its
-  task, which is quadratic in the group's sets of different components.)
+  other sets are of one component.
+* **Rare elements.** What still lacks ``T + 1`` settled blocks is compared by a second exact
+  pigeonhole, over elements in one order, rare ones first. A set of ``n`` elements has at least
+  ``3n / 4`` of them in common with any link, and ``6n / 7`` with one that is not smaller. So the
+  first common element is among the first ``n // 4 + 1`` of the larger set and the first
+  ``n // 7 + 1`` of the smaller one; texts of one template that differ by too much for a link meet
+  in their template's elements only, which come last. An element that many sets have is
+  cut into cells of at most about ``SLICE`` sets a side, spread by Spark. Sets of a cell are verified
+  if their bit sketches are near enough. (Many sets that have the same elements in front are
+  still compared each with each, cell by cell.)
 * **Verification** counts the common elements exactly.
 
 Equal sets are one node throughout. Null and empty texts, and rows with a null id, link with
@@ -45,6 +51,10 @@ PERCENT = 75
 ROOM = 1.5
 SPARE = 12
 MAX_SKETCH_BITS = 1 << 15
+#: Sets of one element on either side of a cell.
+SLICE = 4000
+#: Counters that put the elements in order: a hash of the element, so they are bounded.
+COUNTERS = 1 << 22
 #: Block keys of a part that are sorted at a time.
 KEYS_AT_ONCE = 400_000
 LOW_BITS = np.uint64(40)
@@ -163,9 +173,8 @@ _PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary,
 _NAMES = [p.split()[0] for p in _PACKED.split(", ")]
 
 
-def _pack(keys, entry, node, comp, size, band, weight, parts: int, sketch: list[bytes] | None = None) -> Iterator[tuple]:
-    """``(part, *packed columns)``: the keys of one part, in order of their entries; with
-    ``sketch`` the entries' sketches come last."""
+def _pack(keys, entry, node, comp, size, band, weight, parts: int) -> Iterator[tuple]:
+    """``(part, *packed columns)``: the keys of one part, in order of their entries."""
     part = ((keys >> LOW_BITS) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     keys, entry, part = keys[order] & _LOW, entry[order], part[order]
@@ -185,7 +194,6 @@ def _pack(keys, entry, node, comp, size, band, weight, parts: int, sketch: list[
             size[some].astype(np.uint32).tobytes(),
             band[some].astype(np.uint8).tobytes(),
             weight[some].astype(np.uint16).tobytes(),
-            *([b"".join(sketch[e] for e in some.tolist())] if sketch is not None else ()),
         )
 
 
@@ -207,13 +215,6 @@ class _Part:
         # Leaders: the largest weight first, then by a hash.
         self.lead = ((np.uint64(0xFFFF) - column(7, np.uint16)[where].astype(np.uint64)) << np.uint64(48))
         self.entry_of = np.repeat(same.astype(np.int32), column(2, np.uint32))
-        self.sketch: list[np.ndarray] = []
-        if len(rows[0]) > 9:
-            body = b"".join(r[9] for r in rows)
-            ends = np.cumsum([_sketch_bytes(int(b)) for b in band])
-            for w in where.tolist():
-                length = _sketch_bytes(int(band[w]))
-                self.sketch.append(np.frombuffer(body, np.uint64, length // 8, int(ends[w]) - length))
 
     def groups(self) -> Iterator[_Groups]:
         """The keys in ranges, so that one range's arrays are in memory at a time."""
@@ -428,24 +429,19 @@ def _thin_blocks(sets: DataFrame) -> dict[int, np.ndarray]:
     return {band: np.array(sorted(some)) for band, some in out.items()}
 
 
-def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray], sketched: bool = False) -> DataFrame:
+def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray]) -> DataFrame:
     """The block keys of open nodes (``node, n, body, comp``), dealt out by part."""
-    packed = _PACKED + ", sketches binary" * sketched
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["part", *(p.split()[0] for p in packed.split(", "))]
+        names = ["part", *_NAMES]
         for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             flat_sets, first = _sets_of(batch.column(2))
             keys, entry, number, band = block_keys(flat_sets, first, filled)
             node, size, comp, weight = (batch.column(k).to_numpy()[number] for k in (0, 1, 3, 4))
-            sketch = None
-            if sketched:
-                sketch = [parity_sketch(flat_sets[first[i] : first[i + 1]], b) for i, b in zip(number, band, strict=True)]
-            rows = list(_pack(keys, entry, node, comp, size, band, weight, parts, sketch))
+            rows = list(_pack(keys, entry, node, comp, size, band, weight, parts))
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
 
-    picked = sets.select("node", "n", "body", "comp", "weight").mapInArrow(emit, f"part int, {packed}")
+    picked = sets.select("node", "n", "body", "comp", "weight").mapInArrow(emit, f"part int, {_PACKED}")
     return picked.repartitionById(parts, "part")
 
 
@@ -565,36 +561,166 @@ def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
     return packed.repartitionById(parts, "part").mapInArrow(total, "node long")
 
 
-def _near_pairs(dealt: DataFrame, parts: int) -> DataFrame:
-    """Pairs of nodes of two components that share a block and whose parity sketches do not
+def _slot(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements ^ _SALT) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _fronts(sets: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(element, set number, place)`` of the first ``n // 4 + 1`` elements of each set, by
+    their counters and then by hash."""
+    whose = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((sets, counts[_slot(sets)], whose))
+    place = np.arange(len(sets)) - first[whose]
+    front = place <= np.diff(first)[whose] // 4
+    return sets[order][front], whose[front], place[front]
+
+
+def _counters(sets: DataFrame, parts: int, order=None) -> np.ndarray:
+    """Sets that have an element, by the element's slot; with ``order`` (a broadcast of these
+    counters) only the sets that have it among their first ``n // 7 + 1``. A counter is shared by
+    several elements; it bounds the count of each from above."""
+    pieces_ = 64
+    wide = COUNTERS // pieces_
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int32)
+        for batch in batches:
+            elements, first = _sets_of(batch.column(0))
+            if order is not None:
+                elements, whose, place = _fronts(elements, first, order.value)
+                elements = elements[place <= np.diff(first)[whose] // 7]
+            slot, n = np.unique(_slot(elements), return_counts=True)
+            total[slot] += n.astype(np.int32)
+        some = [k for k in range(pieces_) if total[k * wide : (k + 1) * wide].any()]
+        yield pa.record_batch(
+            [pa.array(some, pa.int32()), pa.array([total[k * wide : (k + 1) * wide].tobytes() for k in some], pa.binary())],
+            names=["part", "counts"],
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(counts, np.int32)
+        yield pa.record_batch(
+            [pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())],
+            names=["part", "counts"],
+        )
+
+    kind = "part int, counts binary"
+    summed = sets.select("body").mapInArrow(count, kind).repartition(parts, "part").mapInArrow(add, kind)
+    out = np.zeros(COUNTERS, np.int32)
+    for k, counts in summed.collect():
+        out[k * wide : (k + 1) * wide] = np.frombuffer(counts, np.int32)
+    return out
+
+
+_CELLS = "key long, i int, j int, node long, comp long, n int, front boolean, sketch binary"
+
+
+def _cells(sets: DataFrame, parts: int, slice_: int = SLICE) -> DataFrame:
+    """The sets (``node, n, body, comp``) in the cells of their elements and bands: on one side
+    those with the element among their first ``n // 7 + 1`` (``front``), on the other those with
+    it among their first ``n // 4 + 1``."""
+    context = sets.sparkSession.sparkContext
+    order = context.broadcast(_counters(sets, parts))
+    fronts = context.broadcast(_counters(sets, parts, order))
+    names = [p.split()[0] for p in _CELLS.split(", ")]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, indexed = order.value, fronts.value
+        for batch in (b.slice(k, 200) for b in batches for k in range(0, b.num_rows, 200)):
+            node, size, comp = (batch.column(k).to_numpy() for k in (0, 1, 3))
+            flat_sets, first = _sets_of(batch.column(2))
+            number, band, _ = band_plan(np.diff(first))
+            sketch = pa.array([parity_sketch(flat_sets[first[i] : first[i + 1]], b) for i, b in zip(number, band, strict=True)], pa.binary())
+            element, whose, place = _fronts(flat_sets, first, held)
+            slot = _slot(element)
+            # An element of one set only, or first in none, makes no pair.
+            useful = (held[slot] > 1) & (indexed[slot] > 0)
+            element, whose, place, slot = element[useful], whose[useful], place[useful], slot[useful]
+            # An entry for each band of the set.
+            begin, end = np.searchsorted(number, [whose, whose + 1])
+            times = end - begin
+            entry = np.repeat(begin, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            element, whose, place, slot = (np.repeat(x, times) for x in (element, whose, place, slot))
+            key = mix(element + mix(band[entry].astype(np.uint64) ^ _SALT)).view(np.int64)
+            rows_of, columns_of = -(-indexed[slot] // slice_), -(-held[slot] // slice_)
+            spread = mix(node[whose].view(np.uint64) ^ element)
+            ahead = np.flatnonzero(place <= size[whose] // 7)
+            # One cell of each column for the front side, one of each row for the other.
+            for some, front, own, other in ((ahead, True, rows_of, columns_of), (np.arange(len(key)), False, columns_of, rows_of)):
+                step = max(1, 200_000 // int(other[some].max(initial=1)))
+                for k in range(0, len(some), step):
+                    part = some[k : k + step]
+                    copies = other[part]
+                    at = np.repeat(part, copies)
+                    across = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+                    along = (spread[at] % own[at].astype(np.uint64)).astype(np.int64)
+                    i, j = (along, across) if front else (across, along)
+                    yield pa.record_batch(
+                        [
+                            pa.array(key[at]), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+                            pa.array(node[whose[at]]), pa.array(comp[whose[at]]), pa.array(size[whose[at]].astype(np.int32)),
+                            pa.array(np.full(len(at), front)), sketch.take(pa.array(entry[at])),
+                        ],
+                        names=names,
+                    )
+
+    dealt = sets.select("node", "n", "body", "comp").mapInArrow(emit, _CELLS).repartition(parts, "key", "i", "j")
+    return dealt.sortWithinPartitions("key", "i", "j")
+
+
+def _near_pairs(sets: DataFrame, parts: int, slice_: int = SLICE) -> DataFrame:
+    """Pairs of nodes of two components that meet in a cell and whose parity sketches do not
     rule a link out: the sketches' Hamming distance is at most the sets' symmetric
     difference, and that at most ``(|A| + |B|) / 7``. Only these pairs leave the task."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        rows = _rows_of(batches)
-        if not rows:
-            return
-        part = _Part(rows)
-        for some in part.groups():
-            open_ = ~some.settled()
-            seen: set[bytes] = set()
-            for a, n in zip(some.starts[open_].tolist(), some.lengths[open_].tolist(), strict=True):
-                own = np.unique(some.entry[a : a + n])
-                # Many blocks have the same members.
-                if own.tobytes() in seen:
-                    continue
-                seen.add(own.tobytes())
-                sketch = np.stack([part.sketch[e] for e in own])
-                size = part.size[own].astype(np.int64)
-                step = max(1, (4 << 20) // sketch.size)
-                for k in range(0, len(own), step):
-                    apart = np.bitwise_count(sketch[k : k + step, None] ^ sketch[None]).sum(axis=2, dtype=np.int64)
-                    x, y = np.nonzero(7 * apart <= size[k : k + step, None] + size[None])
-                    x += k
-                    x, y = x[x < y], y[x < y]
-                    yield _pairs(part.node[own], part.comp[own], size, x, y)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Rows in runs that end with a cell, and where the cells begin."""
+        rest: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            new = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
+            if last is not None and (cell[:, 0] != last).any():
+                new = np.concatenate([[0], new])
+            last = cell[:, -1]
+            if not len(new):
+                rest.append(batch)
+                continue
+            if rest or new[0]:
+                yield pa.Table.from_batches([*rest, batch.slice(0, new[0])]), np.zeros(1, np.int64)
+            if len(new) > 1:
+                yield pa.Table.from_batches([batch.slice(new[0], new[-1] - new[0])]), new[:-1] - new[0]
+            rest = [batch.slice(new[-1])]
+        if rest:
+            yield pa.Table.from_batches(rest), np.zeros(1, np.int64)
 
-    return _distinct(dealt.mapInArrow(_packing(run, parts), _PAIRS), parts)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for rows, starts in whole(batches):
+            node, comp, size, front = (rows.column(k).to_numpy() for k in (3, 4, 5, 6))
+            size = size.astype(np.int64)
+            low, high = (f.reduceat(comp, starts) for f in (np.minimum, np.maximum))
+            both = np.logical_or.reduceat(front, starts) & ~np.logical_and.reduceat(front, starts)
+            ends = np.append(starts[1:], len(node))
+            for k in np.flatnonzero((low < high) & both).tolist():
+                at = np.arange(starts[k], ends[k])
+                left, right = at[front[at]], at[~front[at]]
+                body = rows.column(7).slice(starts[k], ends[k] - starts[k]).to_pylist()
+                sketch = np.frombuffer(b"".join(body), np.uint64).reshape(len(at), -1)
+                one, two = sketch[left - starts[k]], sketch[right - starts[k]]
+                step = max(1, (1 << 21) // two.size)
+                for begin in range(0, len(left), step):
+                    x, y = left[begin : begin + step], right
+                    apart = np.bitwise_count(one[begin : begin + step, None] ^ two[None]).sum(axis=2, dtype=np.int64)
+                    near = (7 * apart <= size[x][:, None] + size[y][None]) & (size[x][:, None] <= size[y][None])
+                    i, j = np.nonzero(near)
+                    yield _pairs(node, comp, size, x[i], y[j])
+
+    return _distinct(_cells(sets, parts, slice_).mapInArrow(_packing(run, parts), _PAIRS), parts)
 
 
 def parity_sketch(own: np.ndarray, band: int) -> bytes:
@@ -604,10 +730,6 @@ def parity_sketch(own: np.ndarray, band: int) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) % 2).astype(np.uint8)).tobytes()
 
 
-def _sketch_bytes(band: int) -> int:
-    return min(max(64, 2 << band), MAX_SKETCH_BITS) // 8
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that link."""
 
@@ -669,7 +791,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A node that can still gain a link lacks settled blocks, and so does what it links to.
     lacking = _unsettled(_dealt(_labelled(sets, labels), parts, filled), parts, rounds).distinct()
     rest = cut(_labelled(sets, labels).join(lacking, "node", "left_semi"), "rest")
-    pairs = _near_pairs(_dealt(rest, parts, filled, sketched=True), parts)
+    pairs = _near_pairs(rest, parts)
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
     links = links.union(cut(_verified(cut(pairs, "pairs"), rest), "links"))

@@ -137,3 +137,41 @@ def test_connected(spark):
     assert all(got[a] == got[b] for a, b in links)
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
     assert pytest is not None
+
+
+def _template_sets(spark, n):
+    """Sets of 75 elements in common and 25 of their own (similar by 0.6), every tenth of them
+    followed by one that links to it: ``(sets, links)``."""
+    rnd = random.Random(3)
+    core, rows, links = [rnd.getrandbits(64) for _ in range(75)], [], set()
+    for k in range(n):
+        own = core + [rnd.getrandbits(64) for _ in range(25)]
+        rows.append((k, own))
+        if k % 10 == 0:
+            links.add((k, n + k))
+            rows.append((n + k, own[:-8] + [rnd.getrandbits(64) for _ in range(8)]))
+    packed = [(k, len(own), np.sort(np.array(own, np.uint64)).tobytes(), k, 0) for k, own in rows]
+    return spark.createDataFrame(packed, "node long, n long, body binary, comp long, weight int").repartition(3), links
+
+
+def test_sets_of_one_template_do_not_all_meet(spark):
+    """The work follows the links, not the square of the template's sets."""
+    n = 3000
+    sets, links = _template_sets(spark, n)
+    cells = parity._cells(sets, 4).groupBy("key", "i", "j").agg({"front": "count"}).collect()
+    assert max(r[3] for r in cells) < 20
+    assert sum(r[3] ** 2 for r in cells) < 100 * n
+    assert {tuple(r) for r in parity._near_pairs(sets, 4).collect()} >= links
+
+
+def test_cells_of_a_common_element_are_bounded(spark):
+    """Subsets of one set have all their elements in common with many; no link is lost."""
+    rnd = random.Random(4)
+    core = [rnd.getrandbits(64) for _ in range(40)]
+    some = [set(rnd.sample(core, rnd.randint(24, 36))) for _ in range(300)]
+    packed = [(k, len(own), np.sort(np.array(sorted(own), np.uint64)).tobytes(), k, 0) for k, own in enumerate(some)]
+    sets = spark.createDataFrame(packed, "node long, n long, body binary, comp long, weight int").repartition(3)
+    assert max(r["count"] for r in parity._cells(sets, 4, 20).groupBy("key", "i", "j").count().collect()) <= 80
+    want = {(x, y) for y in range(300) for x in range(y) if 4 * len(some[x] & some[y]) >= 3 * len(some[x] | some[y])}
+    got = {tuple(r) for r in parity._verified(parity._near_pairs(sets, 4, 20), sets).collect()}
+    assert got == want and want
