@@ -4,7 +4,8 @@ A text becomes ``▁`` for the start and for each space, and is cut into marked
 followed by other characters. No piece goes past the end of such a word, so the best path
 of a text is the chain of its words' best paths. The distinct words of a batch are sorted;
 walking them in order is a depth-first walk of their trie: the forward scores of the characters a
-word shares with the one before are reused, and only the rest is computed.
+word shares with the one before are reused, and only the rest is computed. Each prefix has its last
+piece only, so memory is linear in the longest word.
 
 The best path has the highest sum of piece scores; of equal ones, the one whose last piece
 is longer (then the same for what is before it). A character that no piece covers costs
@@ -15,9 +16,9 @@ a space, as the library does.
 
 from __future__ import annotations
 
-import itertools
 import re
 import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -31,6 +32,8 @@ MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words kept from batch to batch in one task; the oldest go first.
 KEPT_WORDS = 60_000
+#: And the bytes that these and their ids take.
+KEPT_BYTES = 32 << 20
 
 
 class Pieces:
@@ -61,8 +64,9 @@ class Pieces:
     def encode_sorted(self, words: Iterable[str], out: dict[str, bytes]) -> None:
         """Put the best path (ids as packed 32-bit numbers) of each word into ``out``;
         words come in ascending order."""
-        best: list[float] = [0.0]  # best score of each prefix of the current word
-        path: list[bytes] = [b""]  # and its ids
+        best = array("d", [0.0])  # best score of each prefix of the current word,
+        back = array("q", [0])  # where its last piece begins,
+        tail: list[bytes] = [b""]  # and the ids of that piece
         before = ""
         ends, packed, unknown = self.ends, self.packed, self.unknown
         for word in words:
@@ -71,7 +75,7 @@ class Pieces:
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], path[shared + 1 :]
+            del best[shared + 1 :], back[shared + 1 :], tail[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 begin = at = end - 1
                 piece = last = word[begin]
@@ -88,8 +92,14 @@ class Pieces:
                 ids = packed.get(last)
                 if ids is None:
                     ids = np.array([self.byte_ids[b] for b in last.encode()], np.int32).tobytes()
-                path.append(path[at] + ids)
-            out[word] = path[-1]
+                back.append(at)
+                tail.append(ids)
+            at, parts = len(word), []
+            while at:
+                parts.append(tail[at])
+                at = back[at]
+            parts.reverse()
+            out[word] = b"".join(parts)
             before = word
 
     def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
@@ -135,12 +145,26 @@ def encode_texts(texts: list[str], model: Pieces, known: dict[str, bytes]) -> li
     fresh = set().union(*cut).difference(known)
     model.encode_sorted(sorted(fresh), known)
     out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
-    if len(known) > KEPT_WORDS:
-        for word in list(itertools.islice(known, len(known) - KEPT_WORDS * 3 // 4)):
-            del known[word]
+    _forget(known)
     return out
 
 
+def _forget(known: dict[str, bytes]) -> None:
+    """Drop the oldest words if there are too many, or if they take too many bytes."""
+    held = sum(map(sys.getsizeof, known)) + sum(map(sys.getsizeof, known.values()))
+    if len(known) <= KEPT_WORDS and held <= KEPT_BYTES:
+        return
+    gone, words = [], len(known)
+    for word, ids in known.items():
+        if words <= KEPT_WORDS * 3 // 4 and held <= KEPT_BYTES * 3 // 4:
+            break
+        gone.append(word)
+        words -= 1
+        held -= sys.getsizeof(word) + sys.getsizeof(ids)
+    for word in gone:
+        del known[word]
+
+
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str = "piece_ids", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns but ``out`` by default) and the ids of the text. No shuffle."""
     kept = [c for c in (keep or docs.columns) if c != out]

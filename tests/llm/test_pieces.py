@@ -107,3 +107,30 @@ def test_kept_words_are_bounded(model, monkeypatch):
     for k in range(5):
         pieces.encode_texts([" ".join(f"w{k}x{j}" for j in range(8))], model, known)
         assert len(known) <= 10
+
+
+def test_memory_is_linear_in_a_word(model):
+    """A long text without spaces, and the same with another end."""
+    import tracemalloc
+
+    rnd = random.Random(4)
+    long = "".join(rnd.choice("abcdefgh日é①=+/\n") for _ in range(20_000))
+    texts = [long + "x", long + "yz"]
+    tracemalloc.start()
+    ids = pieces.encode_texts(texts, model, {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    ends = [0, len(ids[0]), len(ids[0]) + len(ids[1])]
+    import numpy as np
+
+    assert model.decode_all(np.concatenate(ids), np.array(ends)) == texts
+    assert score(ids[0].tolist(), model) == pytest.approx(brute(texts[0], model))
+
+
+def test_kept_words_are_bounded_by_bytes(model, monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 20_000)
+    known: dict = {}
+    for k in range(5):
+        pieces.encode_texts([f"{k}" + "ab" * 3000], model, known)
+        assert sum(map(len, known)) < 20_000
