@@ -62,13 +62,33 @@ def seeds(notice: str, errors: int) -> list[tuple[int, str]]:
 def _plan() -> tuple[list[tuple], dict[bytes, list[tuple[int, int]]]]:
     rules, by_seed = [], {}
     for number, (notice, label, errors) in enumerate(NOTICES):
-        pattern = regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={errors}}}")
-        rules.append((notice, label, errors, pattern))
+        body = regex.escape(notice, literal_spaces=True)
+        levels = [regex.compile(f"(?:{body}){{e<={n}}}") for n in range(errors + 1)]
+        rules.append((notice, label, errors, levels))
         for place, seed in seeds(notice, errors):
             by_seed.setdefault(seed.encode(), []).append((number, place))
     return rules, by_seed
 
 
+def _copies(text: str, levels: list) -> list[tuple[int, int, int]]:
+    """``(start, end, errors)`` of all copies in a text, those with the fewest errors first and
+    from left to right: what is between them holds no copy of fewer errors, so one pass for each
+    number of errors finds the rest."""
+    if not levels[-1].search(text):
+        return []
+    found, gaps = [], [(0, len(text))]
+    for level in levels:
+        left = []
+        for low, high in gaps:
+            for m in level.finditer(text, low, high):
+                found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                left.append((low, m.start()))
+                low = m.end()
+            left.append((low, high))
+        gaps = [g for g in left if g[0] < g[1]]
+    return found
+
+
 def fuzzy_notices(low: bytes) -> list[tuple[int, int, str, int]]:
     """``(start, end, label, errors)`` of notices in a lower-cased UTF-8 text, in code
     points, by start; of overlapping finds of one label the one with fewest errors."""
@@ -87,7 +107,7 @@ def fuzzy_notices(low: bytes) -> list[tuple[int, int, str, int]]:
             at = low.find(seed, at + 1)
     found = []
     for number, spans in windows.items():
-        _, label, _, pattern = rules[number]
+        _, label, _, levels = rules[number]
         spans.sort()
         merged = [spans[0]]
         for begin, end in spans[1:]:
@@ -102,8 +122,7 @@ def fuzzy_notices(low: bytes) -> list[tuple[int, int, str, int]]:
                 end += 1
             base = sum(1 for b in low[:begin] if b & 0xC0 != 0x80) if begin else 0
             text = low[begin:end].decode("utf-8", "replace")
-            for m in pattern.finditer(text):
-                found.append((base + m.start(), base + m.end(), label, sum(m.fuzzy_counts)))
+            found += [(base + start, base + stop, label, errors) for start, stop, errors in _copies(text, levels)]
     return _best(found)
 
 

@@ -62,3 +62,16 @@ def test_seeds_lose_no_copy():
         text = "".join(changed)
         assert regex.search(f"(?:{regex.escape(notice, literal_spaces=True)}){{e<={errors}}}", text)
         assert licenses.fuzzy_notices(text.encode())
+
+
+def test_unlike_copies_in_one_text():
+    """A better copy later in the text hides none before it."""
+    copies = [
+        "releasd under the mit license", "released under the mit license", "releasd undr the mit license",
+        "released undr the mit license", "relesed undr the mitt license", "released under the mit license",
+    ]
+    for some in (copies[:3], copies, copies[::-1]):
+        text = " ... ".join(some)
+        found = licenses.fuzzy_notices(text.encode())
+        assert [text[a:b] for a, b, *_ in found] == some
+        assert [e for *_, e in found] == [{0: 1, 1: 0, 2: 2, 3: 1, 4: 3, 5: 0}[copies.index(c)] for c in some]
