@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, warc, wumanber
+from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, turns, warc, wumanber
 from footfall.llm.tables import small_batches, table
 
 #: Held out of the toxicity labels: crc32 of the id as text, modulo 3, is 1.
@@ -166,6 +166,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults dealt by the checksum of conversation and turn."""
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")
+    )
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = rows.withColumn("fault", F.crc32(name.cast("binary")) % 20).filter("fault <> 0")
+    fault = F.col("fault")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = turns.repair(damaged(conversations)).withColumnRenamed("conv_id", "conv")
+    every = conversations.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(repaired, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -178,6 +209,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_turn_repair": op11_turn_repair,
     }
 
 
@@ -186,4 +218,5 @@ def llm_oracle_sql() -> dict[str, str]:
         "op3_chat": sql.chat(),
         "op4_decontamination": sql.decontamination(),
         "op8_ngram_join": sql.ngram_join(),
+        "op11_turn_repair": sql.turn_repair(),
     }

@@ -100,3 +100,97 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::bigint AS
   formatted_chars::bigint AS formatted_chars, layout, CASE layout {hashes} END AS layout_hash
 FROM placed
 """
+
+
+def turn_repair() -> str:
+    """The cheapest edits by dynamic programming over rows: for each state the least
+    (cost, edits) with the repaired text, as a struct; structs compare by their fields in turn."""
+    kept = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    added = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+
+    def then(state: str, cost: str, edit: str, line: str | None) -> str:
+        out = f"{state}.o" if line is None else f"{state}.o || CASE WHEN {state}.o = '' THEN '' ELSE chr(10) END || {line}"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {out}}}"
+
+    def least(options: list[str]) -> str:
+        return f"list_sort(list_filter([{', '.join(options)}], lambda x: x.c IS NOT NULL))[1]"
+
+    def consumed(to: int) -> str:
+        options = [then(f"s{to}", "4", "D", None)]
+        more = "CASE WHEN fault = 2 THEN 3 ELSE 0 END"
+        for (state, letter), after in kept.items():
+            if after == to:
+                option = then(f"s{state}", more, "K", "role || ':' || text")
+                options.append(f"CASE WHEN fault > 1 AND role[1] = '{letter}' THEN {option} END")
+        for state, (role, after) in added.items():
+            if after == to:
+                option = then(f"s{state}", f"3 + {more}", "R", f"'{role}:' || text")
+                options.append(f"CASE WHEN fault > 1 THEN {option} END")
+        return least(options)
+
+    def inserted(to: int) -> str:
+        options = [f"s{to}"]
+        options += [then(f"s{q}", "3", "I", f"'{role}:'") for q, (role, after) in added.items() if after == to]
+        return least(options)
+
+    closed = ", ".join(f"{inserted(q)} AS s{q}" for q in range(4))
+    row = "conv_id, k"
+    bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return f"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS name
+  FROM conversations
+),
+dealt AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, i: {bit}, xor(c, b)), 4294967295::BIGINT)) % 20 AS fault
+  FROM named
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dealt WHERE fault <> 0
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM damaged
+),
+judged AS (
+  SELECT conv_id, turn, role, text, k, CASE
+    WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 0 WHEN again THEN 1
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 2 ELSE 3 END AS fault,
+    coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM numbered
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 0) AS blank, count(*) FILTER (fault = 1) AS duplicate,
+    count(*) FILTER (fault = 2) AS truncated, count(*) FILTER (illegal) AS illegal, max(k) AS n
+  FROM judged GROUP BY conv_id
+),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS k, {{'c': 0, 'a': '', 'o': ''}} AS s0,
+    {{'c': NULL::INT, 'a': '', 'o': ''}} AS s1, {{'c': 3, 'a': 'I', 'o': 'user:'}} AS s2,
+    {{'c': 6, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}} AS s3
+  FROM counts
+  UNION ALL
+  SELECT {row}, s0, {inserted(1)} AS s1, s2, s3 FROM (
+    SELECT {row}, s0, s1, s2, {inserted(3)} AS s3 FROM (
+      SELECT {row}, {closed} FROM (
+        SELECT j.conv_id, j.k, {", ".join(f"{consumed(q)} AS s{q}" for q in range(4))}
+        FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.k = w.k + 1)))
+),
+final AS (
+  SELECT w.conv_id, gaps, blank, duplicate, truncated, illegal, {least(["w.s0", "w.s3"])} AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.k
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(best.o, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN final f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
