@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, licenses, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, turns, warc, wumanber
+from footfall.llm import chat, licenses, neighbours, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, turns, warc, wumanber
 from footfall.llm.tables import small_batches, table
 
 #: Held out of the toxicity labels: crc32 of the id as text, modulo 3, is 1.
@@ -197,6 +197,14 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(f"not ({HELD_OUT})")
+    scored = neighbours.score(docs, neighbours.train(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -210,6 +218,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_turn_repair": op11_turn_repair,
+        "op12_quality": op12_quality,
     }
 
 
