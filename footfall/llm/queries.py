@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, licenses, neighbours, parity, pieces, repeats, secrets, spotsigs, sql, toxicity, turns, warc, wumanber
+from footfall.llm import (
+    alignment,
+    chat,
+    licenses,
+    neighbours,
+    parity,
+    pieces,
+    repeats,
+    secrets,
+    spotsigs,
+    sql,
+    toxicity,
+    turns,
+    warc,
+    wumanber,
+)
 from footfall.llm.tables import small_batches, table
 
 #: Held out of the toxicity labels: crc32 of the id as text, modulo 3, is 1.
@@ -16,10 +31,10 @@ HELD_OUT = "crc32(cast(doc_id as string)) % 3 = 1"
 FETCHED = "2024-01-01T00:00:00Z"
 
 
-def model_file() -> str:
+def model_file(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +220,12 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, model_file("byte_bpe_50k.json"), model_file(), keep=["doc_id"])
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_spotsigs": op1_spotsigs,
@@ -219,6 +240,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": op10_toxicity,
         "op11_turn_repair": op11_turn_repair,
         "op12_quality": op12_quality,
+        "op13_alignment": op13_alignment,
     }
 
 
