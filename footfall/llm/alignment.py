@@ -27,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,15 @@ from pyspark.sql import types as T
 from footfall.llm.arrays import flat, per_text, pieces
 from footfall.llm.tables import cut
 
-PACK_BYTES = 8 << 20
+PACK_BYTES = 2 << 20
 #: A pair of ids as one number.
 _SHIFT = 32
 _MASK = (1 << _SHIFT) - 1
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
+#: How byte-level vocabularies of this format cut a text; a fixed value.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Units of code points below this are cut alike by every Unicode version.
+_SETTLED = "\u0300"
 
 
 def _bytes_of_letters() -> dict[str, int]:
@@ -67,18 +72,46 @@ class Side:
 
 @cache
 def byte_side(path: str) -> Side:
+    """The encoder of a byte-level vocabulary file.
+
+    Where the k-th merge makes the k-th id after the single bytes, merging by listed pairs and
+    merging by the rank of the joined bytes give the same ids. Units of Latin letters, digits and
+    marks are then encoded by rank, which returns plain lists and is several times as fast;
+    others (their letters might be told apart by another Unicode version) by the file itself.
+    """
+    import json
+
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     letters = _bytes_of_letters()
+    vocabulary = tokenizer.get_vocab()
     spelled = [b""] * tokenizer.get_vocab_size()
-    for token, at in tokenizer.get_vocab().items():
+    for token, at in vocabulary.items():
         spelled[at] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+    with open(path, encoding="utf-8") as file:
+        merges = json.load(file)["model"]["merges"]
+    joined = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
+    bytes_first = sorted(spelled[:256]) == [bytes([b]) for b in range(256)]
+    ranked = bytes_first and all(vocabulary[token] == 256 + k for k, token in enumerate(joined))
 
-    def encode(units: list[str]) -> list[list[int]]:
+    def by_file(units: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
+    if not ranked:
+        return Side(by_file, spelled)
+    ranks = {token: k for k, token in enumerate(spelled[: 256 + len(merges)])}
+    by_rank = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(units: list[str]) -> list[list[int]]:
+        found = [by_rank.encode_ordinary(u) if max(u) < _SETTLED else None for u in units]
+        others = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(others, by_file([units[k] for k in others]), strict=True):
+            found[k] = ids
+        return found
+
     return Side(encode, spelled)
 
 
@@ -126,8 +159,9 @@ def groups_of(
     opens = np.ones(len(order), bool)
     opens[1:] = start[order][1:] >= reach[:-1]
     group = np.cumsum(opens) - 1
-    inner = np.lexsort((side[order], group))
-    return group[inner], side[order][inner], ids[order][inner]
+    inner = np.argsort(group * 2 + side[order], kind="stable")
+    order = order[inner]
+    return group[inner], side[order], ids[order]
 
 
 @dataclass
@@ -146,8 +180,9 @@ def _tokens(side: Side, units: list[str], data: bytes, at: np.ndarray) -> tuple[
     """Ids, unit number of each, and which units they spell."""
     listed = side.encode(units)
     unit = np.repeat(np.arange(len(units)), [len(x) for x in listed])
-    ids = np.fromiter((k for x in listed for k in x), np.int64, len(unit))
-    if b"".join([side.spelled[k] for k in ids.tolist()]) == data:
+    plain = list(chain.from_iterable(listed))
+    ids = np.array(plain, np.int64)
+    if b"".join(map(side.spelled.__getitem__, plain)) == data:
         good = np.bincount(unit, side.lengths[ids], len(units)).astype(np.int64) == np.diff(at)
         if good.all():
             return ids, unit, good
@@ -167,6 +202,11 @@ def _placed(side: Side, ids: np.ndarray, unit: np.ndarray, at: np.ndarray) -> tu
     return start, start + length
 
 
+@cache
+def _written(size: int) -> list[str]:
+    return [f"{k}{mark}" for k in range(size) for mark in ",|;"]
+
+
 def align_units(units: pa.Array, one: Side, other: Side) -> Units:
     body, at = flat(units)
     data, listed = body.tobytes(), units.to_pylist()
@@ -192,18 +232,14 @@ def align_units(units: pa.Array, one: Side, other: Side) -> Units:
     # Ids with what follows them: a comma, the bar between the sides, or the end of the group.
     last = np.ones(len(group), bool)
     last[:-1] = (group[1:] != group[:-1]) | (side[1:] != side[:-1])
-    written = [f"{k}{mark}" for k, mark in zip(ids.tolist(), np.array([",", "|", ";"])[last * (1 + side)].tolist(), strict=True)]
+    names = _written(max(len(one.spelled), len(other.spelled)))
+    written = list(map(names.__getitem__, (ids * 3 + last * (1 + side)).tolist()))
     ends = np.cumsum(counts["n_a"] + counts["n_b"])
     text = ["".join(written[lo:hi]) for lo, hi in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
     # Distinct ids of each group and side with their times, then all pairs of a group.
-    key = np.lexsort((ids, side, group))
-    g, s, k = group[key], side[key], ids[key]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (s[1:] != s[:-1]) | (k[1:] != k[:-1])
-    heads = np.flatnonzero(new)
-    times = np.diff(np.append(heads, len(g)))
-    g, s, k = g[heads], s[heads], k[heads]
+    key, times = np.unique((group * 2 + side) << _SHIFT | ids, return_counts=True)
+    g, s, k = key >> (_SHIFT + 1), key >> _SHIFT & 1, key & _MASK
     b_kinds = np.bincount(g[s == 1], minlength=n_groups)
     b_first = np.cumsum(b_kinds) - b_kinds
     left_g, left_k, left_t = g[s == 0], k[s == 0], times[s == 0]
@@ -218,15 +254,12 @@ def align_units(units: pa.Array, one: Side, other: Side) -> Units:
     return Units(good, counts, text, first, pair, pair_times)
 
 
-def _summed(row: np.ndarray, code: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Times summed by (row, code), in that order."""
-    order = np.lexsort((code, row))
-    row, code, times = row[order], code[order], times[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
-    heads = np.flatnonzero(new)
-    summed = np.add.reduceat(times, heads) if len(heads) else times
-    return row[heads], code[heads], summed
+def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their times summed."""
+    order = np.argsort(key)
+    key, times = key[order], times[order]
+    heads = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[heads], np.add.reduceat(times, heads) if len(heads) else times
 
 
 @dataclass
@@ -253,7 +286,7 @@ def align_pack(texts: pa.Array, one: Side, other: Side) -> Pack:
     offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
     every = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(np.ascontiguousarray(data)))
     coded = every.dictionary_encode()
-    unit = coded.indices.to_numpy()
+    unit = coded.indices.to_numpy().astype(np.int64)
     known = align_units(coded.dictionary, one, other)
     bad = np.zeros(rows, bool)
     bad[row[~known.good[unit]]] = True
@@ -264,12 +297,14 @@ def align_pack(texts: pa.Array, one: Side, other: Side) -> Pack:
     unit_list = unit.tolist()
     text = ["".join([known.text[u] for u in unit_list[lo:hi]])[:-1] for lo, hi in zip(first, first[1:], strict=False)]
 
-    doc, place, often = _summed(row, unit, np.ones(len(row), np.int64))
+    key, often = np.unique(row << _SHIFT | unit, return_counts=True)
+    doc, place = key >> _SHIFT, key & _MASK
     many = np.diff(known.first)[place]
     which = np.repeat(np.arange(len(doc)), many)
     at_pair = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many) + known.first[place][which]
     pairs, code = np.unique(known.pair, return_inverse=True)
-    doc, code, times = _summed(doc[which], code[at_pair], often[which] * known.times[at_pair])
+    key, times = _summed(doc[which] << _SHIFT | code[at_pair], often[which] * known.times[at_pair])
+    doc, code = key >> _SHIFT, key & _MASK
     holders = np.bincount(code, minlength=len(pairs))
     return Pack(counts, text, np.searchsorted(doc, np.arange(rows + 1)), code, times, pairs, holders)
 

@@ -165,3 +165,14 @@ def test_the_query(spark):
     want, _ = expected(list(texts.values()))
     got = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in op13_alignment(spark, SF).collect()}
     assert got == dict(zip(texts, want, strict=True))
+
+
+def test_both_encoders_of_a_give_the_same_ids():
+    """Every entry of the vocabulary, and random strings of settled letters."""
+    side, (one, _) = alignment.byte_side(FILES[0]), encoders()
+    draw = random.Random(9)
+    units = [s.decode() for s in side.spelled if s.isascii()]
+    signs = [chr(c) for c in range(768)] + list(" aeiou'st\n") * 20
+    units += ["".join(draw.choice(signs) for _ in range(draw.randrange(1, 30))) for _ in range(20_000)]
+    want = [e.ids for e in one.encode_batch_fast(units, add_special_tokens=False)]
+    assert side.encode(units) == want
