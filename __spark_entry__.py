@@ -31,8 +31,9 @@ from footfall.operators import (
 )
 from footfall.plans.jobs import run_retention
 from footfall.session import configure, workspace
+from footfall.sources.logstore import LogStore, Snapshot
 from footfall.sources.payloads import payload_files
-from footfall.sources.tables import LOG_PARTITIONS, log_union, with_month
+from footfall.sources.tables import LOG_PARTITIONS, log_store, log_union, with_month
 from footfall.streaming.ingest import StreamTables, ingest_stream, summary_stream
 
 # The operators for training data live in folders of their own, which may be absent.
@@ -166,14 +167,19 @@ def _registry(fn: Callable[[DataFrame, DataFrame, str], DataFrame]) -> Query:
     ).drop("id")
 
 
+def _numbered(log: DataFrame) -> DataFrame:
+    """Log rows with their key as one number, for comparison; the messages here are few and short."""
+    number = (F.col("arrival") * 16777216 + F.col("position")).alias("id")
+    return log.select(number, *LOG_COLUMNS[1:])
+
+
 def _ingest_append(spark: SparkSession, sf: str) -> DataFrame:
     """Messages to log rows, appended to a table and read back."""
-    from footfall.sources.tables import read_log, write_log
-
     readings = ingest.parse_payloads(fx.raw_payloads(spark, sf))
-    path = workspace(spark, "ingest")
-    write_log(ingest.drop_unchanged(ingest.to_log_rows(readings, AS_OF)), path)
-    return read_log(spark, path).select(*LOG_COLUMNS)
+    store = log_store(workspace(spark, "ingest"))
+    rows = ingest.drop_unchanged(ingest.to_log_rows(readings, AS_OF))
+    store.append(with_month(rows).withColumn("id", F.lit(None).cast("long")).withColumn("ingest_batch", F.lit(0)))
+    return _numbered(store.live(spark))
 
 
 def batch_clock(batch: int) -> datetime:
@@ -241,6 +247,21 @@ def _retention_job(part: str) -> Query:
     return run
 
 
+def _log_store(read: Callable[[Snapshot], DataFrame]) -> Query:
+    """A log store that rows were appended to in three batches, after retention and compaction."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        log = fx.counter_log_months(spark, sf).select(*LOG_COLUMNS)
+        store = LogStore(workspace(spark, "log-store"), schemas.LOG)
+        for batch in range(3):
+            store.append(log.filter(F.col("id") % 3 == batch), batch)
+        store.archive_before(spark, "2024-03-15")
+        store.compact(spark, least=2)
+        return read(store.snapshot(spark)).select(*LOG_COLUMNS)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     more = {**llm_queries(), "pipeline": corpus_pipeline.run} if corpus_pipeline else {}
     return {**_counter_queries(), **more}
@@ -309,8 +330,8 @@ def _counter_queries() -> dict[str, Query]:
         "device_list": _sensors(registry.device_list),
         "location_list": _sensors(registry.location_list),
         "role_membership": _roles,
-        "parse_payload": _payload(ingest.parse_payloads),
-        "parse_rejects": _payload(lambda raw: ingest.payload_rejects(raw).drop("raw")),
+        "parse_payload": _payload(lambda raw: ingest.parse_payloads(raw).drop("source")),
+        "parse_rejects": _payload(lambda raw: ingest.payload_rejects(raw).drop("raw", "source")),
         "changed_only": _log(lambda log: ingest.drop_unchanged(log).select(*LOG_COLUMNS)),
         # The same with a finer slice.
         "changed_only_sliced": _log(
@@ -319,8 +340,11 @@ def _counter_queries() -> dict[str, Query]:
         "sensors_registered": _registry(registry.register_readings),
         "ingest_append": _ingest_append,
         "stream_changed_only": _stream(
-            lambda spark, tables: tables.log(spark).select(*LOG_COLUMNS)),
+            lambda spark, tables: _numbered(tables.log(spark))),
         "stream_sensor_trend": _stream_trend,
+        "log_store_live": _log_store(lambda snapshot: snapshot.live),
+        "log_store_archive": _log_store(lambda snapshot: snapshot.archive),
+        "log_store_union": _log_store(lambda snapshot: log_union(snapshot.live, snapshot.archive)),
         "retention_job_live": _retention_job("live"),
         "retention_job_archive": _retention_job("archive"),
         "stream_device_feed": _stream(lambda spark, tables: tables.batches(spark, "device_feed")),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from footfall import schemas
 from footfall.functions.times import floor_to, ts
-from footfall.operators.latest import BY_ARRIVAL
+from footfall.operators.latest import BY_ARRIVAL, order_of
 from footfall.operators.slices import slice_unit
 from footfall.session import configure, workspace
 from footfall.sources.tables import read_log, with_month
@@ -205,10 +205,10 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> DataFrame:
         user = F.substring_index("device_id", "-", -1).cast("int")
-        first = F.min_by(F.struct("location"), F.struct(*BY_ARRIVAL)).alias("first")
+        log = counter_log(spark, sf_dir)
+        first = F.min_by(F.struct("location"), order_of(log, BY_ARRIVAL)).alias("first")
         devices = (
-            counter_log(spark, sf_dir)
-            .groupBy("device_id")
+            log.groupBy("device_id")
             .agg(first, F.max("event_time").alias("seen"))
         )
         status = F.when(user % 3 == 0, "Online").when(user % 3 == 1, "Idle").otherwise("Offline")

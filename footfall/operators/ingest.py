@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall import schemas
 from footfall.functions.times import ts
 from footfall.operators.slices import SLICE, with_previous
 
@@ -33,9 +34,6 @@ NULL_DATA = "null_data"
 NULL_ELEMENT = "null_element"
 NO_VALID_ROWS = "no_valid_rows"
 
-# Readings of one message are numbered below this; a larger message fails loudly.
-MAX_POSITIONS = 1 << 24
-
 _FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 
@@ -141,7 +139,8 @@ def _device_items(device: Column) -> Column:
 
 
 def decode_messages(raw: DataFrame) -> DataFrame:
-    """One row per reading of ``raw`` (``arrival, value``), good or rejected.
+    """One row per reading of ``raw`` (``arrival, value`` and, if it has parts, ``source``),
+    good or rejected.
 
     ``reason`` is null for a good reading. An empty message, JSON null and an empty
     array give no rows. ``position`` numbers the readings of a message.
@@ -156,10 +155,11 @@ def decode_messages(raw: DataFrame) -> DataFrame:
         F.try_variant_get("sealed", "$[1]", "bigint") == seal,
         F.try_variant_get("sealed", "$[0]", "variant"),
     )
+    source = F.col("source").cast("int") if "source" in raw.columns else F.lit(0)
     messages = (
         raw.filter(F.length("value") > 0)
-        .select("arrival", "value", sealed.alias("sealed"))
-        .select("arrival", "value", found.alias("found"))
+        .select("arrival", source.alias("source"), "value", sealed.alias("sealed"))
+        .select("arrival", "source", "value", found.alias("found"))
         .withColumn("devices", F.try_variant_get("found", "$", _DEVICES_TYPE))
         .withColumn("detailed", F.transform("devices", _with_readings))
     )
@@ -176,7 +176,7 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     # The outer form keeps the optimizer from testing the items before exploding them,
     # which would decode every message twice.
     exploded = messages.select(
-        "arrival", F.posexplode_outer(F.transform(items, _judged)).alias("position", "item")
+        "arrival", "source", F.posexplode_outer(F.transform(items, _judged)).alias("position", "item")
     ).filter("position is not null")
 
     def text(name: str) -> Column:
@@ -189,6 +189,7 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     no_ip = F.col("item.reading.ipaddr").isNull()
     return exploded.select(
         "arrival",
+        "source",
         "position",
         "item.device_id",
         text("Location").alias("location"),
@@ -211,17 +212,14 @@ def payload_rejects(raw: DataFrame) -> DataFrame:
     return (
         decode_messages(raw)
         .filter("reason is not null")
-        .select("arrival", "position", "device_id", "reason", "raw")
+        .select(*schemas.KEY.fieldNames(), "device_id", "reason", "raw")
     )
 
 
 def to_log_rows(readings: DataFrame, as_of) -> DataFrame:
-    """Readings as log rows that arrive at ``as_of``; ids follow arrival order."""
-    position = F.when(F.col("position") < MAX_POSITIONS, F.col("position")).otherwise(
-        F.raise_error(F.lit("message with too many readings"))
-    )
+    """Readings as log rows that arrive at ``as_of``, told by their key in order of arrival."""
     return readings.select(
-        (F.col("arrival") * MAX_POSITIONS + position).alias("id"),
+        *schemas.KEY.fieldNames(),
         "device_id",
         "location",
         "sublocation",
@@ -234,12 +232,18 @@ def to_log_rows(readings: DataFrame, as_of) -> DataFrame:
 
 
 COUNTS = ["in_count", "out_count"]
+EVENT_ORDER = ("event_time", *schemas.ROW_KEY)
+
+
+def _own(order: tuple[str, ...], df: DataFrame) -> tuple[str, ...]:
+    """The columns of an order that a table has: rows have an id, a key, or both."""
+    return tuple(name for name in order if name in df.columns)
 
 
 def drop_unchanged(
     readings: DataFrame,
     prior: DataFrame | None = None,
-    order: tuple[str, ...] = ("event_time", "id"),
+    order: tuple[str, ...] = EVENT_ORDER,
     unit: str = SLICE,
 ) -> DataFrame:
     """Drop readings whose counts equal the device's reading before.
@@ -248,17 +252,17 @@ def drop_unchanged(
     row before is the same as comparing with the last kept row. ``prior``
     (``device_id, in_count, out_count``) is the state left by earlier batches.
     """
-    compared = with_previous(readings, "device_id", list(order), COUNTS, prior, unit)
+    compared = with_previous(readings, "device_id", list(_own(order, readings)), COUNTS, prior, unit)
     changed = ~F.struct(*COUNTS).eqNullSafe(F.col("previous"))
     return compared.filter(changed).drop("previous")
 
 
 def last_counts(
-    readings: DataFrame, prior: DataFrame, order: tuple[str, ...] = ("event_time", "id")
+    readings: DataFrame, prior: DataFrame, order: tuple[str, ...] = EVENT_ORDER
 ) -> DataFrame:
     """The state after a batch: each device's last counts, whatever its earlier times."""
     newest = readings.groupBy("device_id").agg(
-        F.max_by(F.struct(*COUNTS), F.struct(*order)).alias("last")
+        F.max_by(F.struct(*COUNTS), F.struct(*_own(order, readings))).alias("last")
     )
     old = prior.select("device_id", F.struct(*COUNTS).alias("old"))
     return (

@@ -7,11 +7,18 @@ fields in turn, nulls lowest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BY_ARRIVAL = ("created_at", "id")
-BY_EVENT = ("event_time", "id")
+from footfall import schemas
+
+# Rows have an id, a key, or both; the columns that a table lacks are left out of the order.
+BY_ARRIVAL = ("created_at", *schemas.ROW_KEY)
+BY_EVENT = ("event_time", *schemas.ROW_KEY)
+
+
+def order_of(df: DataFrame, order: tuple[str, ...]) -> Column:
+    return F.struct(*[name for name in order if name in df.columns])
 
 
 def latest_by(
@@ -19,7 +26,7 @@ def latest_by(
 ) -> DataFrame:
     """The row with the highest ``order`` for each of ``keys``."""
     columns = columns or [name for name in df.columns if name not in keys]
-    newest = F.max_by(F.struct(*columns), F.struct(*order)).alias("newest")
+    newest = F.max_by(F.struct(*columns), order_of(df, order)).alias("newest")
     return df.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 

@@ -38,7 +38,7 @@ def sensor_lookup(sensors: DataFrame, device: str) -> DataFrame:
 
 def reporting_devices(readings: DataFrame) -> DataFrame:
     """Place and address of each device's first reading in arrival order."""
-    first = F.min_by(F.struct("location", "ip_address"), F.struct("arrival", "position"))
+    first = F.min_by(F.struct("location", "ip_address"), F.struct(*schemas.KEY.fieldNames()))
     return (
         readings.groupBy(F.col("device_id").alias("device"))
         .agg(first.alias("first"))

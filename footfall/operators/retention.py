@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall import schemas
 from footfall.functions.times import month_start, ts
 
 
@@ -27,13 +28,22 @@ def old_rows(live: DataFrame, cutoff) -> DataFrame:
 
 
 def rows_to_move(live: DataFrame, archive: DataFrame, cutoff) -> DataFrame:
-    """Old rows whose id is not archived yet."""
-    return old_rows(live, cutoff).join(archive.select("id"), "id", "left_anti").select(*live.columns)
+    """Old rows that are not archived yet, told by id or key."""
+    return _beside(old_rows(live, cutoff), archive, "left_anti")
 
 
 def rows_to_delete(live: DataFrame, archive: DataFrame, cutoff) -> DataFrame:
-    """Old rows whose id is archived; also finds what a run that stopped half-way left."""
-    return old_rows(live, cutoff).join(archive.select("id"), "id", "left_semi").select(*live.columns)
+    """Old rows that are archived; also finds what a run that stopped half-way left."""
+    return _beside(old_rows(live, cutoff), archive, "left_semi")
+
+
+def _beside(live: DataFrame, archive: DataFrame, how: str) -> DataFrame:
+    names = [name for name in schemas.ROW_KEY if name in live.columns and name in archive.columns]
+    if names == ["id"]:
+        return live.join(archive.select("id"), "id", how).select(*live.columns)
+    known = archive.select(*[F.col(name).alias(f"archived_{name}") for name in names])
+    on = [F.col(name).eqNullSafe(F.col(f"archived_{name}")) for name in names]
+    return live.join(known, on, how)
 
 
 def archive_split(live: DataFrame, archive: DataFrame, cutoff) -> ArchiveSplit:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from footfall.operators.health import apply_status, health_summary, sensor_health
 from footfall.operators.ledger import reset_building, reset_devices
 from footfall.operators.retention import cutoff_for, old_rows, rows_to_delete, rows_to_move
+from footfall.sources import files
+from footfall.sources.logstore import LogStore
 from footfall.sources.tables import LOG_PARTITIONS
 from footfall.streaming.ingest import StreamTables
 from footfall.streaming.state import remove
@@ -82,12 +84,34 @@ def clean_up(spark: SparkSession, tables: StreamTables, keep: int = 1_000) -> in
     """Remove the per-batch working folders of all but the last ``keep`` committed batches.
 
     The log stays. Feeds and rejects are kept as long as the working folders, so consumers
-    have that many batches to read them. Returns the number of folders removed.
+    have that many batches to read them. Versions of the state and commits of these batches go,
+    too; where a summary stream runs, nothing that it has yet to read goes. Returns the number
+    of folders of batches removed.
     """
-    last = tables.commits(spark).agg(F.max("ingest_batch")).first()[0]
-    if last is None:
+    committed = tables.commits(spark)
+    if not committed:
         return 0
-    return sum(
-        remove(spark, tables.folder(name), last - keep)
+    up_to = committed[-1] - keep
+    seen = tables.summarised(spark)
+    if seen is not None:
+        up_to = min(up_to, seen)
+    removed = sum(
+        remove(spark, tables.folder(name), up_to)
         for name in ("staging", "appended", "rejects", "device_feed")
     )
+    # The version of the last batch removed stays: the next batch starts from it.
+    for state in (tables.devices, tables.registry):
+        state.clean_up(spark, up_to)
+    for batch in committed:
+        if batch <= up_to:
+            files.remove(spark, tables.commit_file(batch))
+            files.remove(spark, tables.clock_file(batch))
+    return removed
+
+
+def maintain_log(spark: SparkSession, store: LogStore, as_of, keep_versions: int = 100) -> None:
+    """Retention, compaction and clean-up of a log store. Readers and the stream go on meanwhile,
+    but for the clean-up, which belongs between two batches."""
+    store.archive_before(spark, as_of)
+    store.compact(spark)
+    store.clean_up(spark, keep_versions)

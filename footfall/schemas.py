@@ -46,8 +46,22 @@ PROBES = T.StructType(
     ]
 )
 
-# One message: ``arrival`` is the source's own increasing message number
-# (offset, sequence), ``value`` the JSON text.
+# What tells a reading that came as a message, in order of arrival: the source's own increasing
+# number of the message (offset, sequence), the part of the source that counts it (a topic's
+# partition; 0 if there is one only), and its place in the message. The values are
+# kept side by side, so none of them has a bound but its type's.
+KEY = T.StructType(
+    [
+        T.StructField("arrival", T.LongType()),
+        T.StructField("source", T.IntegerType()),
+        T.StructField("position", T.IntegerType()),
+    ]
+)
+
+# A row of the log is told by its ``id`` where a table gave it one, else by its key.
+ROW_KEY = ["id", *KEY.fieldNames()]
+
+# One message: ``value`` is the JSON text. A topic's messages also have their ``source``.
 RAW = T.StructType(
     [
         T.StructField("arrival", T.LongType()),

@@ -1,4 +1,5 @@
-"""The message stream: rows of ``arrival`` (message number) and ``value`` (JSON text)."""
+"""The message stream: rows of ``arrival`` (message number), ``value`` (JSON text) and, from a
+topic, ``source`` (partition)."""
 
 from __future__ import annotations
 
@@ -23,21 +24,20 @@ def payload_files(spark: SparkSession, path: str, max_files: int = MAX_FILES) ->
 def payload_topic(
     spark: SparkSession, servers: str, topic: str, max_messages: int = MAX_MESSAGES
 ) -> DataFrame:
-    """Messages of a Kafka topic (needs the Kafka connector on the class path).
-
-    The offset of one partition grows with arrival. Partitions are told apart by
-    the low 10 bits, so the topic may have up to 1,024 of them; more fail loudly.
-    """
+    """Messages of a Kafka topic (needs the Kafka connector on the class path)."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("maxOffsetsPerTrigger", max_messages)
     )
-    slot = F.when(F.col("partition") < 1024, F.col("partition")).otherwise(
-        F.raise_error(F.lit("topic has more than 1024 partitions"))
-    )
-    return reader.load().select(
-        (F.col("offset") * 1024 + slot).alias("arrival"),
+    return topic_messages(reader.load())
+
+
+def topic_messages(records: DataFrame) -> DataFrame:
+    """The messages of topic records; offsets grow with arrival within a partition."""
+    return records.select(
+        F.col("offset").cast("long").alias("arrival"),
+        F.col("partition").cast("int").alias("source"),
         F.col("value").cast("string").alias("value"),
     )

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from footfall import schemas
 from footfall.functions.times import floor_to, ts
+from footfall.sources import files
+from footfall.sources.logstore import LogStore
 
 
 LOG_PARTITIONS = ["event_month", "ingest_batch"]
@@ -23,8 +25,18 @@ LOG_TABLE = T.StructType(
 )
 
 
+# A streamed log also holds the key of each row; its ``id`` is null.
+STREAM_LOG = T.StructType([*schemas.LOG.fields, *schemas.KEY.fields, *LOG_TABLE.fields[len(schemas.LOG.fields):]])
+
+
+def log_store(path: str) -> LogStore:
+    return LogStore(path, STREAM_LOG)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """A log table written by :func:`write_log`, by batch jobs or by the stream."""
+    """A log table written by :func:`write_log`, or the live log of a store (``logstore``)."""
+    if files.exists(spark, f"{path}/_versions"):
+        return log_store(path).live(spark)
     return spark.read.schema(LOG_TABLE).parquet(path)
 
 

@@ -411,6 +411,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_changed_only": with_tables(
             f"SELECT {KEPT}, TIMESTAMP '2024-02-01' + to_hours(week) AS created_at FROM kept", "kept"),
         "stream_sensor_trend": _trend("hour", "true", *HOURS, "device_id", number="INT", source="kept"),
+        "log_store_live": with_tables(
+            f"SELECT {KEPT}, created_at FROM log_months WHERE event_time >= TIMESTAMP '2024-03-01'", "log_months"),
+        "log_store_archive": with_tables(
+            f"SELECT {KEPT}, created_at FROM log_months WHERE event_time < TIMESTAMP '2024-03-01'", "log_months"),
+        "log_store_union": with_tables(f"SELECT {KEPT}, created_at FROM log_months", "log_months"),
         "retention_job_live": with_tables(
             f"SELECT {KEPT}, created_at FROM log_months WHERE event_time >= TIMESTAMP '2024-03-01'", "log_months"),
         "retention_job_archive": with_tables(

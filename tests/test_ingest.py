@@ -99,7 +99,7 @@ def test_timestamps(t, text, expected):
 def test_ids_follow_arrival(t):
     raw = t.messages(message(GOOD, GOOD), message(GOOD))
     log = to_log_rows(parse_payloads(raw), "2024-02-01")
-    assert rows(log, "id") == [(0,), (1,), (1 << 24,)]
+    assert rows(log, "arrival", "source", "position") == [(0, 0, 0), (0, 0, 1), (1, 0, 0)]
 
 
 LOG = [

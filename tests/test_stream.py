@@ -7,6 +7,7 @@ import pytest
 
 from footfall.operators.trend import sensor_trend
 from footfall.plans.jobs import clean_up, run_retention
+from footfall.sources import files
 from footfall.sources.payloads import payload_files
 from footfall.sources.tables import LOG_PARTITIONS, read_log
 from footfall.streaming import ingest as stream
@@ -168,6 +169,64 @@ def test_clean_up_keeps_the_log(spark, t, tables):
     assert rows(tables.batches(spark, "device_feed"), "ingest_batch") == [(2,)]
 
 
+def test_a_crash_at_the_commit_loses_no_summary(spark, t, tmp_path, tables, monkeypatch):
+    source = str(tmp_path / "in")
+    t.messages(*FIRST).write.parquet(source)
+    run(spark, t, tables, source)
+    t.messages(*SECOND, start=10).write.mode("append").parquet(source)
+    put = files.put_json
+
+    def crash(session, path, value):
+        if "commits" in path:
+            # The draft is there, the file is not.
+            (tmp_path / "tables" / "commits" / ".batch-1.json-draft").write_text('{"ingest_batch": 1}')
+            raise RuntimeError("lost")
+        return put(session, path, value)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(files, "put_json", crash)
+        with pytest.raises(Exception, match="lost"):
+            run(spark, t, tables, source)
+    assert tables.commits(spark) == [0]
+    run(spark, t, tables, source)
+    assert tables.commits(spark) == [0, 1]
+    check(spark, tables)
+
+
+def test_clean_up_waits_for_the_summary(spark, t, tables):
+    none, sensors = t.resets(), t.sensors()
+
+    def ingest(batch):
+        text = message("a", "B1", batch + 1, f"2024-01-01T0{batch}:00:00")
+        ingest_batch(t.messages(text, start=batch), batch, tables, none, sensors, clock(batch))
+
+    ingest(0)
+    summary_stream(spark, tables, lambda: none, clock, None).awaitTermination()
+    ingest(1)
+    ingest(2)
+    assert clean_up(spark, tables, keep=0) == 4 and tables.commits(spark) == [1, 2]
+    summary_stream(spark, tables, lambda: none, clock, None).awaitTermination()
+    assert rows(tables.batches(spark, "summary_feed"), "ingest_batch", "total_in") == [(0, 1), (1, 3)]
+    assert clean_up(spark, tables, keep=0) == 8
+    ingest(3)
+    assert rows(tables.devices.after(spark, 3), "in_count") == [(4,)] and tables.log(spark).count() == 4
+
+
+def test_a_replay_keeps_the_time_of_the_first_try(spark, t, tables, monkeypatch):
+    raw, none, sensors = t.messages(*FIRST), t.resets(), t.sensors()
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(stream, "latest_devices", fail)
+        with pytest.raises(RuntimeError):
+            ingest_batch(raw, 0, tables, none, sensors, clock(0))
+    ingest_batch(raw, 0, tables, none, sensors, clock(7))
+    for df in (tables.log(spark), tables.appended(spark, [0]), tables.devices.after(spark, 0)):
+        assert rows(df, "device_id", "created_at") == [("a", clock(0)), ("b", clock(0))]
+
+
 def test_a_processing_time_trigger_takes_new_batches(spark, t, tmp_path, tables):
     source = str(tmp_path / "in")
     t.messages(*FIRST).write.parquet(source)
