@@ -6,10 +6,12 @@ not counted.
 * A small ledger with few resets per device becomes validity intervals that are
   broadcast, so the log is not shuffled.
 * Otherwise resets and readings are shuffled together by device and hour, and each
-  reading takes the last reset before it in its hour. Every hour that a device may
-  have readings in also gets the reset in force at its start. So the work is linear
-  in readings and resets, and the readings of one very active device spread over
-  as many tasks as it has hours; nothing depends on adaptive skew handling.
+  reading takes the last reset before it in its hour. Every hour that holds readings of
+  a device also gets the reset in force at its start; hours without readings make no rows.
+  These seeds are found the same way from days: each day gets the reset in force at its start,
+  and a day holds at most 24 hours and its own resets. So the work is linear in readings and
+  resets, and the readings of one very active device spread over as many tasks as
+  it has hours; nothing depends on adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -65,46 +67,63 @@ def asof_reset(
     probe_time: str = "event_time",
     inclusive: bool = True,
     limits: AsofLimits = DEFAULT_LIMITS,
-    span: tuple | None = None,
 ) -> DataFrame:
     """Add the newest reset with ``reset_time <= probe_time`` (``<`` if not inclusive).
 
-    Every probe row is kept; the reset columns are null where there is none. ``span``:
-    first and last time of the probe, if known; else each device's is aggregated.
+    Every probe row is kept; the reset columns are null where there is none.
     """
     resets = resets.select("device_id", *RESET_COLUMNS).filter("reset_time is not null")
     per_device = resets.groupBy("device_id").count()
     total, most = per_device.agg(F.sum("count"), F.max("count")).first()
-    intervals = _intervals(distinct_resets(resets))
+    distinct = distinct_resets(resets)
     if (total or 0) <= limits.broadcast_rows and (most or 0) <= limits.resets_per_device:
-        return _interval_join(probe, F.broadcast(intervals), probe_time, inclusive)
-    return _sliced(probe, intervals, probe_time, inclusive, span)
+        return _interval_join(probe, F.broadcast(_intervals(distinct)), probe_time, inclusive)
+    return _sliced(probe, distinct, probe_time, inclusive)
 
 
-def _sliced(
-    probe: DataFrame, intervals: DataFrame, probe_time: str, inclusive: bool, span: tuple | None
-) -> DataFrame:
-    def of_slice(time) -> Column:
-        return floor_to(time, SLICE)
+def _last_before(rows: DataFrame, keys: list[str], order: list[str], through=Window.currentRow) -> DataFrame:
+    """Add ``_last``, the newest ``_reset`` of a row and those before it."""
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, through)
+    return rows.withColumn("_last", F.last("_reset", ignorenulls=True).over(window))
+
 
-    if span is None:
-        ends = probe.groupBy("device_id").agg(
-            of_slice(F.min(probe_time)).alias("_low"), of_slice(F.max(probe_time)).alias("_high")
+def _day_seeds(hours: DataFrame, resets: DataFrame) -> DataFrame:
+    """``device_id, _day, _reset``: the reset in force when a day begins that has readings or resets."""
+    of_day = resets.groupBy("device_id", "_day").agg(
+        F.max_by(F.struct(*RESET_COLUMNS), "reset_time").alias("_reset")
+    )
+    days = hours.select("device_id", "_day").distinct().unionByName(of_day, allowMissingColumns=True)
+    days = days.groupBy("device_id", "_day").agg(F.max("_reset").alias("_reset"))
+    before = _last_before(days, ["device_id"], ["_day"], -1)
+    return before.filter("_last is not null").select("device_id", "_day", F.col("_last").alias("_reset"))
+
+
+def hour_seeds(hours: DataFrame, resets: DataFrame) -> DataFrame:
+    """``device_id, _slice, _reset``: the reset in force when an hour begins, for those of ``hours``
+    (``device_id, _slice``) that have one."""
+    hours = hours.withColumn("_day", floor_to(F.col("_slice"), "day"))
+    resets = resets.withColumn("_day", floor_to(F.col("reset_time"), "day"))
+    # At one time: what the day began with, then the hour, then a reset, which is in the hour itself.
+    marks = (
+        _day_seeds(hours, resets).withColumns({"_time": F.col("_day"), "_order": F.lit(0)})
+        .unionByName(hours.withColumns({"_time": F.col("_slice"), "_order": F.lit(1)}), allowMissingColumns=True)
+        .unionByName(
+            resets.select("device_id", "_day", F.col("reset_time").alias("_time"),
+                          F.struct(*RESET_COLUMNS).alias("_reset"), F.lit(2).alias("_order")),
+            allowMissingColumns=True,
         )
-        spans = intervals.join(ends.filter("_low is not null"), "device_id")
-    else:
-        low, high = (of_slice(ts(t)) for t in span)
-        spans = intervals.withColumn("_low", low).withColumn("_high", high)
-    start = F.greatest("_low", of_slice(F.col("reset_time")))
-    end = F.least("_high", of_slice(F.col("_until")))  # ignores null
-    hours = F.when(start <= end, F.sequence(start, end, F.expr(f"interval 1 {SLICE}")))
-    reset = F.struct(*RESET_COLUMNS).alias("_reset")
-    known = spans.select(
-        "device_id", F.col("reset_time").alias("_time"), F.explode(hours).alias("_slice"), reset
     )
-    # At one time a reset comes first if it is to count for the reading.
+    found = _last_before(marks, ["device_id", "_day"], ["_time", "_order"])
+    return found.filter("_order = 1 and _last is not null").select(
+        "device_id", "_slice", F.col("_last").alias("_reset")
+    )
+
+
+def _sliced(probe: DataFrame, resets: DataFrame, probe_time: str, inclusive: bool) -> DataFrame:
+    def of_slice(time) -> Column:
+        return floor_to(time, SLICE)
+
     side = "_probe"
-    known = known.withColumn("_order", F.lit(0 if inclusive else 2))
     asked = probe.select(
         "device_id",
         F.col(probe_time).alias("_time"),
@@ -112,10 +131,15 @@ def _sliced(
         F.lit(1).alias("_order"),
         F.struct(*probe.columns).alias(side),
     )
-    rows = asked.unionByName(known, allowMissingColumns=True)
-    window = Window.partitionBy("device_id", "_slice").orderBy("_time", "_order")
-    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = rows.withColumn("_last", F.last("_reset", ignorenulls=True).over(window))
+    hours = asked.filter("_slice is not null").select("device_id", "_slice").distinct()
+    seeds = hour_seeds(hours, resets).withColumns({"_time": F.col("_slice"), "_order": F.lit(-1)})
+    # At one time a reset comes first if it is to count for the reading.
+    own = resets.select(
+        "device_id", F.col("reset_time").alias("_time"), of_slice(F.col("reset_time")).alias("_slice"),
+        F.struct(*RESET_COLUMNS).alias("_reset"), F.lit(0 if inclusive else 2).alias("_order"),
+    )
+    rows = asked.unionByName(seeds, allowMissingColumns=True).unionByName(own, allowMissingColumns=True)
+    found = _last_before(rows, ["device_id", "_slice"], ["_time", "_order"])
     return found.filter("_order = 1").select(f"{side}.*", "_last.*")
 
 

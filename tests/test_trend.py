@@ -3,9 +3,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.functions.times import MICROSECOND, SECOND, align_range
-from footfall.operators.asof import AsofLimits, asof_reset
+from footfall.operators.asof import AsofLimits, asof_reset, hour_seeds
 from footfall.operators.compare import daily_comparison
 from footfall.operators.trend import location_trend, sensor_trend
 from tests.conftest import at, in_order, rows
@@ -191,3 +192,42 @@ def test_large_ledgers_are_joined_by_device_and_hour(spark, t):
     assert "Window" in physical and "device_id" in physical
     counts = dict(rows(joined, "id", "reset_in_count"))
     assert [counts[k] for k in (2, 3, 9, 10, 26, 34)] == [None, 1, 1, 2, None, 2]
+
+
+def test_hours_without_readings_make_no_rows(spark, t):
+    """A hundred devices that report twice in a year, with resets between: two seeds each at most."""
+    log = spark.sql(
+        """SELECT id, concat('d', id % 100) AS device_id,
+            timestamp_ntz'2024-01-01' + make_dt_interval(if(id < 100, 1, 364), cast(id % 24 AS int)) AS event_time
+        FROM range(200)"""
+    )
+    resets = spark.sql(
+        """SELECT concat('d', id % 100) AS device_id, timestamp_ntz'2024-01-01' + make_dt_interval(cast(id AS int)) AS reset_time,
+            cast(id AS int) AS reset_in_count, 0 AS reset_out_count FROM range(300)"""
+    )
+    hours = log.select("device_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("_slice")).distinct()
+    seeds = hour_seeds(hours, resets)
+    assert 100 <= seeds.count() <= 200
+    joined = asof_reset(log, resets, limits=AsofLimits(0))
+    assert "sequence(" not in joined._jdf.queryExecution().optimizedPlan().toString().lower()
+    plain = rows(asof_reset(log, resets), "id", "reset_time", "reset_in_count")
+    assert rows(joined, "id", "reset_time", "reset_in_count") == plain
+
+
+def test_seeds_at_the_edges_of_hours_and_days(t):
+    """Readings and resets at the very start of hours and days, and a null time."""
+    log = t.log(*[
+        (1, "a", "B1", 1, 0, "2024-01-02 00:00:00"), (2, "a", "B1", 1, 0, "2024-01-02 05:00:00"),
+        (3, "a", "B1", 1, 0, "2024-01-02 05:30:00"), (4, "a", "B1", 1, 0, "2024-01-05 23:59:59"),
+        (5, "b", "B1", 1, 0, "2024-01-02 05:00:00"),
+    ])
+    log = log.unionByName(log.limit(1).withColumns({"id": F.lit(9).cast("long"), "event_time": F.lit(None).cast("timestamp_ntz")}))
+    resets = t.resets(
+        ("a", "2024-01-01 23:59:59", 1, 0), ("a", "2024-01-02 00:00:00", 2, 0), ("a", "2024-01-02 05:00:00", 3, 0),
+        ("a", "2024-01-03 00:00:00", 4, 0), ("a", "2024-01-06 00:00:00", 5, 0),
+    )
+    far = AsofLimits(0)
+    assert rows(asof_reset(log, resets, limits=far), "id", "reset_in_count") == [
+        (1, 2), (2, 3), (3, 3), (4, 4), (5, None), (9, None)]
+    assert rows(asof_reset(log, resets, inclusive=False, limits=far), "id", "reset_in_count") == [
+        (1, 1), (2, 2), (3, 3), (4, 4), (5, None), (9, None)]
