@@ -337,6 +337,14 @@ def _counter_queries() -> dict[str, Query]:
         "changed_only_sliced": _log(
             lambda log: ingest.drop_unchanged(log, unit="minute").select(*LOG_COLUMNS)),
         "discovered_sensors": _registry(registry.discover_sensors),
+        "discovered_sensor_ids": lambda spark, sf: registry.discover_sensors(
+            ingest.parse_payloads(fx.raw_payloads(spark, sf)), fx.early_sensors(spark, sf), AS_OF
+        ).select("id", "device"),
+        # The newest arrivals of the old log kept, merged with those of its tail.
+        "health_by_recency": lambda spark, sf: health.health_by_recency(
+            fx.sensors(spark, sf),
+            health.merged_recency(*map(health.last_data_time, fx.split_at(fx.counter_log(spark, sf), fx.ARCHIVE_BEFORE))),
+            fx.probes(spark, sf), HEALTH_AT),
         "sensors_registered": _registry(registry.register_readings),
         "ingest_append": _ingest_append,
         "stream_changed_only": _stream(

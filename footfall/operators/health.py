@@ -7,6 +7,7 @@ Idle or Offline after the recency window although it still reports.
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,16 +41,29 @@ def has_address(ip):
     return F.trim(F.coalesce(ip, F.lit(""))) != ""
 
 
+def merged_recency(*parts: DataFrame) -> DataFrame:
+    """``device_id, last_data_time`` from several such tables, as a kept one and that of a log's tail."""
+    whole = reduce(lambda a, b: a.unionByName(b), parts)
+    return whole.groupBy("device_id").agg(F.max("last_data_time").alias("last_data_time"))
+
+
 def sensor_health(
     sensors: DataFrame, log: DataFrame, probes: DataFrame, as_of, minutes: int = 5
 ) -> DataFrame:
-    """``device, status, last_data_time`` of every sensor.
+    """``device, status, last_data_time`` of every sensor, from the whole live log.
 
     Recent data means Online; else a reachable sensor with an address is Idle,
     any other Offline. ``probes`` holds ``device, reachable``.
     """
+    return health_by_recency(sensors, last_data_time(log), probes, as_of, minutes)
+
+
+def health_by_recency(
+    sensors: DataFrame, recency: DataFrame, probes: DataFrame, as_of, minutes: int = 5
+) -> DataFrame:
+    """The same from a kept table of each device's newest arrival (``device_id, last_data_time``)."""
     cut = ts(as_datetime(as_of) - timedelta(minutes=minutes))
-    data = last_data_time(log).withColumnRenamed("device_id", "device")
+    data = recency.withColumnRenamed("device_id", "device")
     reachable = probes.groupBy("device").agg(F.bool_or("reachable").alias("reachable"))
     status = (
         F.when(F.col("last_data_time") >= cut, F.lit(ONLINE))
@@ -72,6 +86,23 @@ def health_summary(health: DataFrame) -> DataFrame:
     )
 
 
+def latest_status(sensors: DataFrame, checks: DataFrame) -> DataFrame:
+    """One registry for discovery and health: of what a batch and a check (``device, status,
+    last_data_time, checked_at``) say of a sensor, the later holds. A batch says so by the time it last saw
+    the sensor."""
+    found = checks.select("device", F.col("status").alias("new_status"), "last_data_time", "checked_at")
+    later = F.col("checked_at").isNotNull() & F.coalesce(F.col("checked_at") > F.col("last_seen"), F.lit(True))
+    return sensors.join(found, "device", "left").select(
+        "id",
+        "device",
+        "location",
+        "ip_address",
+        F.when(later, F.col("new_status") == ONLINE).otherwise(F.col("is_online")).alias("is_online"),
+        F.when(later, F.coalesce("last_data_time", "last_seen")).otherwise(F.col("last_seen")).alias("last_seen"),
+        F.when(later, F.col("new_status")).otherwise(F.col("status")).alias("status"),
+    )
+
+
 def apply_status(sensors: DataFrame, health: DataFrame) -> DataFrame:
     """The registry after a health check: new status and online flag; last seen
     only where the check found data. Sensors not checked stay as they are."""

@@ -1,8 +1,14 @@
-"""Sensor registry: listings, lookup, discovery of new sensors."""
+"""Sensor registry: listings, lookup, discovery of new sensors.
+
+A new sensor's id is the next above the highest one given so far. New sensors are dealt to
+``ID_PARTS`` parts by their names' digest and numbered part by part, each in order of name, so the
+ids are dense, the numbering is spread over tasks, and the same sensors get the same ids however
+often a batch is replayed.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall import schemas
@@ -46,12 +52,36 @@ def reporting_devices(readings: DataFrame) -> DataFrame:
     )
 
 
-def discover_sensors(readings: DataFrame, sensors: DataFrame, as_of) -> DataFrame:
-    """Registry rows for devices not known yet, Online and seen now; the table
-    assigns ``id``."""
+#: Hexadecimal digits of the digest that deal new sensors to parts, and so the number of parts.
+ID_DIGITS = 2
+ID_PARTS = 16**ID_DIGITS
+
+
+def highest_id(sensors: DataFrame) -> int:
+    """The highest id given; -1 if there is none."""
+    found = sensors.agg(F.max("id")).first()[0]
+    return -1 if found is None else found
+
+
+def new_ids(devices: DataFrame, after: int) -> DataFrame:
+    """``device, id`` for distinct ``devices``: dense ids from ``after + 1`` on."""
+    dealt = devices.select("device", F.substring(F.md5(F.col("device").cast("binary")), 1, ID_DIGITS).alias("part"))
+    sizes = dealt.groupBy("part").count()
+    # ID_PARTS rows at most.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("device"))
+    numbered = dealt.withColumn("place", place).join(F.broadcast(offsets), "part")
+    return numbered.select("device", (F.col("offset") + F.col("place") + after).cast("int").alias("id"))
+
+
+def discover_sensors(readings: DataFrame, sensors: DataFrame, as_of, after: int | None = None) -> DataFrame:
+    """Registry rows for devices not known yet, Online and seen now, with ids above ``after`` (by
+    default the highest id of ``sensors``)."""
+    after = highest_id(sensors) if after is None else after
     unknown = reporting_devices(readings).join(sensors.select("device"), "device", "left_anti")
-    return unknown.select(
-        F.lit(None).cast("int").alias("id"),
+    return unknown.join(new_ids(unknown, after), "device").select(
+        "id",
         "device",
         "location",
         "ip_address",
@@ -61,11 +91,16 @@ def discover_sensors(readings: DataFrame, sensors: DataFrame, as_of) -> DataFram
     )
 
 
-def register_readings(readings: DataFrame, sensors: DataFrame, as_of) -> DataFrame:
+def register_readings(readings: DataFrame, sensors: DataFrame, as_of, after: int | None = None) -> DataFrame:
     """The registry after a batch: new sensors added, reporting ones Online and seen
     now. The place of a known sensor is never updated. Unchanged readings count
-    as reporting, too."""
-    reporting = reporting_devices(readings).select(
+    as reporting, too. New ids are above ``after``, by default the highest of ``sensors``."""
+    after = highest_id(sensors) if after is None else after
+    found = reporting_devices(readings)
+    unknown = found.join(sensors.select("device"), "device", "left_anti")
+    found = found.join(new_ids(unknown, after).withColumnRenamed("id", "new_id"), "device", "left")
+    reporting = found.select(
+        "new_id",
         "device",
         F.col("location").alias("new_location"),
         F.col("ip_address").alias("new_ip"),
@@ -76,7 +111,7 @@ def register_readings(readings: DataFrame, sensors: DataFrame, as_of) -> DataFra
     reports = F.coalesce("reports", F.lit(False))
     is_new = F.col("known").isNull()
     return merged.select(
-        "id",
+        F.coalesce("id", "new_id").alias("id"),
         "device",
         F.when(is_new, F.col("new_location")).otherwise(F.col("location")).alias("location"),
         F.when(is_new, F.col("new_ip")).otherwise(F.col("ip_address")).alias("ip_address"),

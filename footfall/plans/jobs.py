@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.operators.health import apply_status, health_summary, sensor_health
+from footfall.functions.times import ts
+from footfall.operators.health import apply_status, health_by_recency, health_summary, sensor_health
 from footfall.operators.ledger import reset_building, reset_devices
 from footfall.operators.retention import cutoff_for, old_rows, rows_to_delete, rows_to_move
 from footfall.sources import files
@@ -70,6 +71,24 @@ def run_health_check(
     return health_summary(spark.table(target).select("status"))
 
 
+def check_stream_health(
+    spark: SparkSession, tables: StreamTables, probes: DataFrame, as_of, minutes: int = 5
+) -> DataFrame:
+    """Check the sensors of a stream's registry and keep the result beside it, so that
+    ``StreamTables.sensors`` shows it; returns the counts by status. Reads the state's newest arrivals
+    and no log. Discovery goes on meanwhile: neither writes what the other has written."""
+    registry = tables.sensors(spark)
+    health = health_by_recency(registry, tables.recency(spark), probes, as_of, minutes)
+    found = health.withColumn("checked_at", ts(as_of))
+    number = 1 + max((int(n[6:]) for n in files.names(spark, tables.folder("health")) if n.startswith("check-")), default=-1)
+    path = tables.folder(f"health/check-{number:020d}")
+    # Written aside first: a reader takes the newest folder.
+    draft = tables.folder(f"health_drafts/{number:020d}")
+    found.write.mode("overwrite").parquet(draft)
+    files.move(spark, draft, path)
+    return health_summary(spark.read.parquet(path))
+
+
 def run_device_reset(spark: SparkSession, log: str, resets: str, ids: list[str], as_of) -> None:
     rows = reset_devices(spark.table(log), ids, as_of)
     rows.select(*LEDGER).write.mode("append").insertInto(resets)

@@ -69,3 +69,12 @@ def size(spark: SparkSession, path: str) -> int:
 def make_folder(spark: SparkSession, path: str) -> None:
     where, files = _at(spark, path)
     files.mkdirs(where)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the new one must not be there yet."""
+    where, files = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(where, target):
+        raise FileExistsError(to)

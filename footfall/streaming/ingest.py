@@ -34,6 +34,7 @@ from footfall.operators.ingest import (
     drop_unchanged,
     to_log_rows,
 )
+from footfall.operators.health import last_data_time, latest_status
 from footfall.operators.latest import latest_by
 from footfall.operators.registry import register_readings
 from footfall.operators.snapshot import building_summary, latest_devices
@@ -49,6 +50,14 @@ STREAM_ORDER = ("ingest_batch", "event_time", *schemas.KEY.fieldNames())
 DEVICE_STATE = T.StructType(
     [*schemas.LOG.fields, *schemas.KEY.fields, T.StructField("ingest_batch", T.LongType())]
 )
+HEALTH = T.StructType(
+    [
+        T.StructField("device", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("last_data_time", T.TimestampNTZType()),
+        T.StructField("checked_at", T.TimestampNTZType()),
+    ]
+)
 COMMIT = T.StructType([T.StructField("ingest_batch", T.LongType())])
 
 READINGS = T.StructType(
@@ -85,7 +94,22 @@ class StreamTables:
 
     @property
     def registry(self) -> StateTable:
-        return StateTable(self.folder("state_registry"), schemas.SENSORS, ("device",))
+        return StateTable(self.folder("state_registry"), schemas.SENSORS, ("device",), highest="id")
+
+    def sensors(self, spark: SparkSession) -> DataFrame:
+        """The registry as discovery and the last health check leave it."""
+        committed = self.commits(spark)
+        registry = self.registry.after(spark, committed[-1] if committed else -1)
+        checks = _numbers(files.names(spark, self.folder("health")), "check-", "")
+        if not checks:
+            return registry
+        found = spark.read.schema(HEALTH).parquet(self.folder(f"health/check-{checks[-1]:020d}"))
+        return latest_status(registry, found)
+
+    def recency(self, spark: SparkSession) -> DataFrame:
+        """``device_id, last_data_time`` of each device that ever logged, from the state: no log is read."""
+        committed = self.commits(spark)
+        return last_data_time(self.devices.after(spark, committed[-1] if committed else -1))
 
     @property
     def store(self) -> LogStore:
@@ -122,8 +146,8 @@ class StreamTables:
         return spark.read.parquet(self.folder(name))
 
 
-def _numbers(names: list[str]) -> list[int]:
-    return sorted(int(n[6:-5]) for n in names if n.startswith("batch-") and n.endswith(".json"))
+def _numbers(names: list[str], start: str = "batch-", end: str = ".json") -> list[int]:
+    return sorted(int(n[len(start) : len(n) - len(end)]) for n in names if n.startswith(start) and n.endswith(end))
 
 
 def _together(*steps: Callable[[], object]) -> None:
@@ -177,7 +201,8 @@ def ingest_batch(
     def discover() -> None:
         # Before the change filter: an unchanged reading is a sign of life.
         registry = tables.registry.touched(spark, batch, readings, "device_id", sensors)
-        tables.registry.write(register_readings(readings, registry, as_of), batch)
+        known = tables.registry.highest_before(spark, batch)
+        tables.registry.write(register_readings(readings, registry, as_of, known), batch)
 
     def keep() -> None:
         rows = to_log_rows(readings, as_of).withColumn("id", F.lit(None).cast("long"))

@@ -35,6 +35,8 @@ class StateTable:
     schema: T.StructType
     keys: tuple[str, ...] = ("device_id",)
     bucket_bytes: int = BUCKET_BYTES
+    #: A number column whose highest value so far is kept with each version.
+    highest: str | None = None
 
     def _version_file(self, batch: int) -> str:
         return f"{self.path}/versions/v-{batch:020d}.json"
@@ -94,8 +96,17 @@ class StateTable:
                 buckets *= 2
             held = self._write(self._read(spark, {"folders": {b: f for b, (f, _) in held.items()}}), buckets, batch)
         found = {"folders": {b: f for b, (f, _) in held.items()}, "bytes": {b: n for b, (_, n) in held.items()}}
+        if self.highest:
+            # Only what the batch has written is read.
+            own = [f for f in found["folders"].values() if f not in version["folders"].values()]
+            top = self._read(spark, {"folders": dict(enumerate(own))}).agg(F.max(self.highest)).first()[0] if own else None
+            found["highest"] = max((n for n in (version.get("highest"), top) if n is not None), default=None)
         files.put_json(spark, self._version_file(batch), {"buckets": buckets, **found})
 
+    def highest_before(self, spark: SparkSession, batch: int) -> int | None:
+        """The highest value of the ``highest`` column before a batch; None if no batch kept one."""
+        return self._version(spark, batch - 1).get("highest")
+
     def _write(self, state: DataFrame, buckets: int, batch: int) -> dict[str, tuple[str, int]]:
         spark = state.sparkSession
         name = f"rows/{batch:020d}-{uuid.uuid4().hex[:8]}"

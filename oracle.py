@@ -396,6 +396,14 @@ def oracle_sql() -> dict[str, str]:
                 TIMESTAMP '2024-02-10' AS last_seen, 'Online' AS status
             FROM {FIRST_PLACE} WHERE device_id NOT IN (SELECT device_id FROM {EARLY})""",
             "parsed", "log"),
+        "discovered_sensor_ids": with_tables(
+            f"""SELECT device, CAST((SELECT coalesce(max(id), -1) FROM sensor WHERE device IN (SELECT device_id FROM {EARLY}))
+                    + row_number() OVER (ORDER BY substr(md5(device), 1, 2), device) AS INT) AS id
+            FROM (SELECT device_id AS device FROM {FIRST_PLACE}
+                WHERE device_id NOT IN (SELECT device_id FROM {EARLY}))""",
+            "parsed", "log", "sensor"),
+        "health_by_recency": with_tables(
+            f"SELECT device, status, last_data_time FROM {HEALTH}", "log", "sensor", "probe"),
         "sensors_registered": with_tables(
             f"""SELECT coalesce(s.device, p.device_id) AS device,
                 CASE WHEN s.device IS NULL THEN p.location ELSE s.location END AS location,
