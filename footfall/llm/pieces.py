@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 import sys
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -28,10 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from footfall.llm.tables import trimmed
+
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words kept from batch to batch in one task; the oldest go first.
-KEPT_WORDS = 60_000
+KEPT_WORDS = 150_000
 #: And the bytes that these and their ids take.
 KEPT_BYTES = 32 << 20
 
@@ -64,11 +65,11 @@ class Pieces:
     def encode_sorted(self, words: Iterable[str], out: dict[str, bytes]) -> None:
         """Put the best path (ids as packed 32-bit numbers) of each word into ``out``;
         words come in ascending order."""
-        best = array("d", [0.0])  # best score of each prefix of the current word,
-        back = array("q", [0])  # where its last piece begins,
+        best = [0.0]  # best score of each prefix of the current word,
+        back = [0]  # where its last piece begins,
         tail: list[bytes] = [b""]  # and the ids of that piece
         before = ""
-        ends, packed, unknown = self.ends, self.packed, self.unknown
+        score_of, packed, unknown = self.ends.get, self.packed, self.unknown
         for word in words:
             shared = 0
             for a, b in zip(before, word):
@@ -80,14 +81,16 @@ class Pieces:
                 begin = at = end - 1
                 piece = last = word[begin]
                 top = best[begin] + unknown
-                while piece in ends:
-                    score = ends[piece] + best[begin]
+                score = score_of(piece)
+                while score is not None:
+                    score += best[begin]
                     if score >= top:
                         top, at, last = score, begin, piece
                     if not begin:
                         break
                     begin -= 1
                     piece = word[begin:end]
+                    score = score_of(piece)
                 best.append(top)
                 ids = packed.get(last)
                 if ids is None:
@@ -139,19 +142,30 @@ def marked_words(text: str) -> list[str]:
     return (MARK + text.replace(" ", " " + MARK)).split(" ")
 
 
-def encode_texts(texts: list[str], model: Pieces, known: dict[str, bytes]) -> list[np.ndarray]:
+class Kept(dict):
+    """Words with their ids, and the bytes that both take."""
+
+    held = 0
+
+    def grow(self, words: Iterable[str]) -> None:
+        words = list(words)
+        self.held += sum(map(sys.getsizeof, words)) + sum(map(sys.getsizeof, map(self.__getitem__, words)))
+
+
+def encode_texts(texts: list[str], model: Pieces, known: Kept) -> list[np.ndarray]:
     """Ids of each text; ``known`` keeps words from call to call."""
     cut = [marked_words(t) for t in texts]
     fresh = set().union(*cut).difference(known)
     model.encode_sorted(sorted(fresh), known)
+    known.grow(fresh)
     out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
     _forget(known)
     return out
 
 
-def _forget(known: dict[str, bytes]) -> None:
+def _forget(known: Kept) -> None:
     """Drop the oldest words if there are too many, or if they take too many bytes."""
-    held = sum(map(sys.getsizeof, known)) + sum(map(sys.getsizeof, known.values()))
+    held = known.held
     if len(known) <= KEPT_WORDS and held <= KEPT_BYTES:
         return
     gone, words = [], len(known)
@@ -163,6 +177,7 @@ def _forget(known: dict[str, bytes]) -> None:
         held -= sys.getsizeof(word) + sys.getsizeof(ids)
     for word in gone:
         del known[word]
+    known.held = held
 
 
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str = "piece_ids", keep: list[str] | None = None) -> DataFrame:
@@ -170,7 +185,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
     kept = [c for c in (keep or docs.columns) if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = load(model_file), {}
+        model, known = load(model_file), Kept()
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
@@ -188,7 +203,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
 
     schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(f"`{out}` array<int>").fields)
     needed = list(dict.fromkeys([*kept, text_col]))
-    return docs.select(*needed).mapInArrow(run, schema)
+    return docs.select(*needed).mapInArrow(trimmed(run), schema)
 
 
 def decode(df: DataFrame, model_file: str, ids_col: str = "piece_ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -210,4 +225,4 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "piece_ids", out: str
                 )
 
     schema = StructType([df.schema[c] for c in kept] + StructType.fromDDL(f"`{out}` string").fields)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)

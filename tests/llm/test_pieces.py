@@ -48,7 +48,7 @@ def test_best_path_and_round_trip(spark, model):
     texts = [r.text for r in table(spark, SF, "documents").limit(40).collect()]
     rnd = random.Random(2)
     texts += ["".join(rnd.choice("ab  \n\tthe日é①") for _ in range(rnd.randint(0, 40))) for _ in range(200)]
-    ids = pieces.encode_texts(texts, model, {})
+    ids = pieces.encode_texts(texts, model, pieces.Kept())
     for text, own in zip(texts, ids, strict=True):
         assert score(own.tolist(), model) == pytest.approx(brute(text, model))
     ends = [0]
@@ -73,7 +73,7 @@ def test_against_the_library(spark, model):
     same = 0
     for word in words:
         theirs = library.nbest_encode_as_ids(word, 1)[0]
-        own = pieces.encode_texts([word], model, {})[0].tolist()
+        own = pieces.encode_texts([word], model, pieces.Kept())[0].tolist()
         assert score(own, model) >= score(theirs, model) - 1e-3
         same += own == theirs
     assert same >= 0.97 * len(words)
@@ -103,7 +103,7 @@ def test_foreign_ids(spark):
 
 def test_kept_words_are_bounded(model, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT_WORDS", 10)
-    known: dict = {}
+    known = pieces.Kept()
     for k in range(5):
         pieces.encode_texts([" ".join(f"w{k}x{j}" for j in range(8))], model, known)
         assert len(known) <= 10
@@ -117,7 +117,7 @@ def test_memory_is_linear_in_a_word(model):
     long = "".join(rnd.choice("abcdefgh日é①=+/\n") for _ in range(20_000))
     texts = [long + "x", long + "yz"]
     tracemalloc.start()
-    ids = pieces.encode_texts(texts, model, {})
+    ids = pieces.encode_texts(texts, model, pieces.Kept())
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 30 << 20
@@ -130,7 +130,7 @@ def test_memory_is_linear_in_a_word(model):
 
 def test_kept_words_are_bounded_by_bytes(model, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT_BYTES", 20_000)
-    known: dict = {}
+    known = pieces.Kept()
     for k in range(5):
         pieces.encode_texts([f"{k}" + "ab" * 3000], model, known)
         assert sum(map(len, known)) < 20_000
