@@ -42,7 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from footfall.llm.arrays import NON_SPACE, flat, hash_words, mix, per_text, pieces, window_hashes
 from footfall.llm.graph import connected
-from footfall.llm.tables import cut, shuffle_partitions
+from footfall.llm.tables import cut, shuffle_partitions, trimmed
 
 WORDS = 5
 #: Links need 100 * common >= PERCENT * union; the bounds of the module are for 75.
@@ -331,9 +331,9 @@ def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> Data
     counted = f"part int, id {kind}, n long, node long, {_CREDITS}"
     counted_names = [p.split()[0] for p in counted.split(", ")]
     return (
-        docs.select(id_col, text_col).mapInArrow(emit, sent)
-        .repartitionById(parts, "part").mapInArrow(count, counted)
-        .repartitionById(parts, "part").mapInArrow(total, f"id {kind}, n long, node long, band int, missing long")
+        docs.select(id_col, text_col).mapInArrow(trimmed(emit), sent)
+        .repartitionById(parts, "part").mapInArrow(trimmed(count), counted)
+        .repartitionById(parts, "part").mapInArrow(trimmed(total), f"id {kind}, n long, node long, band int, missing long")
     )
 
 
@@ -403,7 +403,7 @@ def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) ->
 
     texts = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"))
     wanted = texts.join(reps, texts["own"] == reps["rep"]).select("text", "wanted", "weight")
-    return wanted.mapInArrow(run, "node long, n long, body binary, weight int").dropDuplicates(["node"])
+    return wanted.mapInArrow(trimmed(run), "node long, n long, body binary, weight int").dropDuplicates(["node"])
 
 
 def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -422,7 +422,7 @@ def _thin_blocks(sets: DataFrame) -> dict[int, np.ndarray]:
             names=["band", "block"],
         )
 
-    rows = sets.select("node", "n", "body").mapInArrow(run, "band int, block int").collect()
+    rows = sets.select("node", "n", "body").mapInArrow(trimmed(run), "band int, block int").collect()
     out: dict[int, set[int]] = {}
     for band, block in rows:
         out.setdefault(band, set()).add(block)
@@ -441,7 +441,7 @@ def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray]) -> DataFr
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
 
-    picked = sets.select("node", "n", "body", "comp", "weight").mapInArrow(emit, f"part int, {_PACKED}")
+    picked = sets.select("node", "n", "body", "comp", "weight").mapInArrow(trimmed(emit), f"part int, {_PACKED}")
     return picked.repartitionById(parts, "part")
 
 
@@ -465,7 +465,7 @@ def _stars(dealt: DataFrame, parts: int, turn: int) -> DataFrame:
             leader[group[at]] = at  # copies of one node have one rank: any of them
             yield _pairs(node, comp, size, np.arange(len(node)), leader[group])
 
-    return _distinct(dealt.mapInArrow(_packing(run, parts), _PAIRS), parts)
+    return _distinct(dealt.mapInArrow(trimmed(_packing(run, parts)), _PAIRS), parts)
 
 
 def _pairs(node, comp, size, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -531,7 +531,7 @@ def _distinct(packed: DataFrame, parts: int) -> DataFrame:
             seen = _once(np.concatenate([seen, more], axis=1))
         yield pa.record_batch([pa.array(seen[0]), pa.array(seen[1])], names=["a", "b"])
 
-    return packed.repartitionById(parts, "part").mapInArrow(run, "a long, b long")
+    return packed.repartitionById(parts, "part").mapInArrow(trimmed(run), "a long, b long")
 
 
 def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
@@ -557,8 +557,8 @@ def _unsettled(dealt: DataFrame, parts: int, turns: int) -> DataFrame:
         if rows:
             yield pa.record_batch([pa.array(np.unique(_lacking(rows)[0]))], names=["node"])
 
-    packed = dealt.mapInArrow(credit, f"part int, {_CREDITS}")
-    return packed.repartitionById(parts, "part").mapInArrow(total, "node long")
+    packed = dealt.mapInArrow(trimmed(credit), f"part int, {_CREDITS}")
+    return packed.repartitionById(parts, "part").mapInArrow(trimmed(total), "node long")
 
 
 def _slot(elements: np.ndarray) -> np.ndarray:
@@ -608,7 +608,7 @@ def _counters(sets: DataFrame, parts: int, order=None) -> np.ndarray:
         )
 
     kind = "part int, counts binary"
-    summed = sets.select("body").mapInArrow(count, kind).repartition(parts, "part").mapInArrow(add, kind)
+    summed = sets.select("body").mapInArrow(trimmed(count), kind).repartition(parts, "part").mapInArrow(trimmed(add), kind)
     out = np.zeros(COUNTERS, np.int32)
     for k, counts in summed.collect():
         out[k * wide : (k + 1) * wide] = np.frombuffer(counts, np.int32)
@@ -667,7 +667,7 @@ def _cells(sets: DataFrame, parts: int, slice_: int = SLICE) -> DataFrame:
                         names=names,
                     )
 
-    dealt = sets.select("node", "n", "body", "comp").mapInArrow(emit, _CELLS).repartition(parts, "key", "i", "j")
+    dealt = sets.select("node", "n", "body", "comp").mapInArrow(trimmed(emit), _CELLS).repartition(parts, "key", "i", "j")
     return dealt.sortWithinPartitions("key", "i", "j")
 
 
@@ -720,7 +720,7 @@ def _near_pairs(sets: DataFrame, parts: int, slice_: int = SLICE) -> DataFrame:
                     i, j = np.nonzero(near)
                     yield _pairs(node, comp, size, x[i], y[j])
 
-    return _distinct(_cells(sets, parts, slice_).mapInArrow(_packing(run, parts), _PAIRS), parts)
+    return _distinct(_cells(sets, parts, slice_).mapInArrow(trimmed(_packing(run, parts)), _PAIRS), parts)
 
 
 def parity_sketch(own: np.ndarray, band: int) -> bytes:
@@ -748,7 +748,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("body").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("body").alias("right"))
     whole = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
-    return whole.mapInArrow(run, "a long, b long")
+    return whole.mapInArrow(trimmed(run), "a long, b long")
 
 
 def _labelled(sets: DataFrame, labels: DataFrame | None) -> DataFrame:

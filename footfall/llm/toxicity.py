@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.arrays import ALNUM, Words, flat, hash_words, mix, pieces
+from footfall.llm.tables import trimmed
 
 BITS = 18
 STEM = 5
@@ -150,7 +151,7 @@ def bags(docs: DataFrame, label_col: str, text_col: str) -> DataFrame:
                 )
 
     picked = docs.select(F.col(label_col).cast("int").alias("label"), text_col)
-    return picked.mapInArrow(run, "label int, sentence array<int>, slot array<int>")
+    return picked.mapInArrow(trimmed(run), "label int, sentence array<int>, slot array<int>")
 
 
 def train(
@@ -212,7 +213,7 @@ def score(
     from pyspark.sql.types import StructType
 
     schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(added).fields)
-    return docs.select(*dict.fromkeys([*kept, text_col])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*kept, text_col])).mapInArrow(trimmed(run), schema)
 
 
 def _offending(model: Model, data, at, scores, threshold) -> list[list[dict]]:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from footfall.llm.arrays import ALNUM, flat, hash_words, mix, per_text, pieces
+from footfall.llm.tables import trimmed
 
 SIZE = 10
 #: Windows whose tables one Python worker holds at a time (about 150 bytes each). A larger
@@ -175,7 +176,7 @@ def _one_pass(docs: DataFrame, shared, text_col: str, again: bool, kept: list[st
                     names=[*kept, *ADDED],
                 )
 
-    return docs.mapInArrow(run, StructType(fields + added))
+    return docs.mapInArrow(trimmed(run), StructType(fields + added))
 
 
 def _hits(words, ids: list[str | None], sets: list[PatternSet], before) -> list[pa.Array]:
