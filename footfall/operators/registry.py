@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from footfall import schemas
 from footfall.functions.times import ts
 from footfall.operators.health import OFFLINE, ONLINE
+from footfall.operators.latest import order_of
 
 
 def device_list(sensors: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def sensor_lookup(sensors: DataFrame, device: str) -> DataFrame:
 
 def reporting_devices(readings: DataFrame) -> DataFrame:
     """Place and address of each device's first reading in arrival order."""
-    first = F.min_by(F.struct("location", "ip_address"), F.struct(*schemas.KEY.fieldNames()))
+    first = F.min_by(F.struct("location", "ip_address"), order_of(readings, schemas.KEY.fieldNames()))
     return (
         readings.groupBy(F.col("device_id").alias("device"))
         .agg(first.alias("first"))
