@@ -12,9 +12,11 @@ input.
   once are done. Of equal segments all but the first are removed whole. (Within a batch this is
   settled before the shuffle, so that a frequent passage sends one entry per batch.) What is
   left to ask is the first of each of several unlike segments around one anchor.
-* **Second pass.** The segments asked for are cut out of the texts and dealt out by anchor. A suffix
-  array of each block of segments, built by grouping on Lyndon prefixes, puts equal strings side
-  by side; all but the first are removed.
+* **Second pass.** The segments asked for are cut out of the texts and dealt out by anchor. A string
+  holds its anchor, so of a segment only the part counts that agrees with another segment of the
+  anchor, going left and right from there; parts shorter than a string are done. A suffix array
+  of each block of such parts, built by grouping on Lyndon prefixes, puts equal strings side by
+  side; all but the first are removed.
 
 Null counts as the empty text. Equal rows are one text and have equal results; texts that share
 an id are ordered by a hash of the text; a null id is below all others.
@@ -39,7 +41,10 @@ LENGTH = 100
 KMER = 32
 #: Bytes of segments that one suffix array is built of, at least one anchor's.
 BLOCK_BYTES = 30_000
-_PLACE = np.uint64((1 << 28) - 1)
+#: Bytes of segments that are cut to their common parts at a time, at least one anchor's.
+COMPARED_BYTES = 2_000_000
+#: Bytes whose anchors are found in one go; a longer text is taken in overlapping stretches.
+MOST = 1 << 28
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -50,12 +55,20 @@ def segments(data: np.ndarray, at: np.ndarray, length: int = LENGTH, kmer: int =
     none = np.zeros(0, np.int64)
     if n < length:
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+    if n > MOST:
+        held = []
+        for base in range(0, n - length + 1, MOST - length + 1):
+            stretch = data[base : base + MOST]
+            *hashed, place, low, high = segments(stretch, np.clip(at - base, 0, len(stretch)), length, kmer)
+            held.append((*hashed, place + base, low + base, high + base))
+        return tuple(np.concatenate(c) for c in zip(*held, strict=True))
+    by_place = np.uint64(MOST - 1)
     power, inverse = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_CODES[data] * power[:-1], out=sums[1:])
     hashes = mix((sums[kmer:] - sums[: n - kmer + 1]) * inverse[: n - kmer + 1])
     width = length - kmer + 1
-    best = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    best = (hashes & ~by_place) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while 2 * span <= width:
         best = np.minimum(best[:-span], best[span:])
@@ -66,7 +79,7 @@ def segments(data: np.ndarray, at: np.ndarray, length: int = LENGTH, kmer: int =
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         whole[max(a, b - length + 1) : b] = False
     start = np.flatnonzero(whole)
-    place = (best[start] & _PLACE).astype(np.int64)
+    place = (best[start] & by_place).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
@@ -222,7 +235,7 @@ def _first_pass(texts: DataFrame, parts: int, length: int, kmer: int, crowd: int
 def _second_pass(asked: DataFrame, parts: int, length: int) -> DataFrame:
     """Ranges from suffix arrays, and the strings of crowded anchors with their hashes.
     ``asked``: ``id, tie, text, asks``."""
-    sent = "part int, anchors binary, ids binary, ties binary, lows binary, sizes binary, body binary, string binary, string_ids binary, string_ties binary, string_places binary"
+    sent = "part int, anchors binary, ids binary, ties binary, lows binary, befores binary, sizes binary, body binary, string binary, string_ids binary, string_ties binary, string_places binary"
     given = f"{_FOUND}, string long, place long"
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,20 +244,21 @@ def _second_pass(asked: DataFrame, parts: int, length: int) -> DataFrame:
             strings: list[tuple] = []
             for i, t, text, asks in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 body = text.encode()
-                anchor, _, low, high, many = (
+                anchor, place, low, high, many = (
                     np.concatenate([np.frombuffer(a[n], kind) for a in asks])
                     for n, kind in (("anchor", np.uint64), ("place", np.int64), ("low", np.int64), ("high", np.int64), ("crowded", np.uint8))
                 )
-                for key, a, b, crowded in zip(anchor.tolist(), low.tolist(), high.tolist(), many.tolist(), strict=True):
+                for key, own, a, b, crowded in zip(*(c.tolist() for c in (anchor, place, low, high, many)), strict=True):
                     if crowded:
                         strings.append((key, i, t, a, body[a : b + length]))
                     else:
-                        held.setdefault(key % parts, []).append((key, i, t, a, body[a : b + length]))
+                        held.setdefault(key % parts, []).append((key, i, t, a, own - a, body[a : b + length]))
             rows = [
                 (
                     p, np.array([s[0] for s in some], np.uint64).tobytes(),
                     *(np.array([s[k] for s in some], np.int64).tobytes() for k in (1, 2, 3)),
-                    np.array([len(s[4]) for s in some], np.uint32).tobytes(), b"".join(s[4] for s in some), *[None] * 4,
+                    np.array([s[4] for s in some], np.uint16).tobytes(),
+                    np.array([len(s[5]) for s in some], np.uint32).tobytes(), b"".join(s[5] for s in some), *[None] * 4,
                 )
                 for p, some in held.items()
             ]
@@ -256,16 +270,17 @@ def _second_pass(asked: DataFrame, parts: int, length: int) -> DataFrame:
         rows = []
         for batch in batches:
             picked = batch.filter(batch.column(1).is_valid())
-            rows += zip(*(picked.column(k).to_pylist() for k in range(1, 7)), strict=True)
-            alone = batch.filter(batch.column(7).is_valid())
-            for packed in zip(*(alone.column(k).to_pylist() for k in range(7, 11)), strict=True):
+            rows += zip(*(picked.column(k).to_pylist() for k in range(1, 8)), strict=True)
+            alone = batch.filter(batch.column(8).is_valid())
+            for packed in zip(*(alone.column(k).to_pylist() for k in range(8, 12)), strict=True):
                 string, ids, ties, places = (pa.array(np.frombuffer(p, np.int64)) for p in packed)
                 none = pa.nulls(len(string), pa.binary())
                 yield pa.record_batch([ids, ties, none, none, string, places], names=_names(given))
         if not rows:
             return
-        columns = [np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate((np.uint64, np.int64, np.int64, np.int64, np.uint32))]
-        body = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+        columns = [np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate((np.uint64, np.int64, np.int64, np.int64, np.uint16, np.uint32))]
+        body = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+        del rows
         for found in _blocks(*columns, body, length):
             yield _batch_of([(*r, None, None) for r in _packed_by_text(*found[:2], list(found[2:]))], given)
 
@@ -292,26 +307,70 @@ def _single_strings(strings: list[tuple], parts: int, length: int) -> list[tuple
     for p in np.flatnonzero(np.diff(edges)).tolist():
         own = order[edges[p] : edges[p + 1]]
         packed = (key[own].view(np.int64), ids[number[own]], ties[number[own]], (lows[number] + shift)[own])
-        out.append((p, *[None] * 6, *(c.tobytes() for c in packed)))
+        out.append((p, *[None] * 7, *(c.tobytes() for c in packed)))
     return out
 
 
-def _blocks(anchor, ids, ties, lows, sizes, body, length: int) -> Iterator[tuple]:
+def _blocks(anchor, ids, ties, lows, befores, sizes, body, length: int) -> Iterator[tuple]:
     """Ranges to remove ``(ids, ties, starts, lengths)``, block by block. All segments of an
     anchor are in one block."""
-    begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    sizes = sizes.astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
     order = np.argsort(anchor, kind="stable")
-    new = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
-    ends = np.append(new[1:], len(order))
-    held: list[np.ndarray] = []
-    bytes_held = 0
-    for a, b in zip(new.tolist(), ends.tolist(), strict=True):
-        held.append(order[a:b])
-        bytes_held += int(sizes[order[a:b]].sum())
-        if bytes_held >= BLOCK_BYTES or b == len(order):
-            own = np.concatenate(held)
-            yield _block(ids[own], ties[own], lows[own], sizes[own].astype(np.int64), begin[own], body, length)
-            held, bytes_held = [], 0
+    for a, b in _anchor_runs(anchor[order], sizes[order], COMPARED_BYTES):
+        some = order[a:b]
+        left, size = _common(anchor[some], befores[some].astype(np.int64), sizes[some], begin[some], body)
+        kept = size >= length
+        some, left, size = some[kept], left[kept], size[kept]
+        low, at = lows[some] + left, begin[some] + left
+        for c, d in _anchor_runs(anchor[some], size, BLOCK_BYTES):
+            own = slice(c, d)
+            yield _block(ids[some[own]], ties[some[own]], low[own], size[own], at[own], body, length)
+
+
+def _anchor_runs(anchor: np.ndarray, sizes: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole anchors (sorted) that hold ``least`` bytes or are the last."""
+    if not len(anchor):
+        return
+    ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+    total = np.cumsum(sizes)
+    begin = done = 0
+    for end in ends.tolist():
+        if total[end - 1] - done >= least or end == len(anchor):
+            yield begin, end
+            begin, done = end, total[end - 1]
+
+
+def _common(anchor, before, sizes, begin, body) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each segment (its offset and size) that agrees with another segment of its
+    anchor, going left and right from the anchor's place. Anchors are sorted."""
+    left = _agreeing(anchor, before, begin + before - 1, -1, body)
+    right = _agreeing(anchor, sizes - before, begin + before, 1, body)
+    return before - left, left + right
+
+
+def _agreeing(anchor, sizes, begin, step: int, body) -> np.ndarray:
+    """How many of the ``sizes`` bytes from ``begin`` on, in direction ``step``, each row has in
+    common with another row of its anchor: in sorted order, with one of its two neighbours."""
+    width = int(sizes.max(initial=0))
+    along = np.arange(width)
+    inside = along < sizes[:, None]
+    # One above the byte, 0 past the end: a row's end agrees with nothing but another row's end.
+    symbols = np.where(inside, body[np.where(inside, begin[:, None] + step * along, 0)].astype(np.uint16) + 1, 0)
+    keys = symbols.astype(">u2").view(f"V{2 * width}").reshape(-1) if width else np.zeros(len(sizes), "V1")
+    number = np.cumsum(np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)])
+    by_bytes = np.argsort(keys, kind="stable")
+    order = by_bytes[np.argsort(number[by_bytes], kind="stable")]
+    sorted_ = symbols[order]
+    unlike = sorted_[1:] != sorted_[:-1]
+    shared = np.where(unlike.any(axis=1), unlike.argmax(axis=1), width) if width else np.zeros(max(len(order) - 1, 0), np.int64)
+    shared = np.where(number[order][1:] == number[order][:-1], shared, 0)
+    best = np.zeros(len(order), np.int64)
+    best[:-1] = shared
+    best[1:] = np.maximum(best[1:], shared)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.minimum(best, sizes[order])
+    return out
 
 
 def _block(ids, ties, lows, sizes, begin, body, length: int) -> tuple:

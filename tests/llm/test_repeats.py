@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from footfall.llm import repeats
@@ -58,6 +59,43 @@ def test_short_strings(spark, crowd):
     assert result(repeats.remove_repeats(docs, length=20, kmer=6, crowd=crowd)) == want
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    def strings(found):
+        anchor, _, place, low, high = found
+        return sorted((s, a, p) for a, p, b, e in zip(anchor.tolist(), place.tolist(), low.tolist(), high.tolist(), strict=True) for s in range(b, e + 1))
+
+    data = np.frombuffer(random.Random(5).randbytes(5000), np.uint8)
+    at = np.array([0, 0, 30, 1700, 1715, 4990, 5000])
+    whole = strings(repeats.segments(data, at, 20, 6))
+    assert [s for s, _, _ in whole] == [s for a, b in zip(at, at[1:]) for s in range(a, b - 19)]
+    monkeypatch.setattr(repeats, "MOST", 256)
+    assert strings(repeats.segments(data, at, 20, 6)) == whole
+
+
+def test_common_parts():
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(300):
+        before, after = rnd.randint(0, 12), rnd.randint(0, 12)
+        rows.append((rnd.randint(0, 20), before, bytes(rnd.choice(b"\0ab") for _ in range(before + after))))
+    rows.sort(key=lambda r: r[0])
+    sizes = np.array([len(r[2]) for r in rows])
+    body = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+    offset, size = repeats._common(np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), sizes, np.cumsum(sizes) - sizes, body)
+
+    def agree(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    for k, (key, before, own) in enumerate(rows):
+        others = [r for j, r in enumerate(rows) if j != k and r[0] == key]
+        left = max((agree(own[:before][::-1], r[2][: r[1]][::-1]) for r in others), default=0)
+        right = max((agree(own[before:], r[2][r[1] :]) for r in others), default=0)
+        assert (offset[k], size[k]) == (before - left, left + right)
+
+
 def test_kept_bytes(spark):
     docs = documents(spark, ["abcdefghij" * 3, "xxabcdefghijyy"])
     got = by_id(repeats.remove_repeats(docs, length=8, kmer=4, with_text=True))
