@@ -14,9 +14,10 @@ input.
   left to ask is the first of each of several unlike segments around one anchor.
 * **Second pass.** The segments asked for are cut out of the texts and dealt out by anchor. A string
   holds its anchor, so of a segment only the part counts that agrees with another segment of the
-  anchor, going left and right from there; parts shorter than a string are done. A suffix array
-  of each block of such parts, built by grouping on Lyndon prefixes, puts equal strings side by
-  side; all but the first are removed.
+  anchor, going left and right from there; parts shorter than a string are done, and of parts
+  with the same bytes all but the first are removed whole. A suffix array of each block of unlike
+  parts, built by grouping on Lyndon prefixes, puts equal strings side by side; all but the first
+  are removed.
 
 Null counts as the empty text. Equal rows are one text and have equal results; texts that share
 an id are ordered by a hash of the text; a null id is below all others.
@@ -374,6 +375,20 @@ def _agreeing(anchor, sizes, begin, step: int, body) -> np.ndarray:
 
 
 def _block(ids, ties, lows, sizes, begin, body, length: int) -> tuple:
+    texts, starts = _by_text(ids, ties)
+    rank = np.zeros(len(ids), np.int64)
+    rank[texts] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(texts))))
+    order = np.lexsort((lows, rank))
+    seen: dict[bytes, int] = {}
+    head = np.array([seen.setdefault(body[begin[k] : begin[k] + sizes[k]].tobytes(), k) for k in order.tolist()], np.int64)
+    later = order[(rank[order] != rank[head]) | (lows[order] != lows[head])]
+    own = np.fromiter(seen.values(), np.int64, len(seen))
+    found = _sorted_block(ids[own], ties[own], rank[own], lows[own], sizes[own], begin[own], body, length)
+    return tuple(np.concatenate([c[later], f]) for c, f in zip((ids, ties, lows, sizes), found, strict=True))
+
+
+def _sorted_block(ids, ties, rank, lows, sizes, begin, body, length: int) -> tuple:
+    """`_block` of parts with unlike bytes; ``rank``: places of their texts."""
     at = np.cumsum(sizes + 1) - (sizes + 1)  # one end mark after each segment
     symbols = np.zeros(int((sizes + 1).sum()) + length, np.int64)
     number = np.repeat(np.arange(len(sizes)), sizes)
@@ -390,9 +405,6 @@ def _block(ids, ties, lows, sizes, begin, body, length: int) -> tuple:
     for k in range(1, len(ordered), 4096):
         some = ordered[k : k + 4096]
         new[k : k + 4096] = (strings[some] != strings[ordered[k - 1 : k - 1 + len(some)]]).any(axis=1)
-    texts, starts = _by_text(ids, ties)
-    rank = np.zeros(len(ids), np.int64)
-    rank[texts] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(texts))))
     # Places in order of text and byte: equal keys are the same place of equal rows.
     _, key = np.unique(np.stack([rank[owner[ordered]], lows[owner[ordered]] + offset[ordered]]), axis=1, return_inverse=True)
     key = key.reshape(-1)
