@@ -2,8 +2,8 @@
 
 A text becomes ``▁`` for the start and for each space, and is cut into marked words: marks
 followed by other characters. No piece goes past the end of such a word, so the best path
-of a text is the chain of its words' best paths. The distinct words of a batch are sorted;
-walking them in order is a depth-first walk of their trie: the forward scores of the characters a
+of a text is the chain of its words' best paths. Arrow numbers the distinct words of a run of texts
+and sorts them; walking them in order is a depth-first walk of their trie: the forward scores of the characters a
 word shares with the one before are reused, and only the rest is computed. Each prefix has its last
 piece only, so memory is linear in the longest word.
 
@@ -16,7 +16,6 @@ a space, as the library does.
 
 from __future__ import annotations
 
-import re
 import sys
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -27,14 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from footfall.llm.arrays import flat, pieces
 from footfall.llm.tables import trimmed
 
 MARK = "▁"
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words kept from batch to batch in one task; the oldest go first.
-KEPT_WORDS = 150_000
-#: And the bytes that these and their ids take.
-KEPT_BYTES = 32 << 20
+#: Bytes of text whose words are told apart in one go; a longer text is taken by itself.
+RUN_BYTES = 8 << 20
+#: Words whose ids are put together in one go, one text's at least.
+JOINED_WORDS = 1 << 18
 
 
 class Pieces:
@@ -57,19 +56,36 @@ class Pieces:
         self.packed = {name: i.to_bytes(4, sys.byteorder) for name, i in self.ids.items()}
         self.special = special - set(self.byte_ids)
         self.bodies: np.ndarray | None = None
-        # Every end of a piece, with the piece's score or minus infinity: going left from a
-        # character, the search stops at the first string that ends no piece.
-        self.ends = dict.fromkeys((name[k:] for name in self.ids for k in range(1, len(name))), float("-inf"))
-        self.ends.update(self.scores)
-
-    def encode_sorted(self, words: Iterable[str], out: dict[str, bytes]) -> None:
-        """Put the best path (ids as packed 32-bit numbers) of each word into ``out``;
+        # Trie of the pieces read from their ends, a space for each mark: a character leads to
+        # (what may stand to its left, score and packed id of the piece that begins here).
+        self.by_end: dict[str, tuple] = self._trie()
+
+    def _trie(self) -> dict[str, tuple]:
+        root: dict = {}
+        for name in self.ids:
+            node = root
+            for char in reversed(name.replace(MARK, " ")):
+                node = node.setdefault(char, {})
+            node[""] = name
+
+        def closed(node: dict) -> dict[str, tuple]:
+            out = {}
+            for char, below in node.items():
+                name = below.pop("", None)
+                out[char] = (closed(below) or None, self.scores.get(name), self.packed.get(name))
+            return out
+
+        return closed(root)
+
+    def encode_sorted(self, words: Iterable[str]) -> list[bytes]:
+        """The best path (ids as packed 32-bit numbers) of each word, a space for each mark;
         words come in ascending order."""
         best = [0.0]  # best score of each prefix of the current word,
         back = [0]  # where its last piece begins,
         tail: list[bytes] = [b""]  # and the ids of that piece
         before = ""
-        score_of, packed, unknown = self.ends.get, self.packed, self.unknown
+        ending, unknown = self.by_end.get, self.unknown
+        out = []
         for word in words:
             shared = 0
             for a, b in zip(before, word):
@@ -77,24 +93,23 @@ class Pieces:
                     break
                 shared += 1
             del best[shared + 1 :], back[shared + 1 :], tail[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                begin = at = end - 1
-                piece = last = word[begin]
-                top = best[begin] + unknown
-                score = score_of(piece)
-                while score is not None:
-                    score += best[begin]
-                    if score >= top:
-                        top, at, last = score, begin, piece
-                    if not begin:
+            for last in range(shared, len(word)):
+                begin = at = last
+                top, ids = best[last] + unknown, None
+                found = ending(word[last])
+                while found is not None:
+                    more, score, packed = found
+                    if score is not None:
+                        score += best[begin]
+                        if score >= top:
+                            top, at, ids = score, begin, packed
+                    if more is None or not begin:
                         break
                     begin -= 1
-                    piece = word[begin:end]
-                    score = score_of(piece)
-                best.append(top)
-                ids = packed.get(last)
+                    found = more.get(word[begin])
                 if ids is None:
-                    ids = np.array([self.byte_ids[b] for b in last.encode()], np.int32).tobytes()
+                    ids = np.array([self.byte_ids[b] for b in word[last].encode()], np.int32).tobytes()
+                best.append(top)
                 back.append(at)
                 tail.append(ids)
             at, parts = len(word), []
@@ -102,8 +117,9 @@ class Pieces:
                 parts.append(tail[at])
                 at = back[at]
             parts.reverse()
-            out[word] = b"".join(parts)
+            out.append(b"".join(parts))
             before = word
+        return out
 
     def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """Texts of the lists ``ids[ends[k]:ends[k + 1]]``."""
@@ -134,50 +150,49 @@ def load(model_file: str) -> Pieces:
     return Pieces(model_file)
 
 
-def marked_words(text: str) -> list[str]:
-    if not text:
-        return []
-    if "  " in text or MARK in text or text[0] == " ":
-        return _WORD.findall(MARK + text.replace(" ", MARK))
-    return (MARK + text.replace(" ", " " + MARK)).split(" ")
-
-
-class Kept(dict):
-    """Words with their ids, and the bytes that both take."""
-
-    held = 0
-
-    def grow(self, words: Iterable[str]) -> None:
-        words = list(words)
-        self.held += sum(map(sys.getsizeof, words)) + sum(map(sys.getsizeof, map(self.__getitem__, words)))
-
-
-def encode_texts(texts: list[str], model: Pieces, known: Kept) -> list[np.ndarray]:
-    """Ids of each text; ``known`` keeps words from call to call."""
-    cut = [marked_words(t) for t in texts]
-    fresh = set().union(*cut).difference(known)
-    model.encode_sorted(sorted(fresh), known)
-    known.grow(fresh)
-    out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
-    _forget(known)
-    return out
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The marked words of all texts, a space for each mark, and where each text's words begin."""
+    texts = pc.replace_substring(pc.fill_null(texts, ""), MARK, " ")
+    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
+    data, at = flat(texts)
+    space = data == 32
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[at[:-1][np.diff(at) > 0]] = True
+    begin = np.flatnonzero(begins)
+    offsets = np.append(begin, len(data)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+    return words, np.searchsorted(begin, at)
+
+
+def encode_column(texts: pa.Array, model: Pieces) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(row, end row, ids, where each text's ids begin)`` of runs of texts."""
+    words, first = _words(texts)
+    coded = words.dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary)
+    bodies = model.encode_sorted(coded.dictionary.take(order).to_pylist())
+    sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+    begins = np.cumsum(sizes) - sizes
+    all_ids = np.frombuffer(b"".join(bodies), np.int32)
+    place = np.empty(len(order), np.int64)  # of each distinct word in ascending order
+    place[order.to_numpy()] = np.arange(len(order))
+    number = coded.indices.to_numpy()
+    row = 0
+    while row < len(texts):
+        end = int(np.searchsorted(first, first[row] + JOINED_WORDS, side="right")) - 1
+        end = min(max(end, row + 1), len(texts))
+        own = place[number[first[row] : first[end]]]
+        size = sizes[own]
+        at = np.concatenate([[0], np.cumsum(size)])
+        ids = all_ids[np.repeat(begins[own] - at[:-1], size) + np.arange(at[-1])]
+        yield row, end, ids, at[first[row : end + 1] - first[row]]
+        row = end
 
 
-def _forget(known: Kept) -> None:
-    """Drop the oldest words if there are too many, or if they take too many bytes."""
-    held = known.held
-    if len(known) <= KEPT_WORDS and held <= KEPT_BYTES:
-        return
-    gone, words = [], len(known)
-    for word, ids in known.items():
-        if words <= KEPT_WORDS * 3 // 4 and held <= KEPT_BYTES * 3 // 4:
-            break
-        gone.append(word)
-        words -= 1
-        held -= sys.getsizeof(word) + sys.getsizeof(ids)
-    for word in gone:
-        del known[word]
-    known.held = held
+def encode_texts(texts: list[str | None], model: Pieces) -> list[np.ndarray]:
+    """Ids of each text."""
+    runs = encode_column(pa.array(texts, pa.string()), model)
+    return [ids[a:b] for _, _, ids, ends in runs for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str = "piece_ids", keep: list[str] | None = None) -> DataFrame:
@@ -185,21 +200,17 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
     kept = [c for c in (keep or docs.columns) if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = load(model_file), Kept()
+        model = load(model_file)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                texts = [t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
-                ids = encode_texts(texts, model, known)
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-                flat_ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.record_batch(
-                    [
-                        *(part.column(part.schema.get_field_index(c)) for c in kept),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_ids, pa.int32())),
-                    ],
-                    names=[*kept, out],
-                )
+            for part in pieces(batch, text_col, RUN_BYTES):
+                for row, end, ids, ends in encode_column(part.column(part.schema.get_field_index(text_col)), model):
+                    yield pa.record_batch(
+                        [
+                            *(part.column(part.schema.get_field_index(c)).slice(row, end - row) for c in kept),
+                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
+                        ],
+                        names=[*kept, out],
+                    )
 
     schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(f"`{out}` array<int>").fields)
     needed = list(dict.fromkeys([*kept, text_col]))

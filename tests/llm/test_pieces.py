@@ -48,7 +48,7 @@ def test_best_path_and_round_trip(spark, model):
     texts = [r.text for r in table(spark, SF, "documents").limit(40).collect()]
     rnd = random.Random(2)
     texts += ["".join(rnd.choice("ab  \n\tthe日é①") for _ in range(rnd.randint(0, 40))) for _ in range(200)]
-    ids = pieces.encode_texts(texts, model, pieces.Kept())
+    ids = pieces.encode_texts(texts, model)
     for text, own in zip(texts, ids, strict=True):
         assert score(own.tolist(), model) == pytest.approx(brute(text, model))
     ends = [0]
@@ -73,7 +73,7 @@ def test_against_the_library(spark, model):
     same = 0
     for word in words:
         theirs = library.nbest_encode_as_ids(word, 1)[0]
-        own = pieces.encode_texts([word], model, pieces.Kept())[0].tolist()
+        own = pieces.encode_texts([word], model)[0].tolist()
         assert score(own, model) >= score(theirs, model) - 1e-3
         same += own == theirs
     assert same >= 0.97 * len(words)
@@ -101,12 +101,14 @@ def test_foreign_ids(spark):
     assert [got[k]["decoded"] for k in (1, 2, 3, 4)] == ["", "", "", "�"]
 
 
-def test_kept_words_are_bounded(model, monkeypatch):
-    monkeypatch.setattr(pieces, "KEPT_WORDS", 10)
-    known = pieces.Kept()
-    for k in range(5):
-        pieces.encode_texts([" ".join(f"w{k}x{j}" for j in range(8))], model, known)
-        assert len(known) <= 10
+def test_runs_of_texts(spark, model, monkeypatch):
+    """The same ids whatever texts share a run, and however the runs are put together."""
+    texts = [r.text for r in table(spark, SF, "documents").limit(30).collect()] + [None, "", "a  b", "日 ①"]
+    want = [own.tolist() for text in texts for own in pieces.encode_texts([text], model)]
+    assert [own.tolist() for own in pieces.encode_texts(texts, model)] == want
+    monkeypatch.setattr(pieces, "JOINED_WORDS", 7)
+    assert [own.tolist() for own in pieces.encode_texts(texts, model)] == want
+    assert pieces.encode_texts([], model) == []
 
 
 def test_memory_is_linear_in_a_word(model):
@@ -117,7 +119,7 @@ def test_memory_is_linear_in_a_word(model):
     long = "".join(rnd.choice("abcdefgh日é①=+/\n") for _ in range(20_000))
     texts = [long + "x", long + "yz"]
     tracemalloc.start()
-    ids = pieces.encode_texts(texts, model, pieces.Kept())
+    ids = pieces.encode_texts(texts, model)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 30 << 20
@@ -128,9 +130,14 @@ def test_memory_is_linear_in_a_word(model):
     assert score(ids[0].tolist(), model) == pytest.approx(brute(texts[0], model))
 
 
-def test_kept_words_are_bounded_by_bytes(model, monkeypatch):
-    monkeypatch.setattr(pieces, "KEPT_BYTES", 20_000)
-    known = pieces.Kept()
-    for k in range(5):
-        pieces.encode_texts([f"{k}" + "ab" * 3000], model, known)
-        assert sum(map(len, known)) < 20_000
+def test_nothing_is_kept_from_run_to_run(model):
+    import tracemalloc
+
+    pieces.encode_texts(["warm"], model)
+    tracemalloc.start()
+    held = []
+    for k in range(4):
+        pieces.encode_texts([f"{k}" + "ab" * 30_000, " ".join(f"w{k}x{j}" for j in range(20_000))], model)
+        held.append(tracemalloc.get_traced_memory()[0])
+    tracemalloc.stop()
+    assert max(held) < 1 << 20
