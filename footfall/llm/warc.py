@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1"
-_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_DROP = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|html|"
     r"body|head|title|li|main|nav|ol|p|pre|section|table|tbody|thead|tr|ul)\b[^>]*>",
@@ -31,10 +31,12 @@ _BREAK = re.compile(
 )
 _CELL = re.compile(r"</?t[dh]\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>|<![^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
-_CHARSET = re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
+# An element, one of its attributes and what counts as its value.
+_LANG = (re.compile(r"<html\b", re.I), re.compile(r"\blang\s*=", re.I), re.compile(r"""\s*["']?([A-Za-z-]+)"""))
+_CHARSET = (re.compile(r"<meta\b", re.I), re.compile(r"\bcharset\s*=", re.I), re.compile(r"""\s*["']?([A-Za-z0-9_-]+)"""))
+_LINK = (re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=", re.I), re.compile(r"""\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""))
 
 
 def digest(body: bytes) -> str:
@@ -45,14 +47,62 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(chr(0).join(parts).encode()).digest())}>"
 
 
+def _without_hidden(page: str) -> str:
+    """The page without comments, scripts and the like; one that is not closed goes to the end."""
+    kept, at = [], 0
+    while start := _DROP.search(page, at):
+        if start[1] is None:
+            end = page.find("-->", start.end())
+            end = end + 3 if end >= 0 else len(page)
+        else:
+            body = page.find(">", start.end())
+            if body < 0:  # no tag ends behind here: only a comment may follow
+                end = page.find("<!--", start.end())
+                return "".join(kept) + page[at : end if end >= 0 else len(page)]
+            close = re.compile(rf"</{start[1]}\s*>", re.I).search(page, body + 1)
+            end = close.end() if close else len(page)
+        kept.append(page[at : start.start()])
+        at = end
+    return "".join(kept) + page[at:]
+
+
+def _replaced(tags: re.Pattern, by: str, page: str) -> str:
+    """No tag ends behind the last ``>``, so none is looked for there."""
+    end = page.rfind(">") + 1
+    return tags.sub(by, page[:end]) + page[end:]
+
+
 def plain_text(page: str) -> str:
     """Visible text: a line per block, one space within lines, no blank lines."""
-    page = _BREAK.sub("\n", _DROP.sub("", page))
-    page = html.unescape(_TAG.sub("", _CELL.sub(" ", page)))
+    page = _replaced(_BREAK, "\n", _without_hidden(page))
+    page = html.unescape(_replaced(_TAG, "", _replaced(_CELL, " ", page)))
     lines = (" ".join(line.split()) for line in page.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _title(page: str) -> str:
+    start = _TITLE.search(page)
+    body = page.find(">", start.end()) + 1 if start else 0
+    end = _TITLE_END.search(page, body) if body else None
+    return _one_line(html.unescape(_replaced(_TAG, "", page[body : end.start()]))) if end else ""
+
+
+def _values(page: str, element: re.Pattern, name: re.Pattern, value: re.Pattern) -> Iterator[re.Match]:
+    """The first value of an attribute in each element of a kind. What holds none up to the next
+    ``>`` is passed over at once."""
+    at = 0
+    while start := element.search(page, at):
+        stop = page.find(">", start.end())
+        stop = len(page) if stop < 0 else stop
+        place, found = start.end(), None
+        while found is None and (named := name.search(page, place, stop)):
+            place = named.end()
+            found = value.match(page, place)
+        if found:
+            yield found
+        at = found.end() if found else stop
+
+
 def _one_line(text: str) -> str:
     return " ".join(text.split())
 
@@ -101,14 +151,13 @@ def derive(record: bytes) -> dict:
     page = body.decode("utf-8", "replace")
     source = known.get("warc-record-id", "")
     text = plain_text(page)
-    links = [html.unescape(next(g for g in m.groups(default="") if g)) for m in _LINK.finditer(page) if any(m.groups())]
-    title = _TITLE.search(page)
+    links = [html.unescape(next(g for g in m.groups(default="") if g)) for m in _values(page, *_LINK) if any(m.groups())]
     fields = [
         ("status", (http_lines[0].split(" ") + ["", ""])[1]),
         *(("http-" + n.strip().lower(), v.strip()) for n, _, v in (h.partition(":") for h in http_lines[1:]) if n),
-        ("title", _one_line(html.unescape(_TAG.sub("", title[1]))) if title else ""),
-        ("language", m[1] if (m := _LANG.search(page)) else ""),
-        ("charset", m[1].lower() if (m := _CHARSET.search(page)) else ""),
+        ("title", _title(page)),
+        ("language", next((m[1] for m in _values(page, *_LANG)), "")),
+        ("charset", next((m[1].lower() for m in _values(page, *_CHARSET)), "")),
         ("source-block-digest", known.get("warc-block-digest", digest(block))),
         ("source-payload-digest", known.get("warc-payload-digest", digest(body))),
         *(("outlink", _one_line(link)) for link in links),

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import glob
 import hashlib
+import html
+import random
+import re
+import time
 
 from footfall.llm import warc
 from footfall.llm.queries import FETCHED, op2_warc
@@ -66,3 +70,35 @@ def test_odd_pages_and_files(spark, tmp_path):
     nothing = spark.createDataFrame([(1, None)], "page_id long, record binary")
     assert warc.derivatives(nothing, "page_id").collect()[0].text is None
     assert warc.derivatives(nothing.limit(0), "page_id").count() == 0
+
+
+def test_pages_against_single_patterns():
+    """Brute force: one backtracking pattern for each thing that is looked for."""
+    drop = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+    title = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
+    patterns = [
+        (warc._LANG, re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)),
+        (warc._CHARSET, re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)),
+        (warc._LINK, re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)),
+    ]
+    parts = ["<a ", "<A", "href", "=", '"', "'", ">", "<", "</a>", "x", " ", "\n", "<!--", "-->", "<script", "</SCRIPT >", "</script>", "<style>",
+             "</style>", "<title", "</title>", "<html ", "lang=", "<meta ", "charset = ", "utf-8", "<p>", "<td>", "&amp;", "<!x", "/"]
+    rnd = random.Random(8)
+    for _ in range(6000):
+        page = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25)))
+        assert warc._without_hidden(page) == drop.sub("", page), page
+        for ours, pattern in patterns:
+            assert [m.groups() for m in warc._values(page, *ours)] == [m.groups() for m in pattern.finditer(page)], page
+        for tags in (warc._BREAK, warc._CELL, warc._TAG):
+            assert warc._replaced(tags, " ", page) == tags.sub(" ", page)
+        found = title.search(page)
+        want = " ".join(html.unescape(warc._TAG.sub("", found[1])).split()) if found else ""
+        assert warc._title(page) == want, page
+
+
+def test_unclosed_tags_take_linear_time():
+    n = 80_000
+    for page in ("<a " * n, "<a " * n + ">", "<p " * n, "<script " * n, "<title>" * n, "<title " * n, "<html " * n, "<!--" * n, "<" * n, "</" * n + ">"):
+        began = time.process_time()
+        warc.derive(warc.response_record("http://x", page, "2024-01-01T00:00:00Z"))
+        assert time.process_time() - began < 2
