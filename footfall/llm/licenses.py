@@ -10,6 +10,7 @@ Null counts as the empty text, which has no words and no labels. Spans are in co
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -105,6 +106,11 @@ def fuzzy_notices(low: bytes) -> list[tuple[int, int, str, int]]:
                 open_ = windows.setdefault(number, [])
                 open_.append([begin, end])
             at = low.find(seed, at + 1)
+    if not windows:
+        return []
+    # Code points before each byte.
+    places = np.zeros(len(low) + 1, np.int32)
+    np.cumsum(np.frombuffer(low, np.uint8) & 0xC0 != 0x80, out=places[1:])
     found = []
     for number, spans in windows.items():
         _, label, _, levels = rules[number]
@@ -120,18 +126,19 @@ def fuzzy_notices(low: bytes) -> list[tuple[int, int, str, int]]:
                 begin -= 1
             while end < len(low) and low[end] & 0xC0 == 0x80:
                 end += 1
-            base = sum(1 for b in low[:begin] if b & 0xC0 != 0x80) if begin else 0
+            base = int(places[begin])
             text = low[begin:end].decode("utf-8", "replace")
             found += [(base + start, base + stop, label, errors) for start, stop, errors in _copies(text, levels)]
     return _best(found)
 
 
 def _best(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
-    kept: dict[str, list[tuple]] = {}
+    kept: dict[str, list[tuple]] = {}  # by start; finds of one label do not overlap
     for hit in sorted(found, key=lambda h: (h[3], h[0] - h[1], h[0])):
         own = kept.setdefault(hit[2], [])
-        if all(hit[1] <= k[0] or hit[0] >= k[1] for k in own):
-            own.append(hit)
+        at = bisect_left(own, hit[0], key=lambda k: k[0])
+        if (at == 0 or own[at - 1][1] <= hit[0]) and (at == len(own) or hit[1] <= own[at][0]):
+            own.insert(at, hit)
     return sorted(h for own in kept.values() for h in own)
 
 

@@ -75,3 +75,17 @@ def test_unlike_copies_in_one_text():
         found = licenses.fuzzy_notices(text.encode())
         assert [text[a:b] for a, b, *_ in found] == some
         assert [e for *_, e in found] == [{0: 1, 1: 0, 2: 2, 3: 1, 4: 3, 5: 0}[copies.index(c)] for c in some]
+
+
+def test_thousands_of_notices_take_linear_time():
+    import time
+
+    one = "é" * 40 + " released under teh mit license; "
+    n = 3000
+    began = time.process_time()
+    got = licenses.fuzzy_notices((one * n).encode())
+    assert time.process_time() - began < 20
+    alone = licenses.fuzzy_notices(one.encode())
+    assert len(alone) == 1 and len(got) == n
+    start, end, label, errors = alone[0]
+    assert got == [(start + k * len(one), end + k * len(one), label, errors) for k in range(n)]
