@@ -110,9 +110,19 @@ class StateTable:
     def _write(self, state: DataFrame, buckets: int, batch: int) -> dict[str, tuple[str, int]]:
         spark = state.sparkSession
         name = f"rows/{batch:020d}-{uuid.uuid4().hex[:8]}"
-        dealt = state.select(*self.schema.fieldNames(), self.bucket_of(buckets).alias(BUCKET))
-        dealt = dealt.coalesce(1) if buckets == 1 else dealt.repartition(BUCKET)
-        dealt.write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")
+        state = state.select(*self.schema.fieldNames())
+        # Tasks of bounded size, also for a bucket that one batch makes large; what is little goes
+        # into one file. The steps before keep their own tasks.
+        if buckets == 1:
+            # Needs no sorting by bucket, however large a first state is.
+            only = f"{name}/{BUCKET}=0"
+            state.hint("rebalance", self.keys[0]).write.parquet(f"{self.path}/{only}")
+            # No rows replace no bucket.
+            if self._read(spark, {"folders": {"0": only}}).isEmpty():
+                return {}
+        else:
+            dealt = state.withColumn(BUCKET, self.bucket_of(buckets)).hint("rebalance", BUCKET)
+            dealt.write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")
         written = [n for n in files.names(spark, f"{self.path}/{name}") if n.startswith(f"{BUCKET}=")]
         return {n.partition("=")[2]: (f"{name}/{n}", files.size(spark, f"{self.path}/{name}/{n}")) for n in written}
 

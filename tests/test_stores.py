@@ -6,6 +6,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +86,14 @@ def test_a_small_batch_writes_little_whatever_the_size_of_the_state(spark, tmp_p
     assert written[1] < 2 * written[0]
 
 
+def test_a_first_state_is_made_by_many_tasks(spark, tmp_path):
+    table = StateTable(str(tmp_path / "state"), STATE)
+    task = F.udf(lambda _: TaskContext.get().taskAttemptId(), "long")
+    table.write(spark.range(0, 800, 1, 8).select(F.concat(F.lit("d"), "id").alias("device_id"), task("id").alias("n")), 0)
+    kept = table.after(spark, 0)
+    assert kept.count() == 800 and kept.select("n").distinct().count() == 8
+
+
 def test_buckets_double_and_old_versions_go(spark, tmp_path):
     table = StateTable(str(tmp_path / "state"), STATE, bucket_bytes=2_000)
     for batch in range(4):
