@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,11 @@ from footfall.llm.tables import trimmed
 
 MARK = "▁"
 #: Bytes of text whose words are told apart in one go; a longer text is taken by itself.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 2 << 20
 #: Words whose ids are put together in one go, one text's at least.
 JOINED_WORDS = 1 << 18
+#: Lists of ids decoded in one go.
+DECODED_LISTS = 256
 
 
 class Pieces:
@@ -56,11 +58,12 @@ class Pieces:
         self.packed = {name: i.to_bytes(4, sys.byteorder) for name, i in self.ids.items()}
         self.special = special - set(self.byte_ids)
         self.bodies: np.ndarray | None = None
-        # Trie of the pieces read from their ends, a space for each mark: a character leads to
-        # (what may stand to its left, score and packed id of the piece that begins here).
-        self.by_end: dict[str, tuple] = self._trie()
 
-    def _trie(self) -> dict[str, tuple]:
+    @cached_property
+    def by_end(self) -> dict[str, tuple]:
+        """Trie of the pieces read from their ends, a space for each mark: a character leads to
+        (what may stand to its left, score and packed id of the piece that begins here). It is the
+        larger part of a model's memory, and decoding does without."""
         root: dict = {}
         for name in self.ids:
             node = root
@@ -195,9 +198,28 @@ def encode_texts(texts: list[str | None], model: Pieces) -> list[np.ndarray]:
     return [ids[a:b] for _, _, ids, ends in runs for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
-def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str = "piece_ids", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns but ``out`` by default) and the ids of the text. No shuffle."""
-    kept = [c for c in (keep or docs.columns) if c != out]
+def _decoded(ids: np.ndarray, ends: np.ndarray, model: Pieces) -> pa.Array:
+    texts = []
+    for begin in range(0, len(ends) - 1, DECODED_LISTS):
+        own = ends[begin : begin + DECODED_LISTS + 1]
+        texts += model.decode_all(ids[own[0] : own[-1]], own - own[0])
+    return pa.array(texts, pa.string())
+
+
+def encode(
+    docs: DataFrame,
+    model_file: str,
+    text_col: str = "text",
+    out: str = "piece_ids",
+    keep: list[str] | None = None,
+    back: str | None = None,
+) -> DataFrame:
+    """``keep`` (all columns but ``out`` and ``back`` by default) and the ids of the text. No shuffle.
+
+    ``back`` names a column for the text that these ids decode to, as :func:`decode` gives it, but
+    by the same worker: two steps in Python in a row keep twice the workers and models."""
+    new = [out, *([back] if back else [])]
+    kept = [c for c in (keep or docs.columns) if c not in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_file)
@@ -208,11 +230,13 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out: str =
                         [
                             *(part.column(part.schema.get_field_index(c)).slice(row, end - row) for c in kept),
                             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
+                            *([_decoded(ids, ends, model)] if back else []),
                         ],
-                        names=[*kept, out],
+                        names=[*kept, *new],
                     )
 
-    schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(f"`{out}` array<int>").fields)
+    types = f"`{out}` array<int>" + (f", `{back}` string" if back else "")
+    schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(types).fields)
     needed = list(dict.fromkeys([*kept, text_col]))
     return docs.select(*needed).mapInArrow(trimmed(run), schema)
 
@@ -225,8 +249,8 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "piece_ids", out: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_file)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin in range(0, batch.num_rows, DECODED_LISTS):
+                part = batch.slice(begin, DECODED_LISTS)
                 lists = part.column(part.schema.get_field_index(ids_col))
                 ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
                 texts = model.decode_all(lists.flatten().to_numpy(zero_copy_only=False), ends)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
+import corpus_pipeline
 from footfall.llm import pieces
 from footfall.llm.queries import model_file, op7_sentencepiece
 from footfall.llm.tables import table
@@ -101,6 +103,20 @@ def test_foreign_ids(spark):
     assert [got[k]["decoded"] for k in (1, 2, 3, 4)] == ["", "", "", "�"]
 
 
+def test_ids_and_texts_from_one_worker(spark):
+    """The same as encoding and then decoding, in one step of Python; decoding alone builds no trie."""
+    texts = [*ODD, " lead", "a  b", "▁", "x▁y", *[f"text {k} of many" for k in range(600)]]
+    docs = documents(spark, texts)
+    once = pieces.encode(docs, model_file(), back="decoded")
+    twice = pieces.decode(pieces.encode(docs, model_file()), model_file())
+    assert once.columns == twice.columns and by_id(once) == by_id(twice)
+    stage = corpus_pipeline.encode_pieces(spark, table(spark, SF, "documents"), SF)
+    assert stage._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+    fresh = pieces.Pieces(model_file())
+    fresh.decode_all(np.array([300, 400]), np.array([0, 2]))
+    assert "by_end" not in vars(fresh)
+
+
 def test_runs_of_texts(spark, model, monkeypatch):
     """The same ids whatever texts share a run, and however the runs are put together."""
     texts = [r.text for r in table(spark, SF, "documents").limit(30).collect()] + [None, "", "a  b", "日 ①"]
