@@ -299,9 +299,13 @@ def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> DataFrame:
         moment = F.col("event_time")
+        # The events that the log is made of still have ``k``, so nothing is joined. Dealt by message
+        # before they are made, the readings need no lists of their own for each task they come from.
         readings = (
-            counter_log(spark, sf_dir)
-            .join(events(spark, sf_dir).select(F.col("event_id").alias("id"), "k"), "id")
+            counted_events(spark, sf_dir)
+            .filter("event_id is not null")
+            .select(*_log_columns(), "k")
+            .repartition(F.floor(F.col("id") / MESSAGE_SIZE))
             .select(
                 F.floor(F.col("id") / MESSAGE_SIZE).alias("arrival"),
                 "id", "k", moment.alias("at"), _message_element().alias("element"),

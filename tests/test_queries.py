@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from footfall import fixtures as fx
 from tests.compare import connect, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +31,12 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_payloads_are_made_without_the_events_and_the_log(spark, monkeypatch):
+    want = spark_rows(fx.raw_payloads(spark, SF))
+    kept = {key: path for key, path in fx._paths.items() if key[2] == "counted"}
+    monkeypatch.setattr(fx, "_paths", kept)
+    monkeypatch.setattr(fx, "events", None)
+    monkeypatch.setattr(fx, "counter_log", None)
+    assert spark_rows(fx.raw_payloads(spark, SF)) == want
