@@ -173,8 +173,9 @@ _PACKED = "low4 binary, low1 binary, counts binary, nodes binary, comps binary,
 _NAMES = [p.split()[0] for p in _PACKED.split(", ")]
 
 
-def _pack(keys, entry, node, comp, size, band, weight, parts: int) -> Iterator[tuple]:
-    """``(part, *packed columns)``: the keys of one part, in order of their entries."""
+def _pack(keys: np.ndarray, entry: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tuple]:
+    """``(part, low4, low1, counts, *columns)``: the keys of one part, in order of their entries,
+    the number of keys of each entry there, and the entries' values."""
     part = ((keys >> LOW_BITS) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     keys, entry, part = keys[order] & _LOW, entry[order], part[order]
@@ -183,20 +184,25 @@ def _pack(keys, entry, node, comp, size, band, weight, parts: int) -> Iterator[t
         a, b = edges[p], edges[p + 1]
         own = entry[a:b]
         starts = np.flatnonzero(np.diff(own, prepend=-1))
-        some = own[starts]
         yield (
             p,
             (keys[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
             (keys[a:b] >> np.uint64(32)).astype(np.uint8).tobytes(),
-            np.diff(np.append(starts, b - a)).astype(np.uint32).tobytes(),
-            node[some].tobytes(),
-            comp[some].tobytes(),
-            size[some].astype(np.uint32).tobytes(),
-            band[some].astype(np.uint8).tobytes(),
-            weight[some].astype(np.uint16).tobytes(),
+            _planes(np.diff(np.append(starts, b - a))),
+            *(c[own[starts]].tobytes() for c in columns),
         )
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """32-bit counts, their lowest bytes first and their highest last: most are small, so what
+    is sent shrinks to a byte each."""
+    return counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(rows: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(r, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel() for r in rows])
+
+
 class _Part:
     """What reached one task: the nodes' entries (one for each band), and their keys."""
 
@@ -214,7 +220,7 @@ class _Part:
         self.node, self.comp, self.size, self.band = node[where], comp[where], size[where], band[where]
         # Leaders: the largest weight first, then by a hash.
         self.lead = ((np.uint64(0xFFFF) - column(7, np.uint16)[where].astype(np.uint64)) << np.uint64(48))
-        self.entry_of = np.repeat(same.astype(np.int32), column(2, np.uint32))
+        self.entry_of = np.repeat(same.astype(np.int32), _from_planes([r[3] for r in rows]))
 
     def groups(self) -> Iterator[_Groups]:
         """The keys in ranges, so that one range's arrays are in memory at a time."""
@@ -261,82 +267,160 @@ class _Groups:
         return np.bincount(pairs % entries, minlength=entries)
 
 
+_ABOVE = np.uint64(1)
+
+
+def _tags(node: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """What tells a node's two bands apart: the lowest bit of its id gives way."""
+    return (node.view(np.uint64) & ~_ABOVE) | above.astype(np.uint64)
+
+
+def _home(tags: np.ndarray, parts: int) -> np.ndarray:
+    """The part where all about a node meets, from either of its tags or from its id."""
+    return ((tags >> _ABOVE) % np.uint64(parts)).astype(np.int32)
+
+
+_TAGGED = "low4 binary, low1 binary, counts binary, tags binary"
+
+
 def _first_pass(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """Rows ``(id, n, node)`` of all documents and ``(n, node, band, credit)`` of all nodes."""
+    """Rows ``(id, n, node)`` of all documents and ``(n, node, band, missing)`` of all nodes that
+    lack blocks of their own.
+
+    With many parts a set's keys go to as many of them, so what goes with each key counts: only
+    the set's tag. Sizes and the numbers of full blocks go once, with the document, and only
+    the blocks that other sets have too are sent back."""
     kind = dict(docs.dtypes)[id_col]
-    sent = f"part int, id {kind}, n long, node long, {_PACKED}"
-    sent_names = ["part", "id", "n", "node", *_NAMES]
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+    doc_names = ["part", "id", "n", "node", "full", "wide"]
+    doc = f"part int, id {kind}, n long, node long, full int, wide int"
+    doc_types = [pa.int32(), id_type, pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+
+    def packed(rows: list[tuple], columns: int) -> list[pa.Array]:
+        """Rows ``(part, *binary columns)`` beside the empty columns of documents."""
+        part, *rest = list(zip(*rows, strict=True)) or [()] * (columns + 1)
+        none = [pa.nulls(len(rows), t) for t in doc_types[1:]]
+        return [pa.array(part, pa.int32()), *none, *(pa.array(c, pa.binary()) for c in rest)]
+
+    def apart(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[tuple]]:
+        """The documents of a batch and its packed rows."""
+        is_doc = batch.column(6).is_null()
+        sent = batch.filter(pc.invert(is_doc))
+        columns = (sent.column(k).to_pylist() for k in (0, *range(6, batch.num_columns)))
+        return batch.filter(is_doc), list(zip(*columns, strict=True))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*doc_names, "low4", "low1", "counts", "tags"]
         for batch in batches:
-            held = []
+            held, base = [], 0
             for piece in pieces(batch, text_col):
                 sets, first = shingle_sets(*flat(piece.column(1)))
                 sizes, node = np.diff(first), node_ids(sets, first)
                 bare = (sizes == 0) | piece.column(0).is_null().to_numpy(zero_copy_only=False)
-                rows = piece.num_rows
-                none = pa.nulls(rows, pa.binary())
+                keys, entry, number, _ = block_keys(sets, first)
+                above = np.diff(number, prepend=-1) == 0
+                full = np.zeros((2, piece.num_rows), np.int32)
+                full[above.astype(np.int64), number] = np.bincount(entry, minlength=len(number))
                 yield pa.record_batch(
                     [
-                        pa.array((node % parts).astype(np.int32)), piece.column(0), pa.array(sizes, pa.int64()),
-                        pa.array(node, pa.int64(), mask=bare), *([none] * len(_NAMES)),
+                        pa.array(_home(node.view(np.uint64), parts)), piece.column(0), pa.array(sizes, pa.int64()),
+                        pa.array(node, pa.int64(), mask=bare), pa.array(full[0]), pa.array(full[1]),
+                        *([pa.nulls(piece.num_rows, pa.binary())] * 4),
                     ],
-                    names=sent_names,
+                    names=names,
                 )
-                keys, entry, number, band = block_keys(sets, first)
                 if bare.any():
                     kept = ~bare[number][entry]
                     keys, entry = keys[kept], entry[kept]
-                held.append((keys, entry, node[number], sizes[number], band))
+                held.append((keys, entry + base, _tags(node[number], above)))
+                base += len(number)
             if held:
-                yield _sent(held, parts, piece.schema.field(0).type, sent_names)
+                keys, entry, tags = (np.concatenate(h) for h in zip(*held, strict=True))
+                yield pa.record_batch(packed(list(_pack(keys, entry, parts, tags)), 4), names=names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        names, rows = [*doc_names, "tags", "shared"], []
         for batch in batches:
-            is_doc = batch.column(4).is_null()
-            docs_only = batch.filter(is_doc)
-            none = [pa.nulls(docs_only.num_rows, pa.binary())] * 4
-            yield pa.record_batch([*docs_only.columns[:4], *none], names=counted_names)
-            packed = batch.filter(pc.invert(is_doc))
-            rows += zip(packed.column(0).to_pylist(), *(packed.column(4 + k).to_pylist() for k in range(len(_NAMES))), strict=True)
-        if rows:
-            part = _Part(rows)
-            credit = sum(g.credits(g.settled()) for g in part.groups())
-            credits = _packed_credits(part, credit, parts)
-            none = [pa.nulls(len(credits), t) for t in (id_type, pa.int64(), pa.int64())]
-            columns = list(zip(*credits, strict=True))
-            yield pa.record_batch(
-                [pa.array(columns[0], pa.int32()), *none, *(pa.array(c, pa.binary()) for c in columns[1:])],
-                names=counted_names,
-            )
+            own, sent = apart(batch)
+            rows += sent
+            yield pa.record_batch([*own.columns[:6], *([pa.nulls(own.num_rows, pa.binary())] * 2)], names=names)
+        for part in sorted({r[0] for r in rows}):
+            tags, shared = _shared_blocks([r[1:] for r in rows if r[0] == part])
+            home = _home(tags, parts)
+            order = np.argsort(home, kind="stable")
+            edges = np.searchsorted(home[order], np.arange(parts + 1))
+            back = [
+                (p, tags[order[edges[p] : edges[p + 1]]].tobytes(), _planes(shared[order[edges[p] : edges[p + 1]]]))
+                for p in np.flatnonzero(np.diff(edges)).tolist()
+            ]
+            yield pa.record_batch(packed(back, 2), names=names)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        names, rows, nodes = ["id", "n", "node", "band", "missing"], [], []
         for batch in batches:
-            is_doc = batch.column(4).is_null()
-            docs_only = batch.filter(is_doc)
-            none = [pa.nulls(docs_only.num_rows, t) for t in (pa.int32(), pa.int64())]
-            yield pa.record_batch([*docs_only.columns[1:4], *none], names=["id", "n", "node", "band", "missing"])
-            packed = batch.filter(pc.invert(is_doc))
-            rows += zip(*(packed.column(k).to_pylist() for k in range(4, 8)), strict=True)
-        if rows:
-            node, size, band, missing = _lacking(rows)
+            own, sent = apart(batch)
+            rows += [r[1:] for r in sent]
+            none = [pa.nulls(own.num_rows, t) for t in (pa.int32(), pa.int64())]
+            yield pa.record_batch([*own.columns[1:4], *none], names=names)
+            some = own.filter(own.column(3).is_valid())
+            nodes.append(np.stack([some.column(k).to_numpy().astype(np.int64) for k in (2, 3, 4, 5)]))
+        if nodes:
+            node, size, band, missing = _lacking_own(np.concatenate(nodes, axis=1), rows)
             yield pa.record_batch(
-                [pa.nulls(len(node), id_type), pa.array(size), pa.array(node), pa.array(band), pa.array(missing)],
-                names=["id", "n", "node", "band", "missing"],
+                [pa.nulls(len(node), id_type), pa.array(size), pa.array(node), pa.array(band.astype(np.int32)), pa.array(missing)],
+                names=names,
             )
 
-    id_type = to_arrow_type(docs.schema[id_col].dataType)
-    counted = f"part int, id {kind}, n long, node long, {_CREDITS}"
-    counted_names = [p.split()[0] for p in counted.split(", ")]
     return (
-        docs.select(id_col, text_col).mapInArrow(trimmed(emit), sent)
-        .repartitionById(parts, "part").mapInArrow(trimmed(count), counted)
+        docs.select(id_col, text_col).mapInArrow(trimmed(emit), f"{doc}, {_TAGGED}")
+        .repartitionById(parts, "part").mapInArrow(trimmed(count), f"{doc}, tags binary, shared binary")
         .repartitionById(parts, "part").mapInArrow(trimmed(total), f"id {kind}, n long, node long, band int, missing long")
     )
 
 
+def _shared_blocks(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """``tag, shared``: how many keys of a set in a part's rows ``(low4, low1, counts, tags)`` other
+    sets have too, where there are any. Copies of a text are one set."""
+    low4, low1, sent = (np.frombuffer(b"".join(r[k] for r in rows), kind) for k, kind in ((0, np.uint32), (1, np.uint8), (3, np.uint64)))
+    tags, same = np.unique(sent, return_inverse=True)
+    entry_of = np.repeat(same.astype(np.int32), _from_planes([r[2] for r in rows]))
+    shared = np.zeros(len(tags), np.int64)
+    turns = max(1, -(-len(low4) // KEYS_AT_ONCE))
+    for turn in range(turns):
+        own = slice(None) if turns == 1 else np.flatnonzero(low4 % np.uint32(turns) == turn)
+        key = low4[own].astype(np.uint64) | (low1[own].astype(np.uint64) << np.uint64(32))
+        if len(key):
+            order = np.argsort(key, kind="stable")
+            key, entry = key[order], entry_of[own][order]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            mixed = np.minimum.reduceat(entry, starts) < np.maximum.reduceat(entry, starts)
+            member = np.repeat(mixed, np.diff(np.append(starts, len(key))))
+            shared += np.bincount(entry[member], minlength=len(tags))
+    some = shared > 0
+    # Each copy of a text sent the same keys.
+    return tags[some], (shared // np.bincount(same, minlength=len(tags)))[some]
+
+
+def _lacking_own(docs: np.ndarray, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``node, size, band, missing`` of the nodes with fewer blocks of their own than they need;
+    ``docs``: size, node and full blocks in both bands; ``rows``: tags and shared blocks."""
+    _, where = np.unique(docs[1], return_index=True)
+    docs = docs[:, where]
+    number, band, _ = band_plan(docs[0])
+    above = np.diff(number, prepend=-1) == 0
+    size, node = docs[0][number], docs[1][number]
+    full = docs[2 + above, number]
+    if rows:
+        tags, same = np.unique(np.frombuffer(b"".join(r[0] for r in rows), np.uint64), return_inverse=True)
+        shared = np.bincount(same, _from_planes([r[1] for r in rows]), len(tags)).astype(np.int64)
+        own = _tags(node, above)
+        place = np.minimum(np.searchsorted(tags, own), len(tags) - 1)
+        full = full - np.where(tags[place] == own, shared[place], 0)
+    missing = needed(size, band) - full
+    short = missing > 0
+    return node[short], size[short], band[short], missing[short]
+
+
 _CREDITS = "nodes binary, sizes binary, bands binary, credits binary"
 
 
@@ -364,46 +448,66 @@ def _lacking(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return node[short], size[short], band[short], missing[short]
 
 
-def _sent(held: list[tuple], parts: int, id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
-    base, entries = 0, []
-    for _, entry, node, *_ in held:
-        entries.append(entry + base)
-        base += len(node)
-    keys, node, size, band = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3, 4))
-    rows = list(_pack(keys, np.concatenate(entries), node, node, size, band, np.zeros(len(node)), parts))
-    columns = list(zip(*rows, strict=True)) or [()] * (len(_NAMES) + 1)
-    return pa.record_batch(
-        [
-            pa.array(columns[0], pa.int32()), pa.nulls(len(rows), id_type), pa.nulls(len(rows), pa.int64()),
-            pa.nulls(len(rows), pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:]),
-        ],
-        names=names,
-    )
+#: Bits that tell which ids may be open, for each open one, and at most.
+BITS, MAX_BITS = 16, 1 << 27
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """Bits in bytes, set where the hash of an id (column ``hash``) falls: no id is missed, and few
+    others pass. At most 16 MB, however many ids there are."""
+    bits = min(MAX_BITS, max(1 << 16, 1 << (BITS * ids.count()).bit_length()))
+    wide = 1 << 16
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(batch.column(0).to_numpy().view(np.uint64) % np.uint64(bits)).astype(np.int64)
+            edges = np.searchsorted(at, np.arange(0, bits + wide, wide))
+            some = np.flatnonzero(np.diff(edges)).tolist()
+            places = [(at[edges[p] : edges[p + 1]] % wide).astype(np.uint16).tobytes() for p in some]
+            yield pa.record_batch([pa.array(some, pa.int32()), pa.array(places, pa.binary())], names=["part", "places"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for p, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found.setdefault(p, np.zeros(wide, bool))[np.frombuffer(places, np.uint16)] = True
+        packed = [np.packbits(x).tobytes() for x in found.values()]
+        yield pa.record_batch([pa.array(list(found), pa.int32()), pa.array(packed, pa.binary())], names=["part", "bits"])
+
+    parts = shuffle_partitions(ids.sparkSession)
+    marked = ids.select("hash").mapInArrow(trimmed(mark), "part int, places binary").repartition(parts, "part")
+    out = np.zeros(bits // 8, np.uint8)
+    for p, packed in marked.mapInArrow(trimmed(join), "part int, bits binary").collect():
+        out[p * wide // 8 : (p + 1) * wide // 8] = np.frombuffer(packed, np.uint8)
+    return out
 
 
 def _open_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> DataFrame:
     """``node, n, body`` (sorted 64-bit hashes) and ``weight`` of the nodes in ``reps``
-    (``rep, wanted, weight``)."""
+    (``node, rep, weight``). Texts stay where they are: only the sets of ids that are
+    marked as open are moved."""
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(reps.select(F.xxhash64("rep").alias("hash"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = marks.value
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                sets, first = shingle_sets(*flat(piece.column(0)))
-                node = node_ids(sets, first)
-                rows = np.flatnonzero(node == piece.column(1).to_numpy())
+            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(8 * len(held))
+            open_ = (held[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1
+            for piece in pieces(batch.filter(pa.array(open_ == 1)), "text"):
+                sets, first = shingle_sets(*flat(piece.column(1)))
+                bodies = [sets[x:y].tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
                 yield pa.record_batch(
                     [
-                        pa.array(node[rows], pa.int64()),
-                        pa.array(np.diff(first)[rows], pa.int64()),
-                        pa.array([sets[first[r] : first[r + 1]].tobytes() for r in rows], pa.binary()),
-                        piece.column(2).take(pa.array(rows)),
+                        pa.array(node_ids(sets, first), pa.int64()), pa.array(np.diff(first), pa.int64()),
+                        pa.array(bodies, pa.binary()),
                     ],
-                    names=["node", "n", "body", "weight"],
+                    names=["node", "n", "body"],
                 )
 
-    texts = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"))
-    wanted = texts.join(reps, texts["own"] == reps["rep"]).select("text", "wanted", "weight")
-    return wanted.mapInArrow(trimmed(run), "node long, n long, body binary, weight int").dropDuplicates(["node"])
+    texts = docs.select(F.xxhash64(id_col).alias("hash"), F.col(text_col).alias("text"))
+    made = texts.mapInArrow(trimmed(run), "node long, n long, body binary")
+    # Joined by node alone, so that copies meet without another shuffle.
+    return made.join(reps.select("node", "weight"), "node").dropDuplicates(["node"])
 
 
 def _sets_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -437,7 +541,8 @@ def _dealt(sets: DataFrame, parts: int, filled: dict[int, np.ndarray]) -> DataFr
             flat_sets, first = _sets_of(batch.column(2))
             keys, entry, number, band = block_keys(flat_sets, first, filled)
             node, size, comp, weight = (batch.column(k).to_numpy()[number] for k in (0, 1, 3, 4))
-            rows = list(_pack(keys, entry, node, comp, size, band, weight, parts))
+            values = (node, comp, size.astype(np.uint32), band.astype(np.uint8), weight.astype(np.uint16))
+            rows = list(_pack(keys, entry, parts, *values))
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
 
@@ -771,7 +876,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # edited copies, so it leads.
     share = F.least(F.max(F.col("missing") / F.col("n")), F.lit(1.0))
     common = unsettled.groupBy("node").agg((share * 60000).cast("int").alias("weight"))
-    reps = reps.join(common, "node").select("rep", F.col("node").alias("wanted"), "weight")
+    reps = cut(reps.join(common, "node"), "reps")
     sets = cut(_open_sets(docs, id_col, text_col, reps), "sets")
 
     # Nodes of one id are one document.

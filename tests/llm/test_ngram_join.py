@@ -175,3 +175,48 @@ def test_cells_of_a_common_element_are_bounded(spark):
     want = {(x, y) for y in range(300) for x in range(y) if 4 * len(some[x] & some[y]) >= 3 * len(some[x] | some[y])}
     got = {tuple(r) for r in parity._verified(parity._near_pairs(sets, 4, 20), sets).collect()}
     assert got == want and want
+
+
+def _moved(spark, df) -> int:
+    """Bytes of the shuffles of a frame."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> dict[str, int]:
+        found = disk.getAllFiles()
+        files = [found.apply(k) for k in range(found.size())]
+        return {f.getPath(): f.length() for f in files if f.getName().startswith("shuffle") and f.getName().endswith(".data")}
+
+    before = shuffles()
+    df.write.format("noop").mode("overwrite").save()
+    return sum(size for name, size in shuffles().items() if name not in before)
+
+
+def _unlike(spark, n: int):
+    rnd = random.Random(9)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(300)) for _ in range(n)]
+    return documents(spark, texts).repartition(2).localCheckpoint()
+
+
+def test_more_parts_move_little_more(spark):
+    """What goes along with a key is small, and only shared blocks are sent back."""
+    docs = _unlike(spark, 600)
+    few, many = (_moved(spark, parity._first_pass(docs, "doc_id", "text", parts)) for parts in (4, 150))
+    assert many < 2.5 * few
+
+
+def test_texts_that_are_not_open_stay(spark):
+    docs = _unlike(spark, 600)
+    passed = parity._first_pass(docs, "doc_id", "text", 4).filter("id = 5").selectExpr("node", "id rep", "1 weight").localCheckpoint()
+    sets = parity._open_sets(docs, "doc_id", "text", passed)
+    assert [(r.n, len(r.body)) for r in sets.collect()] == [(296, 8 * 296)]
+    assert _moved(spark, sets) < 100_000
+
+
+def test_copies_of_a_text_share_no_blocks():
+    """Copies count as one set, however many reach a part, and other sets' keys count once each."""
+    tags = np.array([2, 2, 4, 6, 2], np.uint64)
+    keys = np.array([1, 2, 3, 1, 2, 3, 3, 4, 9, 8, 1, 2, 3], np.uint64)
+    entry = np.array([0, 0, 0, 1, 1, 1, 2, 2, 3, 3, 4, 4, 4])
+    (_, *row), = parity._pack(keys, entry, 1, tags)
+    got = parity._shared_blocks([tuple(row)])
+    assert dict(zip(*(x.tolist() for x in got), strict=True)) == {2: 1, 4: 1}
